@@ -38,12 +38,6 @@ class Layout:
         begin -= (begin - datetime(1970, 1, 1)) % step
         return [self.directory(begin + i * step) for i in range(bucket_count(iv, self.every))]
 
-    def directory_column(self) -> Column:
-        """The directory of a row, in the text that `directories` uses."""
-        return F.concat_ws(
-            "/", *[F.concat(F.lit(c + "="), F.col(c).cast("string")) for c in self.columns]
-        )
-
 
 HOURLY = Layout(
     columns=("year", "month", "day", "hour"),

@@ -16,6 +16,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def children(spark: SparkSession, path: str) -> set[str]:
+    """Names directly below a directory; empty if it does not exist."""
+    fs, target, _ = _fs(spark, path)
+    if not fs.exists(target):
+        return set()
+    return {status.getPath().getName() for status in fs.listStatus(target)}
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Remove a file or directory; False if it was not there."""
     fs, target, _ = _fs(spark, path)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,21 +52,19 @@ def replace_interval(
     """Replace every partition that has rows in `df`.
 
     With `iv`, partitions of the interval that received no rows are removed too,
-    so that the table holds exactly the rows of `df` for that interval. The set
-    of written partitions is observed during the write.
+    so that the table holds exactly the rows of `df` for that interval. Such a
+    partition is one whose files are the same as before the write, since every
+    write gives its files new names.
     """
+    spark = df.sparkSession
+    root = path.rstrip("/")
+    expected = layout.directories(iv) if iv is not None else []
+    before = {d: storage.children(spark, f"{root}/{d}") for d in expected}
     placed = layout.assign(df, time_col)
-    if iv is None:
-        _write_partitions(_balanced(placed, layout.columns, (time_col,)), path, layout.columns)
-        return
-    written = Observation()
-    placed = placed.observe(written, F.collect_set(layout.directory_column()).alias("dirs"))
     _write_partitions(_balanced(placed, layout.columns, (time_col,)), path, layout.columns)
-    keep = set(written.get.get("dirs") or [])
-    spark = df.sparkSession
-    for directory in layout.directories(iv):
-        if directory not in keep:
-            storage.delete(spark, f"{path.rstrip('/')}/{directory}")
+    for directory, names in before.items():
+        if names and storage.children(spark, f"{root}/{directory}") == names:
+            storage.delete(spark, f"{root}/{directory}")
 
 
 def replace_partitions(
@@ -76,6 +74,25 @@ def replace_partitions(
     _write_partitions(_balanced(df, partition_cols, order), path, partition_cols)
 
 
+def replace_window(df: DataFrame, path: str, label: str) -> None:
+    """Replace the one partition `window=<label>`, also when there is nothing to write."""
+    df.hint("rebalance").write.mode("overwrite").parquet(f"{path.rstrip('/')}/window={label}")
+
+
+def replace_table(df: DataFrame, path: str, partition_cols: tuple[str, ...] = ()) -> None:
+    """Replace a whole table: write the new version beside it, then swap it in."""
+    staged = path.rstrip("/") + ".staged"
+    storage.recover(df.sparkSession, path)
+    rows = df.hint("rebalance", *partition_cols)
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*partition_cols)
+        .parquet(staged)
+    )
+    storage.swap_in(df.sparkSession, staged, path)
+
+
 def _same(left: str, right: str, keys: tuple[str, ...]) -> Column:
     # Null-safe, so that a row with a NULL key part replaces its predecessor.
     return reduce(
@@ -161,10 +178,7 @@ def upsert_small_table(
     """Upsert into an unpartitioned report table: write the new version, then swap it in."""
     spark = src.sparkSession
     storage.recover(spark, path)
-    merged = upsert(read_or_empty(spark, path, src.schema), src, keys, keep_cols)
-    staged = path.rstrip("/") + ".staged"
-    merged.hint("rebalance").write.mode("overwrite").parquet(staged)
-    storage.swap_in(spark, staged, path)
+    replace_table(upsert(read_or_empty(spark, path, src.schema), src, keys, keep_cols), path)
 
 
 def append_absent(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,3 +63,15 @@ def partition_dates(files: DataFrame) -> DataFrame:
         named.try_cast("date"), F.concat_ws("-", *parts).try_cast("date")
     )
     return files.select(date.alias("dt")).filter(F.col("dt").isNotNull()).distinct()
+
+
+def newest_hour(files: DataFrame) -> datetime | None:
+    """Latest hour partition that owns a file, from the listing alone."""
+    pattern = r"/year=(\d+)/month=(\d+)/day=(\d+)/hour=(\d+)/"
+    parts = [F.regexp_extract("path", pattern, i).try_cast("int") for i in (1, 2, 3, 4)]
+    hour = F.make_timestamp(*parts, F.lit(0), F.lit(0))
+    found = files.filter(F.col("path").rlike(pattern)).agg(
+        F.date_format(F.max(hour), "yyyy-MM-dd HH:mm:ss").alias("newest")
+    )
+    row = found.first()
+    return datetime.fromisoformat(row.newest) if row.newest else None
