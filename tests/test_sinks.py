@@ -121,10 +121,11 @@ def test_small_table_upsert_survives_a_cut_swap(spark, path):
     d = date(2024, 1, 1)
     tables.upsert_small_table(counts(spark, [(d, "a", 1, "")]), path, ("d", "kind"))
     # The swap stopped after the old version was moved away.
-    storage.move(spark, path, path + ".retired")
+    retired = storage.beside(path, "retired")
+    storage.move(spark, path, retired)
     tables.upsert_small_table(counts(spark, [(d, "b", 2, "")]), path, ("d", "kind"))
     assert {r.kind for r in spark.read.parquet(path).collect()} == {"a", "b"}
-    assert not storage.exists(spark, path + ".retired")
+    assert not storage.exists(spark, retired)
 
 
 def test_insert_if_absent(spark, path):

@@ -24,12 +24,13 @@ def is_whole_object(text: Column, fields: Column) -> Column:
 
     Spark's JSON readers stop after the first value, so trailing text has to be
     excluded separately. Flat objects are settled by one regular expression.
-    Others are wrapped in an array and in an object: text after the value that
-    lets one wrapper close early breaks the other.
+    Others are wrapped in an array, which only a `]` of their own can close
+    early; with such a text they are wrapped in an object as well, because what
+    closes one wrapper early breaks the other.
     """
     in_array = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
     in_object = F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
-    whole = text.rlike(_FLAT_OBJECT) | (in_array & in_object)
+    whole = text.rlike(_FLAT_OBJECT) | (in_array & (~text.contains("]") | in_object))
     return F.coalesce(fields.isNotNull() & whole, F.lit(False))
 
 

@@ -125,14 +125,18 @@ def backfill(
     return operator(wanted)
 
 
-def _file_stats(spark: SparkSession, path: str) -> DataFrame:
-    """Files and bytes per `dt` partition, from the directory listing."""
+def _file_stats(spark: SparkSession, directories: list[str]) -> dict:
+    """(files, bytes) per `dt` partition of the given directories, from their listing.
+
+    One row per date comes back.
+    """
     dt = F.regexp_extract("path", r"/dt=(\d{4}-\d{2}-\d{2})/", 1).try_cast("date")
-    return (
-        list_files(spark, path)
+    stats = (
+        list_files(spark, directories)
         .groupBy(dt.alias("dt"))
         .agg(F.count(F.lit(1)).alias("files"), F.sum("size").cast("bigint").alias("bytes"))
     )
+    return {r.dt: r for r in stats.collect()}
 
 
 def compact(
@@ -141,7 +145,6 @@ def compact(
     dst: str,
     dates: list[str],
     target_bytes: int = TARGET_FILE_BYTES,
-    staging: str | None = None,
 ) -> DataFrame:
     """Merge the files of each date into about bytes / target_bytes files; returns the manifest.
 
@@ -152,13 +155,10 @@ def compact(
     skipped. The manifest has one row per date found in `src`.
     """
     started = datetime.now(timezone.utc)
-    staged = staging or f"{dst.rstrip('/')}.compacting-{started:%Y%m%dT%H%M%S%f}"
-    wanted = F.col("dt").isin([datetime.fromisoformat(d).date() for d in dates])
-    # One row per date: the plan of the rewrite, at most len(dates) rows.
-    plan = {
-        r.dt: r
-        for r in _file_stats(spark, src).filter(wanted).select("dt", "files", "bytes").collect()
-    }
+    staged = storage.beside(dst, f"compacting-{started:%Y%m%dT%H%M%S%f}")
+    sources = [f"{src.rstrip('/')}/dt={d}" for d in sorted(set(dates))]
+    sources = [d for d in sources if storage.exists(spark, d)]
+    plan = _file_stats(spark, sources) if sources else {}
     manifest_schema = (
         "compaction_date DATE, started_at TIMESTAMP, completed_at TIMESTAMP,"
         " files_before BIGINT, files_after BIGINT, rows_before BIGINT, rows_after BIGINT,"
@@ -177,7 +177,12 @@ def compact(
         pairs = [x for k, v in values.items() for x in (F.lit(k), F.lit(v))]
         return F.create_map(*pairs)[F.col("dt")]
 
-    bronze = spark.read.parquet(src).filter(F.col("dt").isin(sorted(plan)))
+    def read(root: str) -> DataFrame:
+        parts = [f"{root.rstrip('/')}/dt={dt.isoformat()}" for dt in sorted(plan)]
+        present = [d for d in parts if storage.exists(spark, d)]
+        return spark.read.option("basePath", root).parquet(*present)
+
+    bronze = read(src)
     columns = bronze.columns
     position = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     slot = lookup(first_file) + F.pmod(position, lookup(files_of))
@@ -190,12 +195,11 @@ def compact(
         .parquet(staged)
     )
 
-    def rows_per_date(path: str) -> dict:
-        counted = spark.read.parquet(path).filter(F.col("dt").isin(sorted(plan)))
-        return {r.dt: r["count"] for r in counted.groupBy("dt").count().collect()}
+    def rows_per_date(root: str) -> dict:
+        return {r.dt: r["count"] for r in read(root).groupBy("dt").count().collect()}
 
     before, after = rows_per_date(src), rows_per_date(staged)
-    files_after = {r.dt: r.files for r in _file_stats(spark, staged).collect()}
+    files_after = {dt: r.files for dt, r in _file_stats(spark, [staged]).items()}
     manifest = []
     for dt in sorted(plan):
         complete = before.get(dt, 0) == after.get(dt, 0)

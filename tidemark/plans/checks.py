@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.intervals import Interval, Moment, moment, ts
 from tidemark.operators import drift, duplicates, messages, monitoring, quality, reports
-from tidemark.plans.lake import Lake
+from tidemark.plans.lake import Lake, dates_of
 from tidemark.schemas import (
     EVENTS,
     HEALTH_READINGS,
@@ -33,15 +33,21 @@ def null_gate(spark: SparkSession, lake: Lake, iv: Interval) -> None:
     """Quarantine the NULL rows of failing windows; a repeated run adds nothing."""
     bad = quality.null_quarantine(lake.events(spark, iv), iv=iv)
     bad = bad.withColumn("quarantined_at", F.current_timestamp())
-    tables.append_absent(
-        bad, lake.log("dq_quarantine"), ("event_id", "window_start", "reason")
-    )
+    _log_windows(bad, lake.log("dq_quarantine"), ("event_id", "window_start", "reason"), iv)
 
 
 def duplicate_check(spark: SparkSession, lake: Lake, iv: Interval) -> None:
     copies = duplicates.duplicate_audit(lake.events(spark, iv))
     copies = copies.withColumn("detected_at", F.current_timestamp())
-    tables.append_absent(copies, lake.log("dq_duplicate_audit"), ("event_id", "window_start"))
+    _log_windows(copies, lake.log("dq_duplicate_audit"), ("event_id", "window_start"), iv)
+
+
+def _log_windows(rows: DataFrame, path: str, keys: tuple[str, ...], iv: Interval) -> None:
+    """Append to a log that is partitioned by the date of its windows."""
+    dated = rows.withColumn("window_date", F.col("window_start").cast("date"))
+    tables.append_absent(
+        dated, path, ("window_date", *keys), ("window_date",), dates_of("window_date", iv)
+    )
 
 
 def distribution_check(

@@ -5,7 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.intervals import Interval, moment
@@ -63,3 +64,9 @@ def trailing(as_of, days: int) -> Interval:
     """The `days` whole days up to the start of the day of `as_of`."""
     end = moment(as_of).replace(hour=0, minute=0, second=0, microsecond=0)
     return end - timedelta(days=days), end
+
+
+def dates_of(column: str, iv: Interval) -> Column:
+    """Predicate on a date partition: the dates an interval touches."""
+    start, end = moment(iv[0]), moment(iv[1]) - timedelta(microseconds=1)
+    return F.col(column).between(F.lit(start.date()), F.lit(end.date()))

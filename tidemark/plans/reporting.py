@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.intervals import Interval, Moment, month_interval, previous_month
 from tidemark.operators import reports, tenants
 from tidemark.plans.batch import TENANT_TABLE
-from tidemark.plans.lake import Lake, trailing
+from tidemark.plans.lake import Lake, dates_of, trailing
 from tidemark.schemas import LIVE_METRICS, USERS
 from tidemark.sinks import exports, tables
 from tidemark.sources.landing import read_tenant_gold
@@ -31,6 +31,7 @@ def hourly_rollup(spark: SparkSession, lake: Lake, iv: Interval) -> None:
         lake.gold("hourly_metrics_rollup"),
         ("dt", "hour_start", "event_type"),
         ("dt",),
+        scope=dates_of("dt", iv),
     )
 
 

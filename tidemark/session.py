@@ -13,8 +13,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Let tasks and files grow to the advisory size instead of one per core.
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # Rewriting an interval must leave the other partitions alone.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

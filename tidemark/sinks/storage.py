@@ -38,8 +38,14 @@ def move(spark: SparkSession, source: str, destination: str) -> None:
         raise OSError(f"cannot move {source} to {destination}")
 
 
+def beside(target: str, suffix: str) -> str:
+    """A sibling path that table scans ignore, because its name starts with `_`."""
+    parent, name = target.rstrip("/").rsplit("/", 1)
+    return f"{parent}/_{name}.{suffix}"
+
+
 def _retired(target: str) -> str:
-    return target.rstrip("/") + ".retired"
+    return beside(target, "retired")
 
 
 def recover(spark: SparkSession, target: str) -> None:

@@ -81,7 +81,7 @@ def replace_window(df: DataFrame, path: str, label: str) -> None:
 
 def replace_table(df: DataFrame, path: str, partition_cols: tuple[str, ...] = ()) -> None:
     """Replace a whole table: write the new version beside it, then swap it in."""
-    staged = path.rstrip("/") + ".staged"
+    staged = storage.beside(path, "staged")
     storage.recover(df.sparkSession, path)
     rows = df.hint("rebalance", *partition_cols)
     (
@@ -156,22 +156,32 @@ def upsert_table(
     keys: tuple[str, ...],
     partition_cols: tuple[str, ...],
     keep_cols: tuple[str, ...] = (),
+    scope: Column | None = None,
 ) -> None:
     """Upsert into a partitioned table, rewriting only the partitions `src` touches.
 
     Partition columns have to be part of the key: otherwise a row could move to
-    another partition and its old version would survive.
+    another partition and its old version would survive. `scope` is a predicate
+    on partition columns that selects whole partitions, at least those `src`
+    touches and no more than may be rewritten; without it, they are found from
+    `src`, which is then evaluated once more.
     """
-    if not set(partition_cols) <= set(keys):
-        raise ValueError(f"partition columns {partition_cols} must be part of the key {keys}")
-    spark = src.sparkSession
-    current = read_or_empty(spark, path, src.schema)
-    touched = src.select(*partition_cols).distinct()
-    affected = current.join(touched, list(partition_cols), "left_semi").select(*src.columns)
+    _check_partitions(keys, partition_cols)
+    current = read_or_empty(src.sparkSession, path, src.schema)
+    if scope is None:
+        touched = src.select(*partition_cols).distinct()
+        affected = current.join(touched, list(partition_cols), "left_semi").select(*src.columns)
+    else:
+        affected = current.filter(scope)
     order = tuple(k for k in keys if k not in partition_cols)
     replace_partitions(upsert(affected, src, keys, keep_cols), path, partition_cols, order)
 
 
+def _check_partitions(keys: tuple[str, ...], partition_cols: tuple[str, ...]) -> None:
+    if not set(partition_cols) <= set(keys):
+        raise ValueError(f"partition columns {partition_cols} must be part of the key {keys}")
+
+
 def upsert_small_table(
     src: DataFrame, path: str, keys: tuple[str, ...], keep_cols: tuple[str, ...] = ()
 ) -> None:
@@ -182,10 +192,21 @@ def upsert_small_table(
 
 
 def append_absent(
-    src: DataFrame, path: str, keys: tuple[str, ...], partition_cols: tuple[str, ...] = ()
+    src: DataFrame,
+    path: str,
+    keys: tuple[str, ...],
+    partition_cols: tuple[str, ...] = (),
+    scope: Column | None = None,
 ) -> None:
-    """Append the rows whose key is new, so a repeated run adds nothing."""
+    """Append the rows whose key is new, so a repeated run adds nothing.
+
+    `scope` is a predicate that all rows of `src` satisfy; it prunes the part of
+    the table they are compared with.
+    """
+    _check_partitions(keys, partition_cols)
     target = read_or_empty(src.sparkSession, path, src.schema)
+    if scope is not None:
+        target = target.filter(scope)
     new = absent_rows(target, src, keys).select(*src.columns)
     if partition_cols:
         new = _balanced(new, partition_cols, ())

@@ -19,7 +19,9 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def list_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
+def list_files(
+    spark: SparkSession, path: str | list[str], glob: str = "*.parquet"
+) -> DataFrame:
     """Recursive listing (path, size, modified_at); file contents are not read."""
     return (
         spark.read.format("binaryFile")

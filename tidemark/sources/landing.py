@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.intervals import Interval, in_interval
+from tidemark.functions.intervals import Interval, bucket_count, in_interval
 from tidemark.layout import HOURLY, Layout
 from tidemark.schemas import EVENTS, TENANT_GOLD
+from tidemark.sinks import storage
 from tidemark.sinks.tables import read_or_empty
 
+# Beyond this many directories, one parallel listing of the table is cheaper.
+LISTED_DIRECTORIES = 1000
+
 
 def with_partitions(schema: T.StructType, layout: Layout) -> T.StructType:
     kinds = {"dt": T.DateType()}
@@ -29,19 +33,19 @@ def read_landing(
 ) -> DataFrame:
     """Event files with an imposed schema.
 
-    An interval becomes both a partition predicate and a row filter. With
-    `tenants`, the table has a leading `tenant` partition and only those tenants
-    are read, in one scan. `layout=None` reads a plain YYYY/MM/DD/HH tree, where
-    directories carry no column names and only the row filter applies.
+    An interval becomes a partition predicate and a row filter, and if it is
+    short, only its own directories are listed. With `tenants`, the table has a
+    leading `tenant` partition and only those tenants are read, in one scan.
+    `layout=None` reads a plain YYYY/MM/DD/HH tree, where directories carry no
+    column names and only the row filter applies.
     """
-    reader = spark.read
     if layout is None:
-        df = reader.schema(schema).option("recursiveFileLookup", True).parquet(path)
+        df = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
     else:
         full = with_partitions(schema, layout)
         if tenants is not None:
             full = T.StructType(full.fields + [T.StructField("tenant", T.StringType())])
-        df = reader.schema(full).parquet(path)
+        df = _read_directories(spark, path, full, layout, iv, tenants)
         if iv is not None:
             df = df.filter(layout.covers(iv))
         if tenants is not None:
@@ -52,6 +56,26 @@ def read_landing(
     return df
 
 
+def _read_directories(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    layout: Layout,
+    iv: Interval | None,
+    tenants: list[str] | None,
+) -> DataFrame:
+    """The table, listing nothing but the directories of a short interval."""
+    root = path.rstrip("/")
+    prefixes = [f"{root}/tenant={t}" for t in tenants] if tenants is not None else [root]
+    if iv is None or bucket_count(iv, layout.every) * len(prefixes) > LISTED_DIRECTORIES:
+        return read_or_empty(spark, path, schema)
+    wanted = [f"{prefix}/{d}" for prefix in prefixes for d in layout.directories(iv)]
+    present = [d for d in wanted if storage.exists(spark, d)]
+    if not present:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*present)
+
+
 def read_tenant_gold(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
     """Column-pruned tenant gold; manifest tenants without rows appear once with zeros.
 
