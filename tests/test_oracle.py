@@ -26,7 +26,7 @@ def canonical(rows, columns):
 
     def cell(v):
         if isinstance(v, float):
-            return "nan" if math.isnan(v) else repr(round(v, 9))
+            return "nan" if math.isnan(v) else repr(v)
         return str(v)
 
     return sorted(tuple(cell(r[i]) for i in order) for r in rows)

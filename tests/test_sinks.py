@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.layout import DAILY, HOURLY
+from tidemark.layout import DAILY, HOURLY, PLAIN_HOURS
 from tidemark.operators import lifecycle
 from tidemark.session import scratch_dir
 from tidemark.sinks import exports, storage, tables
@@ -60,11 +60,13 @@ def test_landing_scan_prunes_and_filters(spark, path):
 
 def test_plain_directory_tree(spark, path):
     events(spark, [(1, T0), (2, T0 + timedelta(days=1))]).write.parquet(f"{path}/2024/01/01/10")
-    df = landing.read_landing(spark, path, layout=None, iv=("2024-01-01", "2024-01-02"))
+    events(spark, [(3, T0)]).write.parquet(f"{path}/2024/01/03/10")
+    df = landing.read_landing(spark, path, layout=PLAIN_HOURS, iv=("2024-01-01", "2024-01-02"))
     assert ids(df) == [1]
-    assert [r.dt for r in files.partition_dates(files.list_files(spark, path)).collect()] == [
-        date(2024, 1, 1)
-    ]
+    assert ids(landing.read_landing(spark, path, layout=PLAIN_HOURS)) == [1, 2, 3]
+    assert landing.read_landing(spark, path, iv=("2023-01-01", "2023-01-02")).isEmpty()
+    found = files.partition_dates(files.list_files(spark, path)).collect()
+    assert sorted(r.dt for r in found) == [date(2024, 1, 1), date(2024, 1, 3)]
 
 
 def test_tenant_landing_in_one_scan(spark, path):
@@ -121,8 +123,10 @@ def test_small_table_upsert_survives_a_cut_swap(spark, path):
     d = date(2024, 1, 1)
     tables.upsert_small_table(counts(spark, [(d, "a", 1, "")]), path, ("d", "kind"))
     # The swap stopped after the old version was moved away.
-    retired = storage.beside(path, "retired")
+    retired = storage.retired(path)
     storage.move(spark, path, retired)
+    schema = counts(spark, []).schema
+    assert [r.kind for r in tables.read_or_empty(spark, path, schema).collect()] == ["a"]
     tables.upsert_small_table(counts(spark, [(d, "b", 2, "")]), path, ("d", "kind"))
     assert {r.kind for r in spark.read.parquet(path).collect()} == {"a", "b"}
     assert not storage.exists(spark, retired)

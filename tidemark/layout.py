@@ -14,7 +14,7 @@ from tidemark.functions.intervals import Interval, bucket_count, moment, seconds
 
 @dataclass(frozen=True)
 class Layout:
-    """Hive-style time partitioning of a table."""
+    """Time partitioning of a table; without columns, the directories are unnamed."""
 
     columns: tuple[str, ...]
     every: str
@@ -27,6 +27,8 @@ class Layout:
 
     def covers(self, iv: Interval) -> Column:
         """Predicate on the partition columns alone, so that listing is pruned."""
+        if not self.columns:
+            return F.lit(True)
         step = timedelta(seconds=seconds_of(self.every))
         begin, end = moment(iv[0]), moment(iv[1])
         return (self.start() > ts(begin - step)) & (self.start() < ts(end))
@@ -61,3 +63,12 @@ DAILY = Layout(
     start=lambda: F.col("dt").cast("timestamp"),
     directory=lambda m: f"dt={m.date().isoformat()}",
 )
+
+# Directories YYYY/MM/DD/HH that carry no column names; read-only.
+PLAIN_HOURS = Layout(
+    columns=(),
+    every="1 hour",
+    values=lambda c: {},
+    start=lambda: F.lit(None),
+    directory=lambda m: m.strftime("%Y/%m/%d/%H"),
+)

@@ -61,6 +61,7 @@ def archive_users(
     spark: SparkSession, lake: Lake, as_of: Moment, days: int = 180, limit: int | None = None
 ) -> None:
     """Archive inactive users, then soft-delete exactly the archived ones."""
+    storage.recover(spark, lake.table("users"))
     users = lake.read(spark, "users", USERS)
     period = (moment(as_of) - timedelta(days=days), moment(as_of) + timedelta(microseconds=1))
     recent = lake.events(spark, period)

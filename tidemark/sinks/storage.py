@@ -44,20 +44,21 @@ def beside(target: str, suffix: str) -> str:
     return f"{parent}/_{name}.{suffix}"
 
 
-def _retired(target: str) -> str:
+def retired(target: str) -> str:
+    """Where the old version of a table waits while a new one is swapped in."""
     return beside(target, "retired")
 
 
 def recover(spark: SparkSession, target: str) -> None:
     """Bring back the old version if a swap was cut off between its two moves."""
-    if not exists(spark, target) and exists(spark, _retired(target)):
-        move(spark, _retired(target), target)
+    if not exists(spark, target) and exists(spark, retired(target)):
+        move(spark, retired(target), target)
 
 
 def swap_in(spark: SparkSession, staged: str, target: str) -> None:
     """Publish a finished directory in place of `target`; the old one goes last."""
     if exists(spark, target):
-        delete(spark, _retired(target))
-        move(spark, target, _retired(target))
+        delete(spark, retired(target))
+        move(spark, target, retired(target))
     move(spark, staged, target)
-    delete(spark, _retired(target))
+    delete(spark, retired(target))

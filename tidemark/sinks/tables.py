@@ -76,7 +76,7 @@ def replace_partitions(
 
 def replace_window(df: DataFrame, path: str, label: str) -> None:
     """Replace the one partition `window=<label>`, also when there is nothing to write."""
-    df.hint("rebalance").write.mode("overwrite").parquet(f"{path.rstrip('/')}/window={label}")
+    replace_table(df, f"{path.rstrip('/')}/window={label}")
 
 
 def replace_table(df: DataFrame, path: str, partition_cols: tuple[str, ...] = ()) -> None:
@@ -145,8 +145,10 @@ def insert_if_absent(target: DataFrame, src: DataFrame, keys: tuple[str, ...]) -
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    if storage.exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
+    """A table, its old version if a swap was cut off, or no rows if it was never written."""
+    for version in (path, storage.retired(path)):
+        if storage.exists(spark, version):
+            return spark.read.schema(schema).parquet(version)
     return spark.createDataFrame([], schema)
 
 

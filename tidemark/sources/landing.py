@@ -29,31 +29,24 @@ def read_landing(
     iv: Interval | None = None,
     tenants: list[str] | None = None,
     time_col: str = "created_at",
-    layout: Layout | None = HOURLY,
+    layout: Layout = HOURLY,
 ) -> DataFrame:
     """Event files with an imposed schema.
 
     An interval becomes a partition predicate and a row filter, and if it is
     short, only its own directories are listed. With `tenants`, the table has a
     leading `tenant` partition and only those tenants are read, in one scan.
-    `layout=None` reads a plain YYYY/MM/DD/HH tree, where directories carry no
-    column names and only the row filter applies.
+    PLAIN_HOURS reads a tree whose directories carry no column names.
     """
-    if layout is None:
-        df = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
-    else:
-        full = with_partitions(schema, layout)
-        if tenants is not None:
-            full = T.StructType(full.fields + [T.StructField("tenant", T.StringType())])
-        df = _read_directories(spark, path, full, layout, iv, tenants)
-        if iv is not None:
-            df = df.filter(layout.covers(iv))
-        if tenants is not None:
-            df = df.filter(F.col("tenant").isin(list(tenants)))
-        df = df.drop(*layout.columns)
+    full = with_partitions(schema, layout)
+    if tenants is not None:
+        full = T.StructType(full.fields + [T.StructField("tenant", T.StringType())])
+    df = _read_directories(spark, path, full, layout, iv, tenants)
     if iv is not None:
-        df = df.filter(in_interval(time_col, iv))
-    return df
+        df = df.filter(layout.covers(iv) & in_interval(time_col, iv))
+    if tenants is not None:
+        df = df.filter(F.col("tenant").isin(list(tenants)))
+    return df.drop(*layout.columns)
 
 
 def _read_directories(
@@ -67,13 +60,18 @@ def _read_directories(
     """The table, listing nothing but the directories of a short interval."""
     root = path.rstrip("/")
     prefixes = [f"{root}/tenant={t}" for t in tenants] if tenants is not None else [root]
-    if iv is None or bucket_count(iv, layout.every) * len(prefixes) > LISTED_DIRECTORIES:
-        return read_or_empty(spark, path, schema)
-    wanted = [f"{prefix}/{d}" for prefix in prefixes for d in layout.directories(iv)]
+    wanted = [root]
+    if iv is not None and bucket_count(iv, layout.every) * len(prefixes) <= LISTED_DIRECTORIES:
+        wanted = [f"{prefix}/{d}" for prefix in prefixes for d in layout.directories(iv)]
     present = [d for d in wanted if storage.exists(spark, d)]
     if not present:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", root).parquet(*present)
+    reader = spark.read.schema(schema)
+    if layout.columns:
+        reader = reader.option("basePath", root)
+    else:
+        reader = reader.option("recursiveFileLookup", True)
+    return reader.parquet(*present)
 
 
 def read_tenant_gold(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:

@@ -236,13 +236,22 @@ def distribution_audit_tight(spark, sf_dir):
 
 @query(
     "schema_drift_report",
-    """SELECT * FROM (VALUES
-        ('id', 'missing', 'bigint', NULL), ('payload', 'missing', 'string', NULL),
-        ('created_at', 'missing', 'timestamp', NULL),
-        ('user_id', 'type_mismatch', 'string', 'bigint'),
-        ('event_id', 'extra', NULL, 'bigint'), ('ts', 'extra', NULL, 'timestamp_ntz'),
-        ('value', 'extra', NULL, 'double'), ('props', 'extra', NULL, 'string'))
-    t(col_name, status, expected_type, actual_type)""",
+    """WITH expected AS (
+        SELECT * FROM (VALUES ('id', 'bigint'), ('user_id', 'string'), ('event_type', 'string'),
+                              ('payload', 'string'), ('created_at', 'timestamp'))
+        t(col_name, expected_type)),
+    actual AS (
+        SELECT column_name AS col_name,
+               CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+                                ELSE lower(column_type) END AS actual_type
+        FROM (DESCRIBE events)),
+    both_sides AS (
+        SELECT COALESCE(e.col_name, a.col_name) AS col_name,
+               CASE WHEN a.col_name IS NULL THEN 'missing' WHEN e.col_name IS NULL THEN 'extra'
+                    WHEN expected_type <> actual_type THEN 'type_mismatch' END AS status,
+               expected_type, actual_type
+        FROM expected e FULL JOIN actual a ON e.col_name = a.col_name)
+    SELECT * FROM both_sides WHERE status IS NOT NULL""",
 )
 def schema_drift_report(spark, sf_dir):
     actual = schema_rows(read_footer_schema(spark, f"{sf_dir}/events.parquet"))
