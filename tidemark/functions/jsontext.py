@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 _STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
+# JSON's own white space; the regex class \s and the anchor $ admit more.
+_SPACE = r"[ \t\r\n]*"
+
 # An object that has no inner braces: if it parses, nothing can follow it.
-_FLAT_OBJECT = r"^\s*\{[^{}]*\}\s*$"
+_FLAT_OBJECT = rf"^{_SPACE}\{{[^{{}}]*\}}{_SPACE}\z"
+_LAST_BRACE = rf"{_SPACE}\}}{_SPACE}\z"
 
 
 def object_fields(text: Column) -> Column:
@@ -47,4 +51,4 @@ def add_fields(text: Column, additions: Column) -> Column:
 
     All original fields keep their exact text.
     """
-    return F.concat(F.regexp_replace(text, r"\s*\}\s*$", ""), additions, F.lit("}"))
+    return F.concat(F.regexp_replace(text, _LAST_BRACE, ""), additions, F.lit("}"))

@@ -80,7 +80,8 @@ def file_retention_plan(
 def apply_retention(plan: DataFrame, dry_run: bool = True) -> DataFrame:
     """Delete the expired files unless `dry_run`; returns file and byte totals per decision.
 
-    Paths reach the file system one partition of the plan at a time.
+    Paths reach the driver one partition of the plan at a time and are deleted by
+    a pool of threads, as these are calls to the name node.
     """
     summary = plan.groupBy("expired").agg(
         F.count(F.lit(1)).alias("files"), F.sum("size").cast("bigint").alias("bytes")
@@ -89,8 +90,8 @@ def apply_retention(plan: DataFrame, dry_run: bool = True) -> DataFrame:
         return summary
     spark = plan.sparkSession
     done = spark.createDataFrame(summary.collect(), summary.schema)
-    for row in plan.filter("expired").select("path").toLocalIterator():
-        storage.delete(spark, row.path)
+    expired = plan.filter("expired").select("path").toLocalIterator()
+    storage.delete_all(spark, (row.path for row in expired))
     return done
 
 
@@ -113,12 +114,13 @@ def backfill(
 ) -> DataFrame:
     """Apply an operator to the events of the missing dates only, in one job.
 
-    The date set has at most `lookback` rows, hence the broadcast. The operator
-    has to group by day itself.
+    Only dates of the look-back period count, so the broadcast set has at most
+    `lookback` rows. The operator has to group by day itself.
     """
     end = moment(as_of).replace(hour=0, minute=0, second=0, microsecond=0)
     period = (end - timedelta(days=lookback), end)
-    dates = F.broadcast(missing.select(F.col("dt").alias("_dt")))
+    in_period = (F.col("dt") >= F.lit(period[0].date())) & (F.col("dt") < F.lit(end.date()))
+    dates = F.broadcast(missing.filter(in_period).select(F.col("dt").alias("_dt")).distinct())
     wanted = events.filter(in_interval(time_col, period)).join(
         dates, F.col(time_col).cast("date") == F.col("_dt"), "left_semi"
     )

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
+
 from pyspark.sql import SparkSession
 
 
@@ -30,6 +34,14 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
+def delete_all(spark: SparkSession, paths: Iterator[str], threads: int = 16) -> None:
+    """Delete many files, a bounded number of paths at a time."""
+    with ThreadPoolExecutor(threads) as pool:
+        while chunk := list(islice(paths, 10_000)):
+            for _ in pool.map(lambda path: delete(spark, path), chunk):
+                pass
+
+
 def move(spark: SparkSession, source: str, destination: str) -> None:
     fs, origin, hadoop = _fs(spark, source)
     target = hadoop.Path(destination)
