@@ -470,6 +470,9 @@ def test_monthly_kpis_with_bad_amounts_and_changes(spark):
     ]
     stored = reports.storable_kpis(got)
     assert [r.report_month for r in stored.collect()] == ["2024-01", "2024-03"]
+    lifted = df.withColumn("amount", F.get_json_object("payload", "$.amount").try_cast("decimal(12,2)"))
+    again = reports.monthly_kpis(lifted, ["2024-01"], amount_col="amount").first()
+    assert (again.total_purchases, again.avg_amount) == (5, 10.0)
     # Without a month list, only months with purchases exist and January is not March's neighbour.
     bare = reports.monthly_kpis(df).orderBy("report_month").collect()
     assert [(r.report_month, r.purchases_change) for r in bare] == [

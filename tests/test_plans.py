@@ -30,6 +30,7 @@ def lake(spark):
         payload = json.dumps({"product_id": i % 5, "amount": i})
         rows.append((i, user, kind, payload, T0 + timedelta(hours=i, minutes=5)))
     rows.append((1000, "u1", "view", "{}", T0 + timedelta(hours=1, minutes=5)))
+    rows.append((2000, "u1", "view", "{}", T0 + timedelta(days=8)))  # outside the interval
     source = spark.createDataFrame(rows, schemas.LANDING_RAW)
     for _ in range(2):
         batch.extract(source, place, ("2024-01-01", "2024-01-09"))
@@ -48,6 +49,17 @@ def test_landing_is_idempotent(spark, lake):
     assert lake.events(spark).filter("product_id IS NOT NULL").count() == 192
 
 
+def test_partial_partitions_are_refused(spark, lake):
+    source = spark.createDataFrame([], schemas.LANDING_RAW)
+    with pytest.raises(ValueError):
+        batch.extract(source, lake, ("2024-01-01", "2024-01-01T00:30"))
+    with pytest.raises(ValueError):
+        batch.promote(spark, lake, ("2024-01-01", "2024-01-01T01:00"))
+    with pytest.raises(ValueError):
+        reporting.daily_summary(spark, lake, ("2024-01-01T05:00", "2024-01-02"))
+    assert lake.events(spark).count() == 193
+
+
 def test_product_metrics_keep_every_window(spark, lake):
     for start, end in (("2024-01-01", "2024-01-02"), ("2024-01-02", "2024-01-03")):
         twice(batch.product_metrics, spark, lake, (start, end))

@@ -81,6 +81,14 @@ def bucket_count(iv: Interval, every: str) -> int:
     return max(last - first, 0)
 
 
+def require_whole(iv: Interval, every: str) -> None:
+    """Refuse an interval that would replace a bucket with a part of its rows."""
+    step = timedelta(seconds=seconds_of(every))
+    for edge in iv:
+        if (moment(edge) - datetime(1970, 1, 1)) % step:
+            raise ValueError(f"{edge} is not a boundary of {every}")
+
+
 def spine(spark: SparkSession, iv: Interval, every: str, name: str = "window_start") -> DataFrame:
     """One row per bucket of the interval, generated in parallel."""
     step = seconds_of(every)

@@ -53,8 +53,14 @@ def product_conversions(
 
 
 def with_audit_columns(df: DataFrame, iv: Interval) -> DataFrame:
-    """Window start and processing time for gold rows."""
-    return df.withColumns({"window_start": ts(iv[0]), "processed_at": F.current_timestamp()})
+    """Window bounds and processing time for gold rows."""
+    return df.withColumns(
+        {
+            "window_start": ts(iv[0]),
+            "window_end": ts(iv[1]),
+            "processed_at": F.current_timestamp(),
+        }
+    )
 
 
 def daily_event_summary(
@@ -152,18 +158,23 @@ def monthly_kpis(
     time_col: str = "created_at",
     event_type: str = "purchase",
     field: str = "amount",
+    amount_col: str | None = None,
 ) -> DataFrame:
     """Purchases, distinct buyers and mean amount per month, with the change to the month before.
 
     `months` ("YYYY-MM") are all reported, with zeros and a warning flag for those
     without purchases. A change is only given if the previous calendar month is
-    part of the result. Amounts are read from the payload of purchases only.
+    part of the result. Amounts come at full precision from the payload of
+    purchases, or from `amount_col`, which saves reading the payload.
     """
     purchases = events.filter(F.col("event_type") == event_type)
     if months:
         first, last = month_interval(min(months)), month_interval(max(months))
         purchases = purchases.filter(in_interval(time_col, (first[0], last[1])))
-    amount = safe_amount("payload", field, WIDE_AMOUNT)
+    if amount_col is None:
+        amount = safe_amount("payload", field, WIDE_AMOUNT)
+    else:
+        amount = F.col(amount_col).cast(WIDE_AMOUNT)
     kpis = (
         purchases.select(
             month_start(time_col).alias("_month"), "user_id", amount.alias("_amount")

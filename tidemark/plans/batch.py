@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.intervals import Interval, Moment, moment, ts
+from tidemark.functions.intervals import Interval, Moment, in_interval, moment, ts
 from tidemark.layout import DAILY, HOURLY
 from tidemark.operators import lifecycle, monitoring, quality, reports, tenants
 from tidemark.plans.lake import Lake, trailing, window_label
@@ -22,7 +22,8 @@ TENANT_TABLE = "analytics_tenants"
 
 def extract(source: DataFrame, lake: Lake, iv: Interval) -> None:
     """Land the raw events of an interval; the same interval overwrites itself."""
-    tables.replace_interval(normalise(source), lake.landing, HOURLY, iv)
+    events = normalise(source).filter(in_interval("created_at", iv))
+    tables.replace_interval(events, lake.landing, HOURLY, iv)
 
 
 def product_metrics(spark: SparkSession, lake: Lake, iv: Interval) -> None:
@@ -97,7 +98,7 @@ def adaptive_run(spark: SparkSession, lake: Lake, iv: Interval, pipeline: str =
 def batch_tenant(spark: SparkSession, lake: Lake, iv: Interval) -> None:
     """Batch and tenant gold side by side for one window."""
     batch = spark.read.parquet(lake.gold(PRODUCT_GOLD)).filter(
-        F.col("window_start") == ts(iv[0])
+        (F.col("window_start") == ts(iv[0])) & (F.col("window_end") == ts(iv[1]))
     )
     tenant = tables.read_or_empty(spark, lake.gold(TENANT_TABLE), TENANT_GOLD)
     joined = tenants.batch_tenant_join(batch, tenant)

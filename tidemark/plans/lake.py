@@ -56,8 +56,8 @@ class Lake:
 
 
 def window_label(iv: Interval) -> str:
-    """Directory label of a processing window."""
-    return moment(iv[0]).strftime("%Y%m%dT%H%M%S")
+    """Directory label of a processing window, start and end."""
+    return "-".join(moment(edge).strftime("%Y%m%dT%H%M%S") for edge in iv)
 
 
 def trailing(as_of, days: int) -> Interval:

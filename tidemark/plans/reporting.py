@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.intervals import Interval, Moment, month_interval, previous_month
+from tidemark.functions.intervals import (
+    Interval,
+    Moment,
+    month_interval,
+    previous_month,
+    require_whole,
+)
 from tidemark.operators import reports, tenants
 from tidemark.plans.batch import TENANT_TABLE
 from tidemark.plans.lake import Lake, dates_of, trailing
@@ -16,6 +22,7 @@ from tidemark.sources.landing import read_tenant_gold
 
 def daily_summary(spark: SparkSession, lake: Lake, iv: Interval) -> None:
     """Replace the report days of an interval of whole days."""
+    require_whole(iv, "1 day")
     summary = reports.daily_event_summary(lake.events(spark, iv), iv)
     tables.replace_partitions(
         summary, lake.gold("daily_event_summary"), ("report_date",), ("event_hour", "event_type")
@@ -24,6 +31,7 @@ def daily_summary(spark: SparkSession, lake: Lake, iv: Interval) -> None:
 
 def hourly_rollup(spark: SparkSession, lake: Lake, iv: Interval) -> None:
     """Roll up the minute windows of an interval; hours without rows are not written."""
+    require_whole(iv, "1 hour")
     live = lake.read(spark, "live_event_metrics", LIVE_METRICS)
     rollup = reports.hourly_rollup(live, iv).withColumn("dt", F.col("hour_start").cast("date"))
     tables.upsert_table(

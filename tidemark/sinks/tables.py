@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.intervals import Interval
+from tidemark.functions.intervals import Interval, require_whole
 from tidemark.layout import Layout
 from tidemark.sinks import storage
 
@@ -54,8 +54,11 @@ def replace_interval(
     With `iv`, partitions of the interval that received no rows are removed too,
     so that the table holds exactly the rows of `df` for that interval. Such a
     partition is one whose files are the same as before the write, since every
-    write gives its files new names.
+    write gives its files new names. The interval has to consist of whole
+    partitions.
     """
+    if iv is not None:
+        require_whole(iv, layout.every)
     spark = df.sparkSession
     root = path.rstrip("/")
     expected = layout.directories(iv) if iv is not None else []
