@@ -84,7 +84,8 @@ def test_tenants(spark, lake):
     )
     twice(batch.tenant_metrics, spark, lake, manifest, "2024-01-09")
     gold = spark.read.parquet(lake.gold(batch.TENANT_TABLE))
-    totals = {r.tenant_id: r.n for r in gold.groupBy("tenant_id").agg(F.sum("total_conversions").alias("n")).collect()}
+    sums = gold.groupBy("tenant_id").agg(F.sum("total_conversions").alias("n"))
+    totals = {r.tenant_id: r.n for r in sums.collect()}
     assert totals == {"even": 32, "odd": 4}
     twice(reporting.cross_tenant, spark, lake, manifest, "2024-01-08")
     report = spark.read.parquet(lake.gold("cross_tenant_comparison")).collect()

@@ -217,7 +217,8 @@ def test_listing_and_footer(spark, path):
     newest = files.newest_file(listed)
     assert newest.endswith(".parquet")
     assert files.newest_hour(listed) == T0
-    kinds = {r.col_name: r.data_type for r in files.schema_rows(files.read_footer_schema(spark, newest)).collect()}
+    footer = files.schema_rows(files.read_footer_schema(spark, newest))
+    kinds = {r.col_name: r.data_type for r in footer.collect()}
     assert kinds["created_at"] == "timestamp" and kinds["amount"] == "decimal(12,2)"
 
 

@@ -96,7 +96,8 @@ def test_decoder_reads_both_spellings_and_bytes(spark):
         message(snake=True, product_id=4),
         message(productId="x"),
     ]
-    raw = spark.createDataFrame([(bytearray(t.encode()), T0) for t in texts], "value BINARY, timestamp TIMESTAMP")
+    rows = [(bytearray(t.encode()), T0) for t in texts]
+    raw = spark.createDataFrame(rows, "value BINARY, timestamp TIMESTAMP")
     got = decode_events(raw).collect()
     assert [(r.user_id, r.event_type, r.product_id) for r in got] == [
         ("u", "view", 3),

@@ -105,7 +105,7 @@ JOBS: dict[str, tuple[tuple[str, ...], Callable]] = {
     "live-metrics": (
         (),
         lambda s, lake, a: stream.live_metrics(
-            s, lake, a.source, **_stream_options(a)
+            s, lake, a.source, state_partitions=a.state_partitions, **_stream_options(a)
         ).awaitTermination(),
     ),
     "split-messages": (
@@ -128,6 +128,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--source", default="kafka")
     p.add_argument("--target")
     p.add_argument("--max-messages", type=int)
+    p.add_argument("--state-partitions", type=int)
     p.add_argument("--apply", action="store_true", help="delete instead of reporting")
     return p
 

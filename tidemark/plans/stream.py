@@ -13,7 +13,12 @@ from tidemark.streaming.sinks import write_stream_split, write_stream_upsert
 
 
 def live_metrics(
-    spark: SparkSession, lake: Lake, source: str, trigger: dict | None = None, **opts
+    spark: SparkSession,
+    lake: Lake,
+    source: str,
+    trigger: dict | None = None,
+    state_partitions: int | None = None,
+    **opts,
 ) -> StreamingQuery:
     """Minute counts of the event stream, kept in the live metrics table."""
     raw = read_event_stream(spark, source, **opts)
@@ -22,6 +27,7 @@ def live_metrics(
         lake.table("live_event_metrics"),
         lake.checkpoint("live_metrics"),
         trigger=trigger,
+        state_partitions=state_partitions,
     )
 
 

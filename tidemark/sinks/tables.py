@@ -39,7 +39,7 @@ def _balanced(df: DataFrame, partition_cols: tuple[str, ...], order: tuple[str,
     The rebalance hint lets the runtime split large partitions and merge small
     ones, so file sizes follow the advisory partition size.
     """
-    return df.hint("rebalance", *partition_cols).sortWithinPartitions(*partition_cols, *order)
+    return sort_for_pruning(df.hint("rebalance", *partition_cols), *partition_cols, *order)
 
 
 def replace_interval(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,12 +24,15 @@ def write_stream_upsert(
     keys: tuple[str, ...] = METRIC_KEYS,
     partition_cols: tuple[str, ...] = ("window_date",),
     trigger: dict | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Keep a table of the latest counts per window and type.
 
     The query runs in update mode, so a window is emitted whenever it changes;
     the upsert replaces its row. Window dates partition the table and each batch
     rewrites only the dates it touches, which hold minute-level aggregates.
+    `state_partitions` is the number of state stores of a new checkpoint; it is
+    fixed from then on. The session's shuffle partitions are the default.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -46,7 +50,21 @@ def write_stream_upsert(
         finally:
             rows.unpersist()
 
-    return _start(stream, write, "update", checkpoint, trigger)
+    with _shuffle_partitions(stream.sparkSession, state_partitions):
+        return _start(stream, write, "update", checkpoint, trigger)
+
+
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
+    """A query keeps the setting that holds while it starts."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if number is not None:
+        spark.conf.set(key, str(number))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def write_stream_jdbc(

@@ -1041,6 +1041,7 @@ def stream_minute_counts(spark, sf_dir):
         f"{root}/table",
         f"{root}/checkpoint",
         trigger={"availableNow": True},
+        state_partitions=8,
     )
     running.awaitTermination()
     return spark.read.parquet(f"{root}/table").select(
