@@ -172,13 +172,16 @@ def upsert_table(
     `src`, which is then evaluated once more.
     """
     _check_partitions(keys, partition_cols)
-    current = read_or_empty(src.sparkSession, path, src.schema)
+    order = tuple(k for k in keys if k not in partition_cols)
+    if not storage.exists(src.sparkSession, path):
+        replace_partitions(src, path, partition_cols, order)
+        return
+    current = src.sparkSession.read.schema(src.schema).parquet(path)
     if scope is None:
         touched = src.select(*partition_cols).distinct()
         affected = current.join(touched, list(partition_cols), "left_semi").select(*src.columns)
     else:
         affected = current.filter(scope)
-    order = tuple(k for k in keys if k not in partition_cols)
     replace_partitions(upsert(affected, src, keys, keep_cols), path, partition_cols, order)
 
 
