@@ -296,6 +296,13 @@ def test_single_rank_is_limited_before_the_shuffle(spark, sf_dir):
         assert "WindowGroupLimit" in below and "Partial" in below
 
 
-def test_drift_reads_the_events_once(spark, sf_dir):
-    for name in ("distribution_drift", "payload_key_drift", "row_count_sla", "daily_event_summary"):
+def test_events_are_read_once(spark, sf_dir):
+    for name in ("distribution_drift", "row_count_sla", "daily_event_summary"):
         assert plan_of(QUERIES[name](spark, sf_dir)).count("FileScan parquet") == 1
+
+
+def test_payload_totals_reuse_the_shuffle(spark, sf_dir):
+    df = QUERIES["payload_key_drift"](spark, sf_dir)
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and final.count("FileScan parquet") == 1

@@ -58,6 +58,18 @@ def test_landing_scan_prunes_and_filters(spark, path):
     assert "hour" not in df.columns
 
 
+def test_long_intervals_list_the_table_instead(spark, path, monkeypatch):
+    rows = [(h, T0 + timedelta(hours=h)) for h in range(6)]
+    tables.replace_interval(events(spark, rows), path, HOURLY)
+    iv = (T0 + timedelta(hours=1), T0 + timedelta(hours=4))
+    short = landing.read_landing(spark, path, iv=iv)
+    monkeypatch.setattr(landing, "LISTED_DIRECTORIES", 1)
+    long = landing.read_landing(spark, path, iv=iv)
+    assert ids(short) == ids(long) == [1, 2, 3]
+    assert short.schema == long.schema
+    assert (len(short.inputFiles()), len(long.inputFiles())) == (3, 6)
+
+
 def test_plain_directory_tree(spark, path):
     events(spark, [(1, T0), (2, T0 + timedelta(days=1))]).write.parquet(f"{path}/2024/01/01/10")
     events(spark, [(3, T0)]).write.parquet(f"{path}/2024/01/03/10")

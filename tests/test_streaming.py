@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.messages import STREAM_ALIASES
 from tidemark.session import scratch_dir
 from tidemark.sources.messages import read_event_stream
+from tidemark.streaming import sinks
 from tidemark.streaming.metrics import decode_events, dropped_by_watermark, minute_counts
 from tidemark.streaming.sinks import write_stream_split, write_stream_upsert
 
@@ -135,3 +136,30 @@ def test_split_writes_each_message_once(spark):
     decoded = decode_events(valid.withColumn("timestamp", F.col("timestamp"))).collect()
     assert {r.event_type for r in decoded} == {"view"}
     assert STREAM_ALIASES["user_id"] == "userId"
+
+
+def test_jdbc_feed_appends_changed_windows_and_skips_empty_batches(spark, monkeypatch):
+    """No database here: the append itself is replaced by a Parquet one."""
+    source, root = scratch_dir(spark, "in"), scratch_dir(spark, "out")
+    calls = []
+
+    def append(df, url, table, properties):
+        calls.append((url, table, properties))
+        df.write.mode("append").parquet(f"{root}/feed")
+
+    monkeypatch.setattr(sinks, "jdbc_append", append)
+
+    def feed():
+        stream = read_event_stream(spark, "parquet", FILE_SCHEMA, path=source)
+        sinks.write_stream_jdbc(
+            minute_counts(decode_events(stream)), "jdbc:x", "live", {}, f"{root}/checkpoint", NOW
+        ).awaitTermination()
+
+    send(spark, source, [(message(), T0), (message(), T0)])
+    feed()
+    send(spark, source, [(message(), T0)])
+    feed()
+    feed()
+    assert calls == [("jdbc:x", "live", {})] * 2
+    counts = sorted(r.event_count for r in spark.read.parquet(f"{root}/feed").collect())
+    assert counts == [2, 3]

@@ -170,8 +170,9 @@ def payload_key_drift(
     """Presence of every payload key per bucket against the expected keys.
 
     One scan: each row yields its keys and a NULL marker that counts the row.
-    After the first aggregation there is one row per bucket and key, from which
-    the row totals and zero entries for absent expected keys are derived.
+    After the first aggregation there is one row per bucket and key. The row
+    totals come from an aggregation of that result, which reuses its shuffle, so
+    a bucket with very many different keys is not gathered in one task.
     """
     keys = F.array_distinct(
         F.coalesce(F.json_object_keys(payload_col), F.array().cast("array<string>"))
@@ -192,11 +193,11 @@ def payload_key_drift(
             expected, lambda k: F.struct(k.alias("key"), F.lit(0).cast("bigint").alias("n"))
         ),
     ).otherwise(F.array(F.struct(F.col("_key").alias("key"), F.col("_n").alias("n"))))
-    total = F.max(F.when(F.col("_key").isNull(), F.col("_n"))).over(
-        Window.partitionBy("window_start")
+    totals = counts.groupBy(F.col("window_start").alias("_window")).agg(
+        F.max(F.when(F.col("_key").isNull(), F.col("_n"))).alias("total_rows")
     )
     return (
-        counts.withColumn("total_rows", total)
+        counts.join(totals, F.col("window_start").eqNullSafe(F.col("_window")))
         .select("window_start", "total_rows", F.explode(entry).alias("_e"))
         .groupBy("window_start", "total_rows", F.col("_e.key").alias("key"))
         .agg(F.sum("_e.n").cast("bigint").alias("present_rows"))
