@@ -311,6 +311,19 @@ def test_classification(spark):
     assert LONG in {r.raw_value for r in whole}
 
 
+def test_very_long_text_is_read_whole(spark):
+    long = F.concat(
+        F.lit('{"user_id": "'), F.repeat(F.lit("x"), 21_000_000), F.lit('", "event_type": "')
+    )
+    raw = spark.range(2).select(
+        F.lit(0).alias("partition"),
+        F.col("id").alias("offset"),
+        F.concat(long, F.when(F.col("id") == 0, 'view"}').otherwise('view"')).alias("value"),
+    )
+    got = messages.classify_messages(raw, as_of="2024-01-31").select("offset", "reason")
+    assert as_set(got, "offset", "reason") == {(0, None), (1, "invalid_json")}
+
+
 def test_repair_adds_only_absent_fields(spark):
     import json
 

@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+_STRICT = {
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+    # The parser's own limit would make very long texts look malformed.
+    "maxStringLen": str(2**31 - 1),
+}
 
 # JSON's own white space; the regex class \s and the anchor $ admit more.
 _SPACE = r"[ \t\r\n]*"
