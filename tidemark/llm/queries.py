@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minhash
+from tidemark.llm import minhash, packing, tokenfiles
 from tidemark.llm.storage import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,10 +25,33 @@ def query(function: Query) -> Query:
     return run
 
 
+def tokenizer(name: str) -> str:
+    """Path of an installed tokenizer file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(
+        table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")
+    )
+    return packing.pack(pieces)
+
+
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, files = tokenfiles.write_tokens(
+        table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=2
+    )
+    return tokenfiles.read_tokens(folder, files)
+
+
 @query
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
