@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minhash, packing, superkmers, tokenfiles
+from tidemark.llm import minhash, packing, secretscan, superkmers, tokenfiles
 from tidemark.llm.storage import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secretscan.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
 @query
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = superkmers.remove_repeats(table(spark, sf_dir, "documents"), texts=False)
