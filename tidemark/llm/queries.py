@@ -6,8 +6,9 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import minhash, packing, secretscan, superkmers, tokenfiles
+from tidemark.llm import langid, minhash, packing, secretscan, superkmers, tokenfiles
 from tidemark.llm.storage import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,7 +39,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secretscan.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = secretscan.scan_secrets(table(spark, sf_dir, "documents"), texts=False)
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
@@ -68,3 +69,12 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 4
+    model = langid.fit(docs.where(remainder != 2))
+    held = docs.select("doc_id", "text", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"))
+    return langid.identify(held, model, keep_text=False)

@@ -19,10 +19,8 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidemark.llm.storage import free_name
-from tidemark.llm.textbatch import slices
+from tidemark.llm.storage import map_texts
 
 #: The rules and their least lengths. `assign` is judged by its second group.
 RULES = {
@@ -218,9 +216,9 @@ class _Points:
         return i if self.plain else len(self.data[:i].decode("utf-8", "ignore"))
 
 
-_MARKS = (
+_MADE = (
     "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, "
-    "findings array<struct<kind:string,start:long,end:long,depth:int>>, clean_text string"
+    "findings array<struct<kind:string,start:long,end:long,depth:int>>"
 )
 _KIND = pa.list_(
     pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("depth", pa.int32())])
@@ -242,55 +240,46 @@ def redact(data: bytes, found: list[Finding], mark: bytes = b"[SECRET]") -> byte
     return b"".join([*out, data[at:]])
 
 
-def _scan(columns: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, columns[0]):
-            counts: list[list[int]] = [[], [], []]
-            sums, spans, lists, clean = [], [], [], []
-            for value in part.column(columns[0]):
-                text = value.as_py()
-                data = (text or "").encode("utf-8", "surrogatepass")
-                found = scan(data)
-                point = _Points(data).at
-                rows = [(f.kind, point(f.start), point(f.end), f.depth) for f in found]
-                names = [f"{k}:{s}:{e}" for k, s, e, _ in rows]
-                base = [n for n, r in zip(names, rows, strict=True) if not r[3]]
-                for n, kind in zip(counts, KINDS, strict=True):
-                    n.append(sum(1 for r in rows if r[0] == kind and not r[3]))
-                sums.append(hashlib.sha256(",".join(base).encode()).hexdigest())
-                spans.append(",".join(names))
-                lists.append(
-                    [dict(zip(("kind", "start", "end", "depth"), r, strict=True)) for r in rows]
-                )
-                clean.append(redact(data, found).decode("utf-8", "replace") if found else text)
-            made = [*(pa.array(n, pa.int64()) for n in counts), pa.array(sums), pa.array(spans),
-                    pa.array(lists, _KIND), pa.array(clean, pa.string())]
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, *made],
-                names=[*part.schema.names, "n_assign", "n_access", "n_hex", "base_sha256",
-                       "spans", "findings", "clean_text"],
+def _scan(texts: bool):
+    def work(column: pa.Array) -> list[pa.Array]:
+        counts: list[list[int]] = [[], [], []]
+        sums, spans, lists, clean = [], [], [], []
+        for value in column:
+            text = value.as_py()
+            data = (text or "").encode("utf-8", "surrogatepass")
+            found = scan(data)
+            point = _Points(data).at
+            rows = [(f.kind, point(f.start), point(f.end), f.depth) for f in found]
+            names = [f"{k}:{s}:{e}" for k, s, e, _ in rows]
+            base = [n for n, r in zip(names, rows, strict=True) if not r[3]]
+            for n, kind in zip(counts, KINDS, strict=True):
+                n.append(sum(1 for r in rows if r[0] == kind and not r[3]))
+            sums.append(hashlib.sha256(",".join(base).encode()).hexdigest())
+            spans.append(",".join(names))
+            lists.append(
+                [dict(zip(("kind", "start", "end", "depth"), r, strict=True)) for r in rows]
             )
+            if texts:
+                clean.append(redact(data, found).decode("utf-8", "replace") if found else text)
+        return [
+            *(pa.array(n, pa.int64()) for n in counts),
+            pa.array(sums, pa.string()),
+            pa.array(spans, pa.string()),
+            pa.array(lists, _KIND),
+            *([pa.array(clean, pa.string())] if texts else []),
+        ]
 
-    return run
+    return work
 
 
-def scan_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def scan_secrets(docs: DataFrame, text_col: str = "text", texts: bool = True) -> DataFrame:
     """The columns of `docs` with the secrets of its texts and, in clean_text, them replaced.
 
     n_assign, n_access, n_hex: matches of the base rules in the text itself, leftmost and not
     overlapping for each rule; base_sha256: digest of those as kind:start:end in code points,
     by start and then rule. spans lists these and the findings below encodings likewise;
     findings has them with their depth. Null text: no findings, and it stays null. Columns of
-    these names in `docs` are replaced.
+    these names in `docs` are replaced. Without `texts`, neither text comes back.
     """
-    made = [x.split()[0] for x in _MARKS.split(", ")]
-    kept = [c for c in docs.columns if c.lower() not in made]
-    # The text goes along under a name of its own, so a column may have any name and type.
-    text, rest = free_name(docs, "scanned"), free_name(docs, "others")
-    rows = docs.select(
-        F.col(text_col).cast("string").alias(text),
-        F.struct(*(F.col(f"`{c}`") for c in kept)).alias(rest),
-    )
-    inner = rows.schema[rest].dataType.simpleString()
-    found = rows.mapInArrow(_scan([text]), f"`{text}` string, `{rest}` {inner}, {_MARKS}")
-    return found.select(*(F.col(f"`{rest}`.`{c}`") for c in kept), *made)
+    made = _MADE + (", clean_text string" if texts else "")
+    return map_texts(docs, text_col, _scan(texts), made, texts)

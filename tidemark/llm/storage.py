@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tidemark.llm.textbatch import slices
 from tidemark.session import scratch_dir
 
 
@@ -39,3 +44,42 @@ def ship_package(spark: SparkSession) -> None:
     ):
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         spark.sparkContext.addFile(package, recursive=True)
+
+
+def map_texts(
+    docs: DataFrame,
+    text_col: str,
+    work: Callable[[pa.Array], list[pa.Array]],
+    made: str,
+    keep_text: bool = True,
+) -> DataFrame:
+    """`docs` with the columns `made` (a schema) that `work` computes from slices of its texts.
+
+    The other columns go along untouched, whatever their names and types; those named as a
+    made column are replaced. The text column itself comes back only with `keep_text`.
+    """
+    new = StructType.fromDDL(made).fieldNames()
+    lower = {c.lower() for c in new}
+    kept = [c for c in docs.columns if c != text_col and c.lower() not in lower]
+    text = "text_in"
+    rows = docs.select(
+        F.col(f"`{text_col}`").cast("string").alias(text),
+        F.struct(F.lit(True).alias("row"), *(F.col(f"`{c}`") for c in kept)).alias("others"),
+    )
+    schema = StructType(
+        [rows.schema["others"], *([rows.schema[text]] if keep_text else []),
+         *StructType.fromDDL(made).fields]
+    )
+    names = [f.name for f in schema.fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text):
+            own = [part.column("others"), *([part.column(text)] if keep_text else [])]
+            yield pa.RecordBatch.from_arrays([*own, *work(part.column(text))], names=names)
+
+    out = rows.mapInArrow(run, schema)
+    order = [c for c in docs.columns if c in kept or (keep_text and c == text_col and c.lower() not in lower)]
+    return out.select(
+        *(F.col(text).alias(c) if c == text_col else F.col(f"others.`{c}`").alias(c) for c in order),
+        *(F.col(f"`{c}`") for c in new),
+    )
