@@ -163,8 +163,23 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_confirm(percent), "a long, b long")
 
 
+def _similar(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the sorted sets are similar enough to the sorted set `one`."""
+    sizes = np.array([len(x) for x in others])
+    joined = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, joined), len(one) - 1)
+    ends = np.cumsum(sizes)
+    total = np.concatenate(([0], np.cumsum(one[at] == joined)))
+    common = total[ends] - total[ends - sizes]
+    return 100 * common >= percent * (len(one) + sizes - common)
+
+
 def _across(allowed: int, percent: int):
-    """Pairs of one block pair in different components that their sketches do not rule out."""
+    """Links of one block pair between components, confirmed on full sets; a spanning forest.
+
+    Only pairs that their sketches do not rule out are compared, each in the first band that
+    both have, and none between parts that are already joined.
+    """
 
     def run(members: pd.DataFrame) -> pd.DataFrame:
         i, j = members["i"].iloc[0], members["j"].iloc[0]
@@ -172,19 +187,34 @@ def _across(allowed: int, percent: int):
         right = members[members["block"] == j]
         p, q = left[_SKETCH].to_numpy().view(np.uint64), right[_SKETCH].to_numpy().view(np.uint64)
         u, v = left["id"].to_numpy(), right["id"].to_numpy()
-        cu, cv = left["component_id"].to_numpy(), right["component_id"].to_numpy()
         nu, nv = left["n_shingles"].to_numpy(), right["n_shingles"].to_numpy()
+        bands_u, bands_v = np.stack(left["bands"].tolist()), np.stack(right["bands"].tolist())
+        here = bands_u[0] == members["band"].iloc[0]
+        here = int(np.flatnonzero(here)[0])
+        sets_u, sets_v = ([np.frombuffer(x, np.uint64) for x in side["shingles"]] for side in (left, right))
+        part, code = np.unique(np.concatenate((left["component_id"], right["component_id"])), return_inverse=True)
+        root = np.arange(len(part))
+        cu, cv = code[: len(u)], code[len(u) :]
         found = []
         for k in range(len(u)):
-            near = np.bitwise_count(q ^ p[k]).sum(axis=1) <= allowed
-            near &= (cv != cu[k]) & (100 * np.minimum(nv, nu[k]) >= percent * np.maximum(nv, nu[k]))
+            bits = np.bitwise_count(q ^ p[k]).sum(axis=1)
+            near = (bits <= allowed) & (root[cv] != root[cu[k]])
+            near &= 100 * np.minimum(nv, nu[k]) >= percent * np.maximum(nv, nu[k])
             if i == j:
                 near &= v > u[k]
-            if near.any():
-                w = v[near]
-                found.append(np.stack((np.maximum(w, u[k]), np.minimum(w, u[k])), axis=1))
-        out = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": out[:, 0], "b": out[:, 1]})
+            y = np.flatnonzero(near)
+            y = y[(bands_v[y, :here] != bands_u[k, :here]).all(axis=1)]
+            y = y[np.argsort(bits[y], kind="stable")]
+            # Nearest first; a part is done with its first link.
+            while len(y):
+                some, y = y[:64], y[64:]
+                for w in some[_similar(sets_u[k], [sets_v[x] for x in some], percent)].tolist():
+                    one, two = root[cu[k]], root[cv[w]]
+                    if one != two:
+                        root[root == max(one, two)] = min(one, two)
+                        found.append((max(u[k], v[w]), min(u[k], v[w])))
+                y = y[root[cv[y]] != root[cu[k]]]
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     return run
 
@@ -302,19 +332,19 @@ def _links(
     spread = (
         stored(open_members.select("band", "size", "id", "component_id"), "open")
         .join(unsettled, "band")
-        .join(sketch, "id")
+        .join(classes.select("id", "n_shingles", "bands", *_SKETCH), "id")
+        .join(sets, "id")
         .withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumn("i", F.least("block", "other"))
         .withColumn("j", F.greatest("block", "other"))
     )
-    rest = (
-        spread.groupBy("band", "i", "j")
-        .applyInPandas(_across(allowed, percent), "a long, b long")
-        .distinct()
-        .join(near.select("a", "b"), ["a", "b"], "left_anti")
+    second = stored(
+        spread.groupBy("band", "i", "j").applyInPandas(
+            _across(allowed, percent), "a long, b long"
+        ),
+        "confirmed",
     )
-    second = stored(_confirmed(rest, sets, percent), "confirmed")
     names = classes.select("id", "doc_id")
     linked = (
         first.union(second)
