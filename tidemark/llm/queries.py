@@ -8,7 +8,16 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, minhash, packing, secretscan, superkmers, tokenfiles
+from tidemark.llm import (
+    covertree,
+    langid,
+    minhash,
+    packing,
+    secretscan,
+    superkmers,
+    tokenfiles,
+    topk,
+)
 from tidemark.llm.storage import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +46,60 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_cover_tree_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = covertree.link_vectors(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
+ORACLES["op1_cover_tree_near_dedup"] = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND list_count(embedding) = len(embedding)
+      AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+       AND list_cosine_similarity(a.v, b.v) >= 0.93
+), reached AS (
+    SELECT vec_id AS id, vec_id AS other FROM embeddings
+    UNION
+    SELECT r.id, l.y FROM reached r JOIN links l ON l.x = r.other
+), counted AS (
+    SELECT x, count(*) AS n FROM links GROUP BY x
+)
+SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, r.low AS component_id,
+       r.low = e.vec_id AS kept
+FROM embeddings e
+JOIN (SELECT id, min(other) AS low FROM reached GROUP BY id) r ON r.id = e.vec_id
+LEFT JOIN counted c ON c.x = e.vec_id
+"""
+
+
+@query
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op3_exact_top_k"] = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+      AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 @query
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secretscan.scan_secrets(table(spark, sf_dir, "documents"), texts=False)
