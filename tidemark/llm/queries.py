@@ -12,7 +12,9 @@ from tidemark.llm import (
     covertree,
     langid,
     minhash,
+    mixing,
     packing,
+    preference,
     secretscan,
     superkmers,
     tokenfiles,
@@ -78,6 +80,60 @@ LEFT JOIN counted c ON c.x = e.vec_id
 """
 
 
+@query
+def op2_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation 2 i is taken as chosen, 2 i + 1 as rejected."""
+    convs = preference.conversations(table(spark, sf_dir, "conversations"))
+    number = F.col("conv_id").cast("long")
+    pairs = convs.where(number % 2 == 0).select(
+        (number / 2).cast("long").alias("pair_id"),
+        number.alias("chosen_id"),
+        (number + 1).alias("rejected_id"),
+    )
+    return preference.preference_records(convs, pairs)
+
+
+ORACLES["op2_preference_format"] = """
+WITH convs AS (
+    SELECT conv_id,
+           list(struct_pack(role := coalesce(role, 'unknown'), text := coalesce(text, ''))
+                ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), pairs AS (
+    SELECT a.conv_id // 2 AS pair_id, a.conv_id AS chosen_id, b.conv_id AS rejected_id,
+           a.turns AS x, b.turns AS y,
+           coalesce(list_min(list_filter(range(1, greatest(len(a.turns), len(b.turns)) + 1),
+                lambda i: a.turns[i] IS DISTINCT FROM b.turns[i])) - 1, len(a.turns)) AS n
+    FROM convs a JOIN convs b ON a.conv_id % 2 = 0 AND b.conv_id = a.conv_id + 1
+), split AS (
+    SELECT pair_id, chosen_id, rejected_id, n, x[1:n] AS p, x[n + 1:] AS x, y[n + 1:] AS y
+    FROM pairs
+), parts AS (
+    SELECT *, list_transform(p, lambda t: concat('<|', t.role, '|>', chr(10), t.text, '<|end|>', chr(10))) AS rp,
+        list_transform(x, lambda t: concat('<|', t.role, '|>', chr(10), t.text, '<|end|>', chr(10))) AS rx,
+        list_transform(y, lambda t: concat('<|', t.role, '|>', chr(10), t.text, '<|end|>', chr(10))) AS ry
+    FROM split
+), placed AS (
+    SELECT *, list_transform(range(1, len(x) + 1), lambda i: struct_pack(role := x[i].role,
+            e := coalesce(list_sum(list_transform(rx[1:i], lambda r: length(r))), 0)::BIGINT - 1,
+            n := length(x[i].text) + 7)) AS sx,
+        list_transform(range(1, len(y) + 1), lambda i: struct_pack(role := y[i].role,
+            e := coalesce(list_sum(list_transform(ry[1:i], lambda r: length(r))), 0)::BIGINT - 1,
+            n := length(y[i].text) + 7)) AS sy
+    FROM parts
+)
+SELECT pair_id, chosen_id, rejected_id, n::INT AS prompt_turns,
+    coalesce(array_to_string(rp, ''), '') AS prompt,
+    coalesce(array_to_string(rx, ''), '') AS chosen,
+    coalesce(array_to_string(list_transform(list_filter(sx, lambda s: s.role = 'assistant'),
+        lambda s: concat(s.e - s.n, ':', s.e)), ','), '') AS chosen_mask,
+    coalesce(array_to_string(ry, ''), '') AS rejected,
+    coalesce(array_to_string(list_transform(list_filter(sy, lambda s: s.role = 'assistant'),
+        lambda s: concat(s.e - s.n, ':', s.e)), ','), '') AS rejected_mask
+FROM placed
+"""
+
+
 @query
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
@@ -134,6 +190,12 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix_sources(docs).drop("text")
+
+
 @query
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
