@@ -61,10 +61,13 @@ def map_texts(
     new = StructType.fromDDL(made).fieldNames()
     lower = {c.lower() for c in new}
     kept = [c for c in docs.columns if c != text_col and c.lower() not in lower]
-    text = "text_in"
+    # Fields by place, so that any names go along.
+    text, places = "text_in", {c: f"c{i}" for i, c in enumerate(kept)}
     rows = docs.select(
         F.col(f"`{text_col}`").cast("string").alias(text),
-        F.struct(F.lit(True).alias("row"), *(F.col(f"`{c}`") for c in kept)).alias("others"),
+        F.struct(
+            F.lit(True).alias("row"), *(F.col(f"`{c}`").alias(p) for c, p in places.items())
+        ).alias("others"),
     )
     schema = StructType(
         [rows.schema["others"], *([rows.schema[text]] if keep_text else []),
@@ -78,8 +81,8 @@ def map_texts(
             yield pa.RecordBatch.from_arrays([*own, *work(part.column(text))], names=names)
 
     out = rows.mapInArrow(run, schema)
-    order = [c for c in docs.columns if c in kept or (keep_text and c == text_col and c.lower() not in lower)]
+    shown = [c for c in docs.columns if c in places or (keep_text and c == text_col)]
     return out.select(
-        *(F.col(text).alias(c) if c == text_col else F.col(f"others.`{c}`").alias(c) for c in order),
+        *(F.col(f"others.{places[c]}" if c in places else text).alias(c) for c in shown),
         *(F.col(f"`{c}`") for c in new),
     )
