@@ -168,7 +168,7 @@ _FOUND = "doc_id long, row_key long, start long, stop long"
 
 
 def _send(window: int, run: int, heavy: np.ndarray, buckets: int):
-    """Super-k-mers by bucket; bucket null: ranges that the batch has decided by itself."""
+    """Super-k-mers by bucket; a negative bucket: ranges that the batch has decided itself."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
@@ -188,8 +188,10 @@ def _send(window: int, run: int, heavy: np.ndarray, buckets: int):
             text = np.searchsorted(w.first, at, side="right") - 1
             decided = repeats(window_hashes(h, window)[at], ids[text], h, at, window)
             owner, a, b = spans(text[decided], (at - w.first[text])[decided], window)
-            head = np.stack((ids[owner], keys[owner], a, b))
-            yield rows([None], [len(a)], [press.compress(head.tobytes())])
+            if len(a):
+                head = np.stack((ids[owner], keys[owner], a, b))
+                place = -1 - int(mix(keys[owner[:1]].view(np.uint64))[0] % np.uint64(buckets))
+                yield rows([place], [len(a)], [press.compress(head.tobytes())])
             # A super-k-mer: consecutive windows with one minimiser, from the first undecided
             # one to the last. Decided ones in between go along.
             new = np.ones(len(at), dtype=bool)
@@ -221,6 +223,11 @@ def _bucket(window: int):
     def work(group: pd.DataFrame) -> pd.DataFrame:
         unpress = zstandard.ZstdDecompressor()
         facts, texts = [], []
+        if group["bucket"].iloc[0] < 0:
+            for n, packed in zip(group["n"], group["packed"], strict=True):
+                facts.append(np.frombuffer(unpress.decompress(packed), np.int64).reshape(4, n))
+            names = ["doc_id", "row_key", "start", "stop"]
+            return pd.DataFrame(dict(zip(names, np.concatenate(facts, axis=1), strict=True)))
         for n, packed in zip(group["n"], group["packed"], strict=True):
             raw = unpress.decompress(packed)
             facts.append(np.frombuffer(raw, np.int64, 4 * n).reshape(4, n))
@@ -244,16 +251,6 @@ def _bucket(window: int):
     return work
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    unpress = zstandard.ZstdDecompressor()
-    for batch in batches:
-        for n, packed in zip(*(batch.column(c).to_pylist() for c in ("n", "packed")), strict=True):
-            facts = np.frombuffer(unpress.decompress(packed), np.int64).reshape(4, n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(f) for f in facts], names=["doc_id", "row_key", "start", "stop"]
-            )
-
-
 def repeated_ranges(
     docs: DataFrame, window: int = WINDOW, run: int = RUN, bucket: int = BUCKET
 ) -> DataFrame:
@@ -277,15 +274,10 @@ def repeated_ranges(
     bound = max(packs / (2 * buckets), packs / HEAVY)
     rows = often.where(F.col("gram").isNotNull() & (F.col("packs") > bound)).select("gram")
     heavy = np.sort(np.array([r[0] for r in rows.collect()], dtype=np.int64).view(np.uint64))
-    sent = stored(
-        docs.select("doc_id", "row_key", "text").mapInArrow(
-            _send(window, run, heavy, buckets), _SENT
-        ),
-        "superkmers",
+    sent = docs.select("doc_id", "row_key", "text").mapInArrow(
+        _send(window, run, heavy, buckets), _SENT
     )
-    own = sent.where("bucket is null").mapInArrow(_unpack, _FOUND)
-    met = sent.where("bucket is not null").groupBy("bucket").applyInPandas(_bucket(window), _FOUND)
-    return own.union(met)
+    return sent.groupBy("bucket").applyInPandas(_bucket(window), _FOUND)
 
 
 def _keep(texts: bool):
