@@ -163,17 +163,23 @@ def fit(
         F.col(text_col).alias("text"),
         F.xxhash64(F.col(id_col), F.lit(1)).alias("draw"),
     )
+    often = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    # Of a large language only hashes that can be among the smallest go on: four times as many
+    # as wanted, whatever its size. At most `languages` rows are broadcast.
+    near = F.least(F.lit(1.0), 4.0 * sample / F.col("count")) * 2.0**64 - 2.0**63
+    near = F.broadcast(often.select("lang", near.alias("near")))
     by_draw = Window.partitionBy("lang").orderBy("draw")
     drawn = (
         rows.select("lang", "draw")
+        .join(near, "lang")
+        .where(F.col("draw") <= F.col("near"))
         .withColumn("place", F.row_number().over(by_draw))
         .where(F.col("place") <= sample)
         .groupBy("lang")
         .agg(F.max("draw").alias("last"))
     )
-    often = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
     # At most `languages` rows.
-    limits = F.broadcast(drawn.join(often.select("lang"), "lang"))
+    limits = F.broadcast(drawn)
     taught = rows.join(limits, "lang").where("draw <= last").select("lang", "text")
     counts = (
         taught.mapInArrow(_counted, "lang string, gram long, n long")
