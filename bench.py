@@ -10,7 +10,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tidemark.session import build_session  # noqa: E402
+from tidemark.session import build_session, drop_scratch  # noqa: E402
 from workload.queries import QUERIES  # noqa: E402
 
 # Queries that write tables or run a stream: one timed run after the warm-up.
@@ -20,13 +20,24 @@ HEAVY = {
     "compaction_manifest",
     "compaction_result",
     "csv_export",
+    "dlq_bounded_batch",
+    "dlq_replay_twice",
+    "duplicate_audit",
+    "duplicate_rank",
     "file_retention_plan",
     "insert_if_absent_result",
     "interval_reload_result",
     "landing_roundtrip",
+    "measurement_log",
+    "republished_messages",
+    "rows_out_of_order",
     "stream_minute_counts",
     "stream_valid_dlq_split",
+    "tenant_conversions_by_manifest_file",
+    "tenant_gold_report",
+    "tenant_landing_roundtrip",
     "upsert_result",
+    "windowed_gold",
 }
 
 
@@ -70,6 +81,7 @@ def main() -> None:
     if "stream_minute_counts" in seconds:
         result["stream_rows_per_sec"] = round(rows / seconds["stream_minute_counts"])
     print(json.dumps(result))
+    drop_scratch(spark)
     spark.stop()
 
 

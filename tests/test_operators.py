@@ -152,8 +152,7 @@ def test_duplicate_rank(spark):
 
 
 @pytest.mark.parametrize("spread", ["dense", "sparse", "clustered"])
-@pytest.mark.parametrize("limit", [1, 7, 50, 1000])
-def test_hot_slots_are_ranked_exactly(spark, spread, limit):
+def test_hot_groups_are_ranked_exactly(spark, spread):
     """One second holds most rows, half of them in one group; ranks match a plain count."""
     ids = {
         "dense": list(range(300)),
@@ -169,14 +168,23 @@ def test_hot_slots_are_ranked_exactly(spark, spread, limit):
     for id_, user, kind, when in sorted(rows):
         seen[(user, kind, when)] = seen.get((user, kind, when), 0) + 1
         expected[id_] = seen[(user, kind, when)]
-    ranked = duplicates.duplicate_rank(events(spark, rows), hot_slot_rows=limit)
+    ranked = duplicates.duplicate_rank(events(spark, rows))
     assert {r.event_id: r.rn for r in ranked.collect()} == expected
 
 
-def test_rank_needs_an_integer_order(spark):
-    df = events(spark, duplicate_rows())
-    with pytest.raises(TypeError):
-        duplicates.duplicate_rank(df, order="user_id")
+def test_a_hot_group_is_split_whatever_its_ids(spark):
+    """One group, ids in two far clusters: no range holds much more than its share."""
+    ids = list(range(20_000)) + [2**60 + i for i in range(50)]
+    rows = [(i, "u", "view", T0) for i in ids]
+    df = events(spark, rows).repartition(4).select("id", F.struct("user_id", "event_type").alias("_key"))
+    # Small ranges would be merged again.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranged = duplicates.key_ranges(df, "_key", "id").groupBy("_range").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in ranged]
+    assert len(sizes) >= 4 and max(sizes) < 2 * len(ids) / len(sizes)
 
 
 def test_promotion_to_bronze(spark):
@@ -305,9 +313,9 @@ def test_classification(spark):
         messages.classify_messages(raw, as_of="2024-01-31")
     )
     assert fixable.count() + unrecoverable.count() == len(CASES)
-    logged = messages.unrecoverable_log(unrecoverable).collect()
+    logged = messages.unrecoverable_log(unrecoverable, messages.MAX_LOGGED_CHARS).collect()
     assert max(len(r.raw_value or "") for r in logged) == 2000
-    whole = messages.unrecoverable_log(unrecoverable, max_chars=None).collect()
+    whole = messages.unrecoverable_log(unrecoverable).collect()
     assert LONG in {r.raw_value for r in whole}
 
 

@@ -143,7 +143,7 @@ def test_quality_jobs(spark, lake):
     assert [str(r.report_date) for r in audit] == ["2024-01-08"]
     checks.schema_check(spark, lake)
     drift = spark.read.parquet(lake.log("dq_schema_drift_log")).first()
-    assert drift.drift_detected and drift.extra_cols == ["amount", "product_id"]
+    assert not drift.drift_detected and drift.extra_cols == []
 
 
 def test_monitoring_jobs(spark, lake):
@@ -229,6 +229,22 @@ def test_archive_then_soft_delete(spark, lake):
     assert spark.read.parquet(lake.gold("archived_users")).count() == 2
 
 
+def test_archive_with_a_limit_loses_nobody(spark, lake):
+    twice(upkeep.archive_users, spark, lake, "2024-01-20", limit=1)
+    archived = spark.read.parquet(lake.gold("archived_users")).collect()
+    users = spark.read.parquet(lake.table("users")).filter("deleted_at IS NOT NULL").collect()
+    assert sorted(r.user_id for r in archived) == sorted(r.user_id for r in users) == ["u4", "u5"]
+
+
+def test_a_day_without_purchases_is_backfilled_once(spark, lake):
+    for _ in range(2):
+        batch.backfill_products(spark, lake, "2024-01-30")
+        days = spark.read.parquet(lake.log("empty_days"))
+        assert days.filter("dt >= '2024-01-23'").count() == 7
+    none = spark.createDataFrame([], "client_id STRING, target_table STRING, retention_days INT, position INT")
+    batch.tenant_metrics(spark, lake, none, "2024-01-30")
+
+
 def test_landing_cleanup_reports_first(spark, lake):
     before = lake.events(spark).count()
     plan = upkeep.clean_landing(spark, lake, "2100-01-01")

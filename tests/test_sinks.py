@@ -58,16 +58,18 @@ def test_landing_scan_prunes_and_filters(spark, path):
     assert "hour" not in df.columns
 
 
-def test_long_intervals_list_the_table_instead(spark, path, monkeypatch):
-    rows = [(h, T0 + timedelta(hours=h)) for h in range(6)]
+def test_a_year_needs_a_listing_per_parent(spark, path, monkeypatch):
+    rows = [(d, T0 + timedelta(days=d)) for d in range(4)]
     tables.replace_interval(events(spark, rows), path, HOURLY)
-    iv = (T0 + timedelta(hours=1), T0 + timedelta(hours=4))
-    short = landing.read_landing(spark, path, iv=iv)
-    monkeypatch.setattr(landing, "LISTED_DIRECTORIES", 1)
-    long = landing.read_landing(spark, path, iv=iv)
-    assert ids(short) == ids(long) == [1, 2, 3]
-    assert short.schema == long.schema
-    assert (len(short.inputFiles()), len(long.inputFiles())) == (3, 6)
+    calls, plain = [], storage.children
+    monkeypatch.setattr(storage, "children", lambda s, p: calls.append(p) or plain(s, p))
+    year = (T0.replace(hour=0), T0.replace(hour=0) + timedelta(days=365))
+    assert ids(landing.read_landing(spark, path, iv=year)) == [0, 1, 2, 3]
+    # The root, one year and one month: 8,760 hours cost three listings to find four days.
+    assert len(calls) == 3
+    calls.clear()
+    tables.replace_interval(events(spark, rows[:1]), path, HOURLY, year)
+    assert len(calls) == 3 + 4 and ids(landing.read_landing(spark, path)) == [0]
 
 
 def test_plain_directory_tree(spark, path):
@@ -165,15 +167,18 @@ def test_empty_window_is_replaced(spark, path):
     assert [r.window for r in spark.read.parquet(path).collect()] == ["w2"]
 
 
-def test_log_grows_and_archive_does_not(spark, path):
+def test_log_grows_and_archive_keeps_each_user_once_a_date(spark, path):
     df = counts(spark, [(date(2024, 1, 1), "a", 1, "")])
-    for _ in range(2):
+    users = [spark.createDataFrame([(u,)], "user_id STRING") for u in ("u1", "u1", "u2")]
+    for user in users:
         tables.append_log(df, f"{path}/log")
-        exports.archive(df, f"{path}/archive", "2024-01-31", "inactive_180d")
-    exports.archive(df, f"{path}/archive", "2024-02-29", "inactive_180d")
-    assert spark.read.parquet(f"{path}/log").count() == 2
+        exports.archive(user, f"{path}/archive", "2024-01-31", "inactive_180d")
+    exports.archive(users[0], f"{path}/archive", "2024-02-29", "inactive_180d")
+    assert spark.read.parquet(f"{path}/log").count() == 3
     kept = spark.read.parquet(f"{path}/archive")
-    assert sorted(str(r.archive_date) for r in kept.collect()) == ["2024-01-31", "2024-02-29"]
+    assert sorted((str(r.archive_date), r.user_id) for r in kept.collect()) == [
+        ("2024-01-31", "u1"), ("2024-01-31", "u2"), ("2024-02-29", "u1")
+    ]
     assert {r.archive_reason for r in kept.collect()} == {"inactive_180d"}
 
 
@@ -185,7 +190,7 @@ def test_csv_and_republished_text(spark, path):
     for _ in range(2):
         exports.republish(exports.message_values(df), "text", path=f"{path}/out")
     sent = [r.value for r in spark.read.text(f"{path}/out").collect()]
-    assert sent == ['{"d":"2024-01-01","kind":"a,b","n":1,"note":null}']
+    assert sent == ['{"d":"2024-01-01","kind":"a,b","n":1,"note":null}'] * 2
 
 
 def test_retention_deletes_only_expired_files(spark, path):
@@ -218,6 +223,11 @@ def test_compaction(spark, path):
         assert ids(stored) == list(range(400))
         names = [r.path for r in files.list_files(spark, f"{path}/gold").collect()]
         assert len(names) == sum(r.files_after for r in got.values())
+        spans = stored.groupBy("dt", F.input_file_name().alias("file")).agg(
+            F.min("created_at").alias("low"), F.max("created_at").alias("high")
+        ).orderBy("dt", "low").collect()
+        for one, two in zip(spans[:-1], spans[1:], strict=True):
+            assert one.dt != two.dt or one.high < two.low
     nothing = lifecycle.compact(spark, f"{path}/bronze", f"{path}/gold", ["2023-01-01"])
     assert nothing.isEmpty()
 
@@ -228,10 +238,10 @@ def test_listing_and_footer(spark, path):
     assert files.has_data(listed)
     newest = files.newest_file(listed)
     assert newest.endswith(".parquet")
-    assert files.newest_hour(listed) == T0
+    assert files.hour_of(files.newest_directory(spark, path)) == T0
     footer = files.schema_rows(files.read_footer_schema(spark, newest))
     kinds = {r.col_name: r.data_type for r in footer.collect()}
-    assert kinds["created_at"] == "timestamp" and kinds["amount"] == "decimal(12,2)"
+    assert kinds["created_at"] == "timestamp" and kinds["amount"] == "decimal(24,8)"
 
 
 def test_manifest_keeps_its_order(spark, tmp_path):
@@ -286,3 +296,21 @@ def test_normalise_accepts_all_layouts(spark, time_name):
         (2, 8, None, T0),
     ]
     assert schemas.normalise(nested).schema == schemas.EVENTS
+
+
+def test_source_keys_that_repeat_count_once(spark, path):
+    old = counts(spark, [(date(2024, 1, 1), "a", 1, "old")])
+    new = counts(spark, [(date(2024, 1, 1), "a", 3, "z"), (date(2024, 1, 1), "a", 2, "y")])
+    got = tables.upsert(old, new, ("d", "kind")).collect()
+    assert [(r.n, r.note) for r in got] == [(2, "y")]
+
+
+def test_an_upsert_reads_only_the_dates_it_touches(spark, path):
+    rows = [(date(2024, 1, d), "a", d, "") for d in range(1, 20)]
+    tables.replace_partitions(counts(spark, rows), path, ("d",))
+    src = counts(spark, [(date(2024, 1, 4), "a", 0, ""), (date(2024, 1, 6), "b", 0, "")])
+    current = spark.read.schema(src.schema).parquet(path)
+    df = tables.touched(current, src, ("d",))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(d" in plan and "2024-01-04" in plan
+    assert sorted(r.n for r in df.collect()) == [4, 6]

@@ -12,6 +12,7 @@ from tidemark.session import scratch_dir
 from tidemark.sources.messages import read_event_stream
 from tidemark.streaming import sinks
 from tidemark.streaming.metrics import decode_events, dropped_by_watermark, minute_counts
+from tidemark.sinks import storage
 from tidemark.streaming.sinks import write_stream_split, write_stream_upsert
 
 T0 = datetime(2024, 1, 1, 10)
@@ -121,9 +122,14 @@ def test_split_writes_each_message_once(spark):
 
     # The second run repeats batch 0, as after a failure before the commit.
     split(f"{root}/c1")
-    split(f"{root}/c2")
+    storage.delete(spark, f"{root}/c1/commits/0")
+    split(f"{root}/c1")
     valid = spark.read.parquet(f"{root}/valid")
     assert valid.count() == 2
+    # Another stream adds its messages and overwrites nothing.
+    split(f"{root}/c2")
+    valid = spark.read.parquet(f"{root}/valid")
+    assert valid.count() == 4 and valid.select("stream").distinct().count() == 2
     assert {json.loads(r.value)["timestamp"] for r in valid.collect()} == {
         "2024-01-01T10:00:00.000000"
     }

@@ -51,6 +51,12 @@ def has_field(fields: Column, *names: str) -> Column:
     return found
 
 
+def last_value(fields: Column, name: str) -> Column:
+    """Value of the last entry of that name, NULL without one."""
+    own = F.filter(F.map_entries(fields), lambda e: e["key"] == name)
+    return F.try_element_at(own, F.lit(-1))["value"]
+
+
 def add_fields(text: Column, additions: Column) -> Column:
     """Splice `, "key": value` text before the closing brace of a non-empty object.
 

@@ -47,15 +47,16 @@ def per_unit2(total: str | Column, units: int) -> Column:
 
 
 def mean2(total: str | Column, count: str | Column) -> Column:
-    """Mean of non-negative WIDE_AMOUNT values with two decimals, half up.
+    """Mean of WIDE_AMOUNT values with two decimals, half away from zero.
 
     NULL when nothing was counted.
     """
-    units = (_col(total) * F.lit(_WIDE_UNITS)).cast("decimal(38,0)")
+    units = (F.abs(_col(total)) * F.lit(_WIDE_UNITS)).cast("decimal(38,0)")
     count = F.nullif(_col(count).cast("bigint"), F.lit(0).cast("bigint"))
     per_cent = count.cast("decimal(20,0)") * F.lit(_WIDE_UNITS // 100).cast("decimal(10,0)")
     numerator = (units * 2 + per_cent).cast("decimal(38,0)")
-    return _div(numerator, (per_cent * 2).cast("decimal(38,0)")) / F.lit(100.0)
+    size = _div(numerator, (per_cent * 2).cast("decimal(38,0)")) / F.lit(100.0)
+    return F.when(_col(total) < 0, -size).otherwise(size)
 
 
 def safe_cast(c: str | Column, data_type: str) -> Column:
@@ -63,7 +64,7 @@ def safe_cast(c: str | Column, data_type: str) -> Column:
     return _col(c).try_cast(data_type)
 
 
-def safe_amount(json_col: str | Column, field: str, data_type: str = "decimal(12,2)") -> Column:
+def safe_amount(json_col: str | Column, field: str, data_type: str = WIDE_AMOUNT) -> Column:
     """Numeric value of a JSON text field; NULL if absent, null or not a number."""
     text = F.get_json_object(_col(json_col), f"$.{field}")
     return F.when(text.rlike(NUMERIC_TEXT), safe_cast(text, data_type))

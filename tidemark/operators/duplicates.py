@@ -8,21 +8,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.intervals import bucket_start
+from tidemark.session import scratch_dir
 
 DUPLICATE_KEYS = ("user_id", "event_type")
 
-# Rows of one time slot that a single task ranks without help.
-HOT_SLOT_ROWS = 2_000_000
-
 
 def _group_key(keys: tuple[str, ...], grain: str, time_col: str) -> Column:
     # A struct is never NULL itself, so rows with NULL keys group and join alike.
     return F.struct(*[F.col(k) for k in keys], F.date_trunc(grain, time_col).alias("_slot"))
 
 
+def key_ranges(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """`rows` with `_range`: consecutive ranges of (key, order) with about equally many rows.
+
+    The ranges are quantiles, so a key with very many rows spans several of them. They are
+    written once to the shared folder: whoever reads them sees the same ranges.
+    """
+    path = f"{scratch_dir(rows.sparkSession, 'ranges')}/rows"
+    ranged = rows.repartitionByRange(key, order).withColumn("_range", F.spark_partition_id())
+    ranged.write.parquet(path)
+    return rows.sparkSession.read.schema(ranged.schema).parquet(path)
+
+
 def duplicate_rank(
     events: DataFrame,
     keys: tuple[str, ...] = DUPLICATE_KEYS,
@@ -30,72 +39,29 @@ def duplicate_rank(
     order: str = "id",
     time_col: str = "created_at",
     every: str = "1 hour",
-    hot_slot_rows: int = HOT_SLOT_ROWS,
 ) -> DataFrame:
     """(event_id, window_start, rn) for every row; rn = 1 is the original.
 
-    A duplicate group lies within one time slot, so only slots with more than
-    `hot_slot_rows` rows can hold a group too large for one task. Those slots are
-    counted first, from two columns, and cut into id ranges of about that size.
-    Rows are ranked per group and range, and the sizes of the lower ranges are
-    added. In the usual case no slot is hot, the correction is empty, and the
-    plan is one shuffle and one window.
-
-    The table of hot slots has at most (rows / hot_slot_rows) entries, a
-    millionth of the input's size, and is broadcast.
+    Rows are ranked within ranges of (group, id), and the rows that a group has in earlier
+    ranges are added. A range bounds the work of a task, whatever the size of a group.
     """
-    if not isinstance(events.schema[order].dataType, T.IntegralType):
-        raise TypeError(f"{order} must be an integer column to be cut into ranges")
     rows = events.select(
         F.col(order).alias("event_id"),
         bucket_start(time_col, every).alias("window_start"),
         _group_key(keys, grain, time_col).alias("_key"),
     )
-    slots = (
-        events.groupBy(F.date_trunc(grain, time_col).alias("_slot"))
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min(order).cast("double").alias("_low"),
-            F.max(order).cast("double").alias("_high"),
-        )
-        .filter(F.col("_n") > hot_slot_rows)
-        .select(
-            "_slot",
-            "_low",
-            F.greatest(
-                (F.col("_high") - F.col("_low")) / F.ceil(F.col("_n") / F.lit(hot_slot_rows)),
-                F.lit(1.0),
-            ).alias("_width"),
-        )
-    )
-    # Any non-decreasing function of the id gives ranges in id order.
-    placed = (
-        rows.join(
-            F.broadcast(slots), rows["_key._slot"].eqNullSafe(slots["_slot"]), "left"
-        )
-        .withColumns(
-            {
-                "_hot": F.col("_low").isNotNull(),
-                "_range": F.coalesce(
-                    F.floor((F.col("event_id").cast("double") - F.col("_low")) / F.col("_width")),
-                    F.lit(0).cast("bigint"),
-                ),
-            }
-        )
-        .select("event_id", "window_start", "_key", "_range", "_hot")
-    )
-    ranked = placed.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy("_key", "_range").orderBy("event_id"))
-    )
+    placed = key_ranges(rows, "_key", "event_id")
+    inner = Window.partitionBy("_range", "_key").orderBy("event_id")
+    ranked = placed.withColumn("_rn", F.row_number().over(inner))
+    # One row per group and range; only groups of several ranges stay.
     lower = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     before = (
-        placed.filter("_hot")
-        .groupBy("_key", "_range")
+        placed.groupBy("_range", "_key")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_key", "_range", F.sum("_n").over(lower).alias("_before"))
+        .select("_range", "_key", F.sum("_n").over(lower).alias("_before"))
         .filter(F.col("_before").isNotNull())
     )
-    return ranked.join(before, ["_key", "_range"], "left").select(
+    return ranked.join(before, ["_range", "_key"], "left").select(
         "event_id",
         "window_start",
         (F.col("_rn") + F.coalesce("_before", F.lit(0))).cast("bigint").alias("rn"),

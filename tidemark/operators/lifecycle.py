@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.intervals import Moment, date_spine, in_interval, moment, since, ts
 from tidemark.operators.reports import active_users
 from tidemark.sinks import storage
-from tidemark.sources.files import list_files
+from tidemark.sources.files import list_files, partition_dates
 
 INACTIVITY_DAYS = 180
 METRICS_RETENTION_DAYS = 90
@@ -77,6 +78,19 @@ def file_retention_plan(
     )
 
 
+def partition_retention_plan(
+    files: DataFrame, as_of: Moment, days: int = LANDING_RETENTION_DAYS
+) -> DataFrame:
+    """(partition_date, age_days, expired) of the dates that have files, by their directories.
+
+    A date expires whole; its age does not depend on when its files were last written.
+    """
+    age = F.date_diff(ts(as_of).cast("date"), F.col("dt"))
+    return partition_dates(files).select(
+        F.col("dt").alias("partition_date"), age.alias("age_days"), (age > days).alias("expired")
+    )
+
+
 def apply_retention(plan: DataFrame, dry_run: bool = True) -> DataFrame:
     """Delete the expired files unless `dry_run`; returns file and byte totals per decision.
 
@@ -147,19 +161,20 @@ def compact(
     dst: str,
     dates: list[str],
     target_bytes: int = TARGET_FILE_BYTES,
+    time_col: str = "created_at",
 ) -> DataFrame:
     """Merge the files of each date into about bytes / target_bytes files; returns the manifest.
 
-    All dates are rewritten by one job. A row's output file follows from its
-    position in the input (file and row index), so retried tasks place rows as
-    before, and file sizes do not depend on any column's distribution. A date is
-    published only if its row count is unchanged; dates without input are
-    skipped. The manifest has one row per date found in `src`.
+    All dates are rewritten by one job. A date's rows are cut by time into files of about
+    equally many rows: their seconds are counted first, and the running count tells the file
+    of a second. Files of one date so follow one another in time, and each is sorted. A date is
+    published only if its row count is unchanged; dates without input are skipped. The
+    manifest has one row per date found in `src`.
     """
     started = datetime.now(timezone.utc)
     staged = storage.beside(dst, f"compacting-{started:%Y%m%dT%H%M%S%f}")
-    sources = [f"{src.rstrip('/')}/dt={d}" for d in sorted(set(dates))]
-    sources = [d for d in sources if storage.exists(spark, d)]
+    wanted = [f"dt={d}" for d in sorted(set(dates))]
+    sources = [f"{src.rstrip('/')}/{d}" for d in storage.present(spark, src, wanted)]
     plan = _file_stats(spark, sources) if sources else {}
     manifest_schema = (
         "compaction_date DATE, started_at TIMESTAMP, completed_at TIMESTAMP,"
@@ -169,28 +184,41 @@ def compact(
     if not plan:
         return spark.createDataFrame([], manifest_schema)
 
-    first_file, files_of, total = {}, {}, 0
+    sizes, total = [], 0
     for dt in sorted(plan):
-        first_file[dt] = total
-        files_of[dt] = max(-(-plan[dt].bytes // target_bytes), 1)
-        total += files_of[dt]
-
-    def lookup(values: dict) -> Column:
-        pairs = [x for k, v in values.items() for x in (F.lit(k), F.lit(v))]
-        return F.create_map(*pairs)[F.col("dt")]
+        files = max(-(-plan[dt].bytes // target_bytes), 1)
+        sizes.append((dt, total, files))
+        total += files
+    files_of = spark.createDataFrame(sizes, "dt DATE, first_file LONG, files LONG")
 
     def read(root: str) -> DataFrame:
-        parts = [f"{root.rstrip('/')}/dt={dt.isoformat()}" for dt in sorted(plan)]
-        present = [d for d in parts if storage.exists(spark, d)]
+        parts = [f"dt={dt.isoformat()}" for dt in sorted(plan)]
+        present = [f"{root.rstrip('/')}/{d}" for d in storage.present(spark, root, parts)]
         return spark.read.option("basePath", root).parquet(*present)
 
     bronze = read(src)
     columns = bronze.columns
-    position = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-    slot = lookup(first_file) + F.pmod(position, lookup(files_of))
+    second = F.coalesce(F.unix_seconds(time_col), F.lit(0))
+    counted = bronze.groupBy("dt", second.alias("_second")).agg(F.count(F.lit(1)).alias("_n"))
+    by_time = Window.partitionBy("dt").orderBy("_second")
+    before_it = F.sum("_n").over(by_time.rowsBetween(Window.unboundedPreceding, -1))
+    of_date = F.sum("_n").over(Window.partitionBy("dt"))
+    slots = counted.select(
+        "dt", "_second", F.coalesce(before_it, F.lit(0)).alias("_before"), of_date.alias("_all")
+    ).join(files_of, "dt")
+    slots = slots.select(
+        "dt",
+        "_second",
+        (F.col("first_file") + F.floor(F.col("_before") * F.col("files") / F.col("_all")))
+        .cast("int")
+        .alias("_slot"),
+    )
     (
-        bronze.select(*columns, slot.cast("int").alias("_slot"))
+        bronze.withColumn("_second", second)
+        .join(slots, ["dt", "_second"])
+        .select(*columns, "_slot")
         .repartitionById(total, F.col("_slot"))
+        .sortWithinPartitions("dt", time_col)
         .drop("_slot")
         .write.mode("overwrite")
         .partitionBy("dt")
@@ -202,12 +230,16 @@ def compact(
 
     before, after = rows_per_date(src), rows_per_date(staged)
     files_after = {dt: r.files for dt, r in _file_stats(spark, [staged]).items()}
+    complete = {dt: before.get(dt, 0) == after.get(dt, 0) for dt in plan}
+
+    def publish(dt) -> None:
+        directory = f"dt={dt.isoformat()}"
+        storage.swap_in(spark, f"{staged}/{directory}", f"{dst.rstrip('/')}/{directory}")
+
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(publish, [dt for dt in plan if complete[dt] and after.get(dt)]))
     manifest = []
     for dt in sorted(plan):
-        complete = before.get(dt, 0) == after.get(dt, 0)
-        if complete and after.get(dt):
-            directory = f"dt={dt.isoformat()}"
-            storage.swap_in(spark, f"{staged}/{directory}", f"{dst.rstrip('/')}/{directory}")
         manifest.append(
             (
                 dt,
@@ -217,7 +249,7 @@ def compact(
                 files_after.get(dt, 0),
                 before.get(dt, 0),
                 after.get(dt, 0),
-                "complete" if complete else "failed",
+                "complete" if complete[dt] else "failed",
             )
         )
     storage.delete(spark, staged)

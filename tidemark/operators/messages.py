@@ -8,7 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.intervals import Moment, moment
-from tidemark.functions.jsontext import add_fields, has_field, is_whole_object, object_fields
+from tidemark.functions.jsontext import (
+    add_fields,
+    has_field,
+    is_whole_object,
+    last_value,
+    object_fields,
+)
 
 # Fixed values of the replay contract.
 REQUIRED_FIELDS = ("user_id", "event_type")
@@ -33,7 +39,7 @@ def classify_messages(
     present, where a JSON null counts as present; the event type is allowed,
     case-sensitively. A fixable message gets a null product_id and `as_of` as
     timestamp where the keys are absent, and otherwise keeps its text. The whole
-    text is examined. `aliases` maps a field to a second accepted key.
+    text is examined; of a repeated key the last value counts. `aliases` maps a field to a second accepted key.
     """
     aliases = dict(aliases or {})
 
@@ -41,7 +47,7 @@ def classify_messages(
         return [field] + ([aliases[field]] if field in aliases else [])
 
     def value_of(field: str) -> Column:
-        return F.coalesce(*[F.col("_fields")[n] for n in names(field)])
+        return F.coalesce(*[last_value(F.col("_fields"), n) for n in names(field)])
 
     if as_of is None:
         stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
@@ -94,9 +100,9 @@ def split_valid_dlq(classified: DataFrame, value_col: str = "value") -> tuple[Da
 
 
 def unrecoverable_log(
-    unrecoverable: DataFrame, max_chars: int | None = MAX_LOGGED_CHARS
+    unrecoverable: DataFrame, max_chars: int | None = None
 ) -> DataFrame:
-    """Audit rows. The stored text is cut to the log's column width; None keeps all of it."""
+    """Audit rows with the whole text, or cut to `max_chars` where a column is that narrow."""
     raw = F.col("value") if max_chars is None else F.substring("value", 1, max_chars)
     return unrecoverable.select(
         F.col("offset").alias("kafka_offset"), "partition", raw.alias("raw_value"), "reason"

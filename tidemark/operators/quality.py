@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.intervals import (
     Interval,
-    bucket_count,
     bucket_end,
     bucket_start,
     in_interval,
@@ -19,10 +18,6 @@ from tidemark.operators.duplicates import deduplicate
 NULL_RATE_THRESHOLD_PCT = 5.0
 MIN_ROWS_PER_WINDOW = 10
 
-# An interval table has one small row per bucket. Below this many buckets its
-# size is a few megabytes whatever the event volume, so a broadcast is safe.
-BROADCAST_BUCKETS = 200_000
-
 
 def drop_nulls(df: DataFrame, cols: list[str]) -> tuple[DataFrame, Observation]:
     """Rows without a NULL in `cols`, and a count of all and of dropped rows.
@@ -111,16 +106,13 @@ def null_quarantine(
 ) -> DataFrame:
     """The offending rows of every bucket that fails the null gate.
 
-    Only rows with NULLs take part in the join back to the failing buckets. The
-    bucket side is broadcast when the interval bounds its size; otherwise the
-    runtime chooses the join.
+    Only rows with NULLs take part in the join back to the failing buckets; the
+    runtime chooses the join by the measured size of the aggregate.
     """
     failing = null_rate(events, cols, every, iv, time_col, threshold).filter("quarantine")
     failing = failing.select("window_start", "window_end")
     if iv is not None:
         events = events.filter(in_interval(time_col, iv))
-        if bucket_count(iv, every) <= BROADCAST_BUCKETS:
-            failing = F.broadcast(failing)
     bad = events.filter(any_null(list(cols))).select(
         F.col(id_col).alias("event_id"), bucket_start(time_col, every).alias("window_start")
     )

@@ -11,7 +11,7 @@ from tidemark.functions.intervals import Interval, Moment, in_interval, moment,
 from tidemark.layout import DAILY, HOURLY
 from tidemark.operators import lifecycle, monitoring, quality, reports, tenants
 from tidemark.plans.lake import Lake, trailing, window_label
-from tidemark.schemas import RUN_LOG, TENANT_GOLD, normalise
+from tidemark.schemas import BACKFILLED, RUN_LOG, TENANT_GOLD, normalise
 from tidemark.sinks import storage, tables
 from tidemark.sources.files import list_files, partition_dates
 from tidemark.sources.landing import read_landing
@@ -26,6 +26,14 @@ def extract(source: DataFrame, lake: Lake, iv: Interval) -> None:
     tables.replace_interval(events, lake.landing, HOURLY, iv)
 
 
+def extract_tenants(source: DataFrame, lake: Lake) -> None:
+    """Land events that carry a `tenant`; the hours of a tenant that occur are replaced."""
+    placed = HOURLY.assign(source, "created_at")
+    tables.replace_partitions(
+        placed, lake.tenant_landing, ("tenant", *HOURLY.columns), ("created_at",)
+    )
+
+
 def product_metrics(spark: SparkSession, lake: Lake, iv: Interval) -> None:
     """Conversions per product of one window. Gold keeps every window."""
     counts = reports.product_conversions(lake.events(spark, iv), iv)
@@ -40,7 +48,7 @@ def tenant_metrics(spark: SparkSession, lake: Lake, manifest: DataFrame, as_of:
     The manifest is configuration: its tenants and its longest retention prune the scan.
     """
     entries = manifest.select("client_id", "retention_days").collect()
-    longest = max(e.retention_days for e in entries)
+    longest = max((e.retention_days for e in entries), default=0)
     iv = (moment(as_of) - timedelta(days=longest), as_of)
     events = read_landing(
         spark, lake.tenant_landing, iv=iv, tenants=[e.client_id for e in entries]
@@ -66,7 +74,12 @@ def backfill_products(spark: SparkSession, lake: Lake, as_of: Moment, lookback:
         present = partition_dates(list_files(spark, path))
     else:
         present = spark.createDataFrame([], "dt DATE")
-    missing = lifecycle.missing_partitions(present, as_of, lookback)
+    # A day without purchases leaves no file; the log has those that were found empty.
+    log = lake.log("empty_days")
+    empty = tables.read_or_empty(spark, log, BACKFILLED)
+    missing = lifecycle.missing_partitions(present.union(empty), as_of, lookback)
+    # At most `lookback` rows; fixed before the files of these days appear.
+    missing = spark.createDataFrame(missing.collect(), BACKFILLED)
     filled = lifecycle.backfill(
         lake.events(spark, period),
         missing,
@@ -75,6 +88,8 @@ def backfill_products(spark: SparkSession, lake: Lake, as_of: Moment, lookback:
         lookback,
     )
     tables.replace_interval(filled, path, DAILY, time_col="window_start")
+    found = partition_dates(list_files(spark, path)) if storage.exists(spark, path) else present
+    tables.append_absent(missing.join(found, "dt", "left_anti"), log, ("dt",))
 
 
 def adaptive_run(spark: SparkSession, lake: Lake, iv: Interval, pipeline: str = "etl") -> None:

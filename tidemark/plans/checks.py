@@ -16,17 +16,19 @@ from tidemark.schemas import (
     INGESTION_ERRORS,
     LIVE_METRICS,
     OFFSETS,
+    REPLAY_OFFSETS,
     TASK_RUNS,
 )
 from tidemark.sinks import exports, storage, tables
 from tidemark.sources.files import (
+    hour_of,
     list_files,
+    newest_directory,
     newest_file,
-    newest_hour,
     read_footer_schema,
     schema_rows,
 )
-from tidemark.sources.messages import read_dlq
+from tidemark.sources.messages import after_offsets, first_messages, read_dlq
 
 
 def null_gate(spark: SparkSession, lake: Lake, iv: Interval) -> None:
@@ -63,14 +65,15 @@ def distribution_check(
 
 
 def schema_check(spark: SparkSession, lake: Lake, reference: dict[str, str] | None = None) -> None:
-    """Compare the newest landing file with the reference; skipped if there is none."""
-    if not storage.exists(spark, lake.landing):
-        return
-    newest = newest_file(list_files(spark, lake.landing))
+    """Compare the newest file of the newest landing hour with the reference, by default what
+    `extract` writes; skipped if there is none. Raw files have `drift.REFERENCE_SCHEMA`."""
+    directory = newest_directory(spark, lake.landing)
+    newest = newest_file(list_files(spark, directory)) if directory else None
     if newest is None:
         return
+    written = {f.name: f.dataType.simpleString() for f in EVENTS.fields}
     expected = spark.createDataFrame(
-        list((reference or drift.REFERENCE_SCHEMA).items()), "col_name STRING, data_type STRING"
+        list((reference or written).items()), "col_name STRING, data_type STRING"
     )
     found = drift.schema_drift(schema_rows(read_footer_schema(spark, newest)), expected)
     record = drift.schema_drift_record(found, F.current_timestamp())
@@ -94,9 +97,8 @@ def error_check(spark: SparkSession, lake: Lake, iv: Interval) -> None:
 
 def _newest_events(spark: SparkSession, lake: Lake) -> DataFrame:
     """Events of the newest landing hour, which holds the newest event."""
-    hour = None
-    if storage.exists(spark, lake.landing):
-        hour = newest_hour(list_files(spark, lake.landing))
+    directory = newest_directory(spark, lake.landing)
+    hour = hour_of(directory) if directory else None
     if hour is None:
         return spark.createDataFrame([], EVENTS)
     return lake.events(spark, (hour, hour + timedelta(hours=1)))
@@ -154,12 +156,18 @@ def replay_dead_letters(
     sink_options: dict[str, str],
     max_messages: int | None = None,
 ) -> None:
-    """Classify all dead letters, log the unrecoverable ones and republish the others.
+    """Classify the dead letters since the last run, log the unrecoverable ones and republish
+    the others.
 
-    Both outputs are always written. The log comes first, so a failed republish
-    can be repeated without losing or doubling log rows.
+    Both outputs are always written. The log comes first, so a failed republish can be
+    repeated without losing or doubling log rows. Then the next offset of every partition is
+    stored, and the next run begins there; a run that fails before republishes again.
     """
-    backlog: DataFrame = read_dlq(spark, source, max_messages, **source_options)
+    progress = lake.table("dlq_replay_offsets")
+    done = tables.read_or_empty(spark, progress, REPLAY_OFFSETS)
+    backlog: DataFrame = first_messages(
+        after_offsets(read_dlq(spark, source, **source_options), done), max_messages
+    )
     classified = messages.classify_messages(backlog, as_of=as_of).persist()
     try:
         fixable, unrecoverable = messages.split_valid_dlq(classified)
@@ -169,5 +177,10 @@ def replay_dead_letters(
         )
         repaired = fixable.select(F.col("fixed_value").alias("value"))
         exports.republish(repaired, sink, **sink_options)
+        reached = classified.groupBy("partition").agg((F.max("offset") + 1).alias("next_offset"))
+        # One row per partition of the topic.
+        tables.upsert_small_table(
+            spark.createDataFrame(reached.collect(), REPLAY_OFFSETS), progress, ("partition",)
+        )
     finally:
         classified.unpersist()

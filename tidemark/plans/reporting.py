@@ -32,7 +32,9 @@ def daily_summary(spark: SparkSession, lake: Lake, iv: Interval) -> None:
 def hourly_rollup(spark: SparkSession, lake: Lake, iv: Interval) -> None:
     """Roll up the minute windows of an interval; hours without rows are not written."""
     require_whole(iv, "1 hour")
-    live = lake.read(spark, "live_event_metrics", LIVE_METRICS)
+    live = lake.read(spark, "live_event_metrics", LIVE_METRICS).filter(
+        dates_of("window_date", iv)
+    )
     rollup = reports.hourly_rollup(live, iv).withColumn("dt", F.col("hour_start").cast("date"))
     tables.upsert_table(
         rollup,

@@ -1,4 +1,4 @@
-"""Declared schemas and the mapping of raw layouts to the canonical event."""
+"""Declared schemas (fixed column names and types) and the mapping of raw layouts to events."""
 
 from __future__ import annotations
 
@@ -25,7 +25,8 @@ EVENTS = _schema(
     event_type=TEXT,
     payload=TEXT,
     product_id=INT,
-    amount=T.DecimalType(12, 2),
+    # Wide enough to keep any amount of a payload as it is.
+    amount=T.DecimalType(24, 8),
     created_at=TIME,
 )
 
@@ -122,13 +123,10 @@ HEALTH_READINGS = _schema(
     reachable=FLAG,
     alive_workers=INT,
 )
-SLA_LOG = _schema(
-    measured_at=TIME,
-    source_lag_seconds=LONG,
-    gold_lag_seconds=LONG,
-    e2e_lag_seconds=LONG,
-    sla_met=FLAG,
-    sla_target_seconds=LONG,
+BACKFILLED = _schema(dt=DATE)
+REPLAY_OFFSETS = _schema(
+    partition=INT,
+    next_offset=LONG,
 )
 DLQ_MESSAGES = _schema(
     partition=INT,
@@ -163,3 +161,12 @@ def normalise(df: DataFrame) -> DataFrame:
             for f in EVENTS.fields
         ]
     )
+
+
+def unread_amounts(df: DataFrame) -> DataFrame:
+    """How many payload amounts are present, and how many of them are not a number that fits."""
+    text = F.get_json_object(F.col("payload").cast("string"), "$.amount")
+    return df.agg(
+        F.count(text).alias("amounts"),
+        F.count_if(text.isNotNull() & safe_amount("payload", "amount").isNull()).alias("unread"),
+    )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,12 +33,21 @@ def use_utc(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new directory below the cluster's shared checkpoint folder.
 
-    Falls back to a temporary folder in local mode only, where driver and
-    executors are one machine.
+    Without that setting, it is below the warehouse, which all machines share as well. The
+    folder of an application can go once its results are written: see `drop_scratch`.
     """
+    root = _scratch_root(spark)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
-        root = "file:" + tempfile.mkdtemp(prefix="tidemark-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{root.rstrip('/')}/tidemark-{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this application has put into the shared folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.intervals import Moment, day, ts
+from tidemark.sinks.tables import append_absent
 
 
 def archive_rows(df: DataFrame, as_of: Moment, reason: str) -> DataFrame:
@@ -19,14 +20,13 @@ def archive_rows(df: DataFrame, as_of: Moment, reason: str) -> DataFrame:
 
 
 def archive(df: DataFrame, path: str, as_of: Moment, reason: str) -> None:
-    """Dated archive; running the same date again replaces it."""
-    (
-        archive_rows(df, as_of, reason)
-        .hint("rebalance")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("archive_date")
-        .parquet(path)
+    """Dated archive. Running a date again adds the users it lacks and drops none."""
+    append_absent(
+        archive_rows(df, as_of, reason),
+        path,
+        ("archive_date", "user_id"),
+        ("archive_date",),
+        scope=F.col("archive_date") == day(as_of),
     )
 
 
@@ -43,7 +43,7 @@ def message_values(df: DataFrame) -> DataFrame:
 
 
 def republish(messages: DataFrame, sink: str, **opts: str) -> None:
-    """Send a `value` column to Kafka or, as text files, to a directory."""
+    """Send a `value` column to Kafka or, as further text files, to a directory."""
     values = messages.select("value")
     if sink == "kafka":
         values.write.format("kafka").options(
@@ -54,7 +54,7 @@ def republish(messages: DataFrame, sink: str, **opts: str) -> None:
             }
         ).save()
     else:
-        values.write.mode("overwrite").text(opts["path"])
+        values.write.mode("append").text(opts["path"])
 
 
 def jdbc_append(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:

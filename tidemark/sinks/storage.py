@@ -28,6 +28,27 @@ def children(spark: SparkSession, path: str) -> set[str]:
     return {status.getPath().getName() for status in fs.listStatus(target)}
 
 
+def present(spark: SparkSession, root: str, wanted: list[str]) -> list[str]:
+    """Which of the directories `wanted` (relative to `root`) exist: one listing per parent."""
+    below: dict[str, set[str]] = {}
+    for directory in wanted:
+        parent = ""
+        for name in directory.split("/"):
+            below.setdefault(parent, set()).add(name)
+            parent = f"{parent}/{name}"
+    found, level = [], [""]
+    while level:
+        deeper = []
+        for parent in level:
+            if parent not in below:
+                found.append(parent[1:])
+            else:
+                names = children(spark, f"{root.rstrip('/')}{parent}") & below[parent]
+                deeper += [f"{parent}/{name}" for name in sorted(names)]
+        level = deeper
+    return found
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Remove a file or directory; False if it was not there."""
     fs, target, _ = _fs(spark, path)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,22 +52,29 @@ def replace_interval(
     """Replace every partition that has rows in `df`.
 
     With `iv`, partitions of the interval that received no rows are removed too,
-    so that the table holds exactly the rows of `df` for that interval. Such a
-    partition is one whose files are the same as before the write, since every
-    write gives its files new names. The interval has to consist of whole
-    partitions.
+    so that the table holds exactly the rows of `df` for that interval. Which
+    ones received rows is observed during the write; the set is as long as the
+    interval has partitions. The interval has to consist of whole partitions.
     """
     if iv is not None:
         require_whole(iv, layout.every)
+    placed = _balanced(layout.assign(df, time_col), layout.columns, (time_col,))
+    if iv is None:
+        _write_partitions(placed, path, layout.columns)
+        return
     spark = df.sparkSession
-    root = path.rstrip("/")
-    expected = layout.directories(iv) if iv is not None else []
-    before = {d: storage.children(spark, f"{root}/{d}") for d in expected}
-    placed = layout.assign(df, time_col)
-    _write_partitions(_balanced(placed, layout.columns, (time_col,)), path, layout.columns)
-    for directory, names in before.items():
-        if names and storage.children(spark, f"{root}/{directory}") == names:
-            storage.delete(spark, f"{root}/{directory}")
+    before = storage.present(spark, path, layout.directories(iv))
+    written = Observation()
+    partition = F.concat_ws(
+        "/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in layout.columns]
+    )
+    _write_partitions(
+        placed.observe(written, F.collect_set(partition).alias("directories")),
+        path,
+        layout.columns,
+    )
+    stale = set(before) - set(written.get["directories"])
+    storage.delete_all(spark, (f"{path.rstrip('/')}/{d}" for d in sorted(stale)))
 
 
 def replace_partitions(
@@ -109,9 +116,10 @@ def upsert(
 ) -> DataFrame:
     """Table after insert-or-replace: the incoming row wins on equal keys.
 
-    `keep_cols` retain the stored value of rows that already exist. `src` must be
-    unique on `keys`.
+    `keep_cols` retain the stored value of rows that already exist. Of source rows
+    with equal keys the least by the other columns counts.
     """
+    src = one_per_key(src, keys)
     untouched = target.alias("t").join(src.alias("s"), _same("t", "s", keys), "left_anti")
     if keep_cols:
         stored = target.select(*keys, *keep_cols, F.lit(True).alias("_found"))
@@ -130,16 +138,18 @@ def upsert(
     return untouched.unionByName(src)
 
 
+def one_per_key(src: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """One row per key: the least by its other columns."""
+    rest = [c for c in src.columns if c not in keys]
+    if not rest:
+        return src.distinct()
+    first = Window.partitionBy(*keys).orderBy(*rest)
+    return src.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
+
+
 def absent_rows(target: DataFrame, src: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Rows of `src` whose key the target lacks, one per key (the least by its other columns)."""
-    rest = [c for c in src.columns if c not in keys]
-    first = Window.partitionBy(*keys).orderBy(*rest) if rest else None
-    unique = (
-        src.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
-        if first is not None
-        else src.distinct()
-    )
-    return unique.alias("s").join(target.alias("t"), _same("s", "t", keys), "left_anti")
+    return one_per_key(src, keys).alias("s").join(target.alias("t"), _same("s", "t", keys), "left_anti")
 
 
 def insert_if_absent(target: DataFrame, src: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -169,7 +179,7 @@ def upsert_table(
     another partition and its old version would survive. `scope` is a predicate
     on partition columns that selects whole partitions, at least those `src`
     touches and no more than may be rewritten; without it, they are found from
-    `src`, which is then evaluated once more.
+    `src`, which is then evaluated twice more.
     """
     _check_partitions(keys, partition_cols)
     order = tuple(k for k in keys if k not in partition_cols)
@@ -177,14 +187,33 @@ def upsert_table(
         replace_partitions(src, path, partition_cols, order)
         return
     current = src.sparkSession.read.schema(src.schema).parquet(path)
-    if scope is None:
-        touched = src.select(*partition_cols).distinct()
-        affected = current.join(touched, list(partition_cols), "left_semi").select(*src.columns)
-    else:
-        affected = current.filter(scope)
+    affected = touched(current, src, partition_cols) if scope is None else current.filter(scope)
     replace_partitions(upsert(affected, src, keys, keep_cols), path, partition_cols, order)
 
 
+def touched(current: DataFrame, src: DataFrame, partition_cols: tuple[str, ...]) -> DataFrame:
+    """Rows of a table in the partitions that occur in `src`.
+
+    The least and the greatest value of each partition column are read first, so that the
+    scan lists and reads no partition outside them; a join keeps those in between that count.
+    """
+    ends = src.agg(
+        *[f(c).alias(f"{n}{i}") for i, c in enumerate(partition_cols)
+          for n, f in (("low", F.min), ("high", F.max), ("n", F.count))],
+        F.count(F.lit(1)).alias("rows"),
+    ).first()
+    for i, c in enumerate(partition_cols):
+        within = F.col(c).between(F.lit(ends[f"low{i}"]), F.lit(ends[f"high{i}"]))
+        if ends[f"n{i}"] < ends["rows"]:
+            within = within | F.col(c).isNull()
+        current = current.filter(within)
+    own = src.select(*partition_cols).distinct()
+    return (
+        current.alias("t").join(own.alias("s"), _same("t", "s", partition_cols), "left_semi")
+        .select(*src.columns)
+    )
+
+
 def _check_partitions(keys: tuple[str, ...], partition_cols: tuple[str, ...]) -> None:
     if not set(partition_cols) <= set(keys):
         raise ValueError(f"partition columns {partition_cols} must be part of the key {keys}")

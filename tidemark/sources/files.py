@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import TENANT_MANIFEST
+from tidemark.sinks import storage
+
+_LEVELS = ("year", "month", "day", "hour")
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -67,13 +70,23 @@ def partition_dates(files: DataFrame) -> DataFrame:
     return files.select(date.alias("dt")).filter(F.col("dt").isNotNull()).distinct()
 
 
-def newest_hour(files: DataFrame) -> datetime | None:
-    """Latest hour partition that owns a file, from the listing alone."""
-    pattern = r"/year=(\d+)/month=(\d+)/day=(\d+)/hour=(\d+)/"
-    parts = [F.regexp_extract("path", pattern, i).try_cast("int") for i in (1, 2, 3, 4)]
-    hour = F.make_timestamp(*parts, F.lit(0), F.lit(0))
-    found = files.filter(F.col("path").rlike(pattern)).agg(
-        F.date_format(F.max(hour), "yyyy-MM-dd HH:mm:ss").alias("newest")
-    )
-    row = found.first()
-    return datetime.fromisoformat(row.newest) if row.newest else None
+def newest_directory(spark: SparkSession, root: str) -> str | None:
+    """The latest `year=/month=/day=/hour=` directory that has files: a listing per level."""
+
+    def latest(path: str, depth: int) -> str | None:
+        names = storage.children(spark, path)
+        if depth == len(_LEVELS):
+            return path if any(n.endswith(".parquet") for n in names) else None
+        own = [n for n in names if n.startswith(f"{_LEVELS[depth]}=")]
+        for name in sorted(own, key=lambda n: int(n.partition("=")[2]), reverse=True):
+            if found := latest(f"{path}/{name}", depth + 1):
+                return found
+        return None
+
+    return latest(root.rstrip("/"), 0)
+
+
+def hour_of(directory: str) -> datetime:
+    """Time of an hour directory."""
+    values = dict(part.split("=") for part in directory.split("/") if "=" in part)
+    return datetime(*(int(values[level]) for level in _LEVELS))

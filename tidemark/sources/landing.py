@@ -6,15 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.intervals import Interval, bucket_count, in_interval
+from tidemark.functions.intervals import Interval, in_interval
 from tidemark.layout import HOURLY, Layout
 from tidemark.schemas import EVENTS, TENANT_GOLD
 from tidemark.sinks import storage
 from tidemark.sinks.tables import read_or_empty
 
-# Beyond this many directories, one parallel listing of the table is cheaper.
-LISTED_DIRECTORIES = 1000
-
 
 def with_partitions(schema: T.StructType, layout: Layout) -> T.StructType:
     kinds = {"dt": T.DateType()}
@@ -33,8 +30,8 @@ def read_landing(
 ) -> DataFrame:
     """Event files with an imposed schema.
 
-    An interval becomes a partition predicate and a row filter, and if it is
-    short, only its own directories are listed. With `tenants`, the table has a
+    An interval becomes a partition predicate and a row filter, and only the days
+    it touches are listed. With `tenants`, the table has a
     leading `tenant` partition and only those tenants are read, in one scan.
     PLAIN_HOURS reads a tree whose directories carry no column names.
     """
@@ -57,13 +54,16 @@ def _read_directories(
     iv: Interval | None,
     tenants: list[str] | None,
 ) -> DataFrame:
-    """The table, listing nothing but the directories of a short interval."""
+    """The table, listing nothing but the days of the interval, found by their parents."""
     root = path.rstrip("/")
-    prefixes = [f"{root}/tenant={t}" for t in tenants] if tenants is not None else [root]
-    wanted = [root]
-    if iv is not None and bucket_count(iv, layout.every) * len(prefixes) <= LISTED_DIRECTORIES:
-        wanted = [f"{prefix}/{d}" for prefix in prefixes for d in layout.directories(iv)]
-    present = [d for d in wanted if storage.exists(spark, d)]
+    present = [root] if storage.exists(spark, root) else []
+    if present and iv is not None:
+        days = dict.fromkeys(
+            d.rpartition("/")[0] if "/" in d else d for d in layout.directories(iv)
+        )
+        prefixes = [f"tenant={t}/" for t in tenants] if tenants is not None else [""]
+        wanted = [f"{prefix}{d}" for prefix in prefixes for d in days]
+        present = [f"{root}/{d}" for d in storage.present(spark, root, wanted)]
     if not present:
         return spark.createDataFrame([], schema)
     reader = spark.read.schema(schema)

@@ -46,12 +46,12 @@ def read_event_stream(
 
 
 def read_dlq(
-    spark: SparkSession, source: str, max_messages: int | None = 200, **opts: str
+    spark: SparkSession, source: str, max_messages: int | None = None, **opts: str
 ) -> DataFrame:
     """Dead-letter messages (partition, offset, value), oldest first up to `max_messages`.
 
-    None reads the whole backlog, which is the way to replay at scale. A bounded
-    read is a top-k over (partition, offset), so each task keeps that many rows.
+    By default the whole backlog. A bounded read is a top-k over (partition, offset), so each
+    task keeps that many rows.
     """
     if source == "kafka":
         options = kafka_batch_options(opts.pop("servers"), opts.pop("topic"), **opts)
@@ -63,6 +63,12 @@ def read_dlq(
     return first_messages(messages, max_messages)
 
 
+def after_offsets(messages: DataFrame, done: DataFrame) -> DataFrame:
+    """Messages from each partition's `next_offset` on; all of a partition that has none."""
+    begun = F.coalesce(F.col("offset") >= F.col("next_offset"), F.lit(True))
+    return messages.join(done, "partition", "left").filter(begun).drop("next_offset")
+
+
 def first_messages(messages: DataFrame, max_messages: int | None) -> DataFrame:
     if max_messages is None:
         return messages

@@ -1,4 +1,8 @@
-"""Micro-batch sinks. Each of them gives the same table if a batch is repeated."""
+"""Micro-batch sinks.
+
+The Parquet sinks give the same table if a batch is repeated. A JDBC append cannot: its rows
+carry their batch, so that a reader can take the last attempt.
+"""
 
 from __future__ import annotations
 
@@ -75,10 +79,13 @@ def write_stream_jdbc(
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Append every changed window to a JDBC table, as an operational feed."""
+    """Append every changed window to a JDBC table, as an operational feed.
+
+    A batch that is repeated after a failure appends its rows again, under the same batch_id.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist()
+        rows = batch.withColumn("batch_id", F.lit(batch_id)).persist()
         try:
             if not rows.isEmpty():
                 jdbc_append(rows, url, table, properties)
@@ -98,11 +105,21 @@ def write_stream_split(
 ) -> StreamingQuery:
     """Send messages that pass the classifier to one table and the others to the dead letters.
 
-    A batch is classified once. Its output goes to a partition of its own, so a
-    repeated batch overwrites what it wrote before.
+    A batch is classified once. Its output goes to a partition of its own, named by the
+    stream's id and the batch, so a repeated batch overwrites what it wrote before, and a
+    stream with another checkpoint overwrites nothing.
     """
+    known: list[str] = []
+
+    def stream_id(spark: SparkSession) -> str:
+        # The checkpoint holds the id of its stream from before the first batch.
+        if not known:
+            text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata")
+            known.append(text.select(F.get_json_object("value", "$.id")).first()[0])
+        return known[0]
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        place = f"stream={stream_id(batch.sparkSession)}/batch_id={batch_id}"
         messages = batch.withColumn("value", F.col("value").cast("string"))
         classified = classify_messages(
             messages,
@@ -116,12 +133,12 @@ def write_stream_split(
                     "fixed_value", "value"
                 ),
                 valid_path,
-                batch_id,
+                place,
             )
             _write_batch(
                 classified.filter("reason IS NOT NULL").drop("fixed_value", "event_type"),
                 dlq_path,
-                batch_id,
+                place,
             )
         finally:
             classified.unpersist()
@@ -129,8 +146,8 @@ def write_stream_split(
     return _start(raw, write, "append", checkpoint, trigger)
 
 
-def _write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+def _write_batch(rows: DataFrame, path: str, place: str) -> None:
+    rows.hint("rebalance").write.mode("overwrite").parquet(f"{path.rstrip('/')}/{place}")
 
 
 def _start(

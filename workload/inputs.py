@@ -181,9 +181,14 @@ def health_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _repeated_type(first: Column, last: Column) -> Column:
+    parts = ['{"event_type": "', first, '", "user_id": "', F.col("user_id"), '", "event_type": "', last, '"}']
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queue messages of the events, damaged by id: cut off, without user, an array,
-    followed by text, with an unknown type, or already complete."""
+    followed by text, already complete, or with the event type twice."""
     intact = F.concat(
         F.lit('{"user_id": "'),
         F.col("user_id"),
@@ -209,6 +214,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.lit('", "product_id": 5, "timestamp": "2024-01-01T00:00:00"}'),
             ),
         )
+        .when(_every(10, 5), _repeated_type(F.lit("bad"), F.col("event_type")))
+        .when(_every(10, 6), _repeated_type(F.col("event_type"), F.lit("bad")))
         .otherwise(intact)
     )
     return events_file(spark, sf_dir).select(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,9 +27,17 @@ from tidemark.operators import (
 )
 from tidemark.session import scratch_dir, use_utc
 from tidemark.sinks import exports, tables
-from tidemark.sources.files import list_files, read_footer_schema, schema_rows
-from tidemark.sources.landing import read_landing
-from tidemark.sources.messages import read_event_stream
+from tidemark.plans import batch, checks
+from tidemark.plans.lake import Lake
+from tidemark.sources.files import (
+    list_files,
+    partition_dates,
+    read_footer_schema,
+    read_manifest,
+    schema_rows,
+)
+from tidemark.sources.landing import read_landing, read_tenant_gold
+from tidemark.sources.messages import read_dlq, read_event_stream
 from tidemark.streaming.metrics import decode_events, minute_counts
 from tidemark.streaming.sinks import write_stream_split, write_stream_upsert
 from workload import inputs, sql
@@ -489,12 +497,24 @@ def users_after_soft_delete(spark, sf_dir):
            DATE '2024-01-31' AS archive_date FROM inactive""",
 )
 def archived_users(spark, sf_dir):
+    """A run with a limit, one over the others, and a repeated one: the archive holds them all."""
     path = scratch_dir(spark, "archived-users")
-    for _ in range(2):  # the second run replaces the first
-        exports.archive(_inactive(spark, sf_dir), path, AS_OF, "inactive_180d")
+    idle = _inactive(spark, sf_dir)
+    for run in (idle.orderBy("user_id").limit(2), idle, idle):
+        exports.archive(run, path, AS_OF, "inactive_180d")
     return spark.read.parquet(path)
 
 
+@query(
+    "inactive_users_limited",
+    f"{INACTIVE_SQL} SELECT * FROM inactive ORDER BY user_id LIMIT 100",
+)
+def inactive_users_limited(spark, sf_dir):
+    return lifecycle.inactive_users(
+        inputs.users(spark, sf_dir), inputs.raw_events(spark, sf_dir), AS_OF, limit=100
+    )
+
+
 @query(
     "retention_survivors",
     f"""WITH {sql.MINUTES} SELECT *, window_end AS recorded_at FROM minutes
@@ -917,7 +937,7 @@ def _compacted(spark, sf_dir):
     events = inputs.raw_events(spark, sf_dir)
     small_files = DAILY.assign(events, "created_at").repartition(4)
     small_files.write.partitionBy("dt").parquet(bronze)
-    dates = [f"2024-01-{d:02d}" for d in range(1, 32)] + ["2024-02-01"]
+    dates = [r.dt.isoformat() for r in partition_dates(list_files(spark, bronze)).collect()]
     return gold, lifecycle.compact(spark, bronze, gold, dates)
 
 
@@ -967,12 +987,124 @@ def csv_export(spark, sf_dir):
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
-@query("file_retention_plan")
+@query(
+    "file_retention_plan",
+    """SELECT DISTINCT CAST(ts AS DATE) AS partition_date,
+        CAST(DATE '2024-02-10' - CAST(ts AS DATE) AS INTEGER) AS age_days,
+        DATE '2024-02-10' - CAST(ts AS DATE) > 30 AS expired FROM events""",
+)
 def file_retention_plan(spark, sf_dir):
-    """Rows only: file names and ages differ from run to run."""
     path = scratch_dir(spark, "retention")
     tables.replace_interval(inputs.raw_events(spark, sf_dir), path, DAILY)
-    return lifecycle.file_retention_plan(list_files(spark, path), "2030-01-01")
+    return lifecycle.partition_retention_plan(list_files(spark, path), "2024-02-10")
+
+
+@query(
+    "tenant_landing_roundtrip",
+    f"""WITH {sql.raw()}
+    SELECT id, user_id, event_type, created_at, 't' || CAST(CAST(user_id AS BIGINT) % 3 AS VARCHAR) AS tenant
+    FROM raw WHERE created_at >= TIMESTAMP '2024-01-05 06:30:00' AND created_at < TIMESTAMP '2024-01-20'
+      AND CAST(user_id AS BIGINT) % 3 IN (0, 2)""",
+)
+def tenant_landing_roundtrip(spark, sf_dir):
+    lake = Lake(scratch_dir(spark, "tenant-landing"))
+    batch.extract_tenants(inputs.tenant_events(spark, sf_dir), lake)
+    back = read_landing(
+        spark,
+        lake.tenant_landing,
+        iv=("2024-01-05 06:30:00", "2024-01-20"),
+        tenants=["t0", "t2", "absent"],
+    )
+    return back.select("id", "user_id", "event_type", "created_at", "tenant")
+
+
+@query(
+    "tenant_gold_report",
+    f"""WITH {sql.TENANT_GOLD}
+    SELECT m.tenant_id, g.product_id, COALESCE(g.total_conversions, 0)::BIGINT AS total_conversions
+    FROM {sql.TENANT_DAYS} m(tenant_id, position, days)
+    LEFT JOIN (SELECT * FROM tenant_gold WHERE event_type = 'purchase') g ON g.tenant_id = m.tenant_id""",
+)
+def tenant_gold_report(spark, sf_dir):
+    """Gold from its files; one tenant of the manifest has none."""
+    path = scratch_dir(spark, "tenant-gold")
+    tables.replace_table(tenant_conversions(spark, sf_dir), path, ("tenant_id",))
+    gold = read_tenant_gold(spark, path, inputs.manifest(spark, extra_tenant=True))
+    return gold.select("tenant_id", "product_id", "total_conversions")
+
+
+@query(
+    "tenant_conversions_by_manifest_file",
+    f"""WITH {sql.TENANT_GOLD} SELECT product_id, event_type, total_conversions, tenant_id
+    FROM tenant_gold WHERE event_type = 'purchase'""",
+)
+def tenant_conversions_by_manifest_file(spark, sf_dir):
+    path = scratch_dir(spark, "manifest")
+    entries = inputs.manifest(spark).orderBy("position").drop("position")
+    entries.agg(F.to_json(F.collect_list(F.struct(*entries.columns))).alias("value")).write.text(path)
+    return tenants.tenant_conversions(
+        inputs.tenant_events(spark, sf_dir), read_manifest(spark, path), AS_OF
+    )
+
+
+WINDOWS = ((START, "2024-01-16"), ("2024-01-16", END))
+
+
+@query(
+    "windowed_gold",
+    f"""WITH {sql.raw()}
+    SELECT product_id, CASE WHEN created_at < TIMESTAMP '2024-01-16' THEN 'w1' ELSE 'w2' END AS "window",
+        MIN(CASE WHEN created_at < TIMESTAMP '2024-01-16' THEN TIMESTAMP '2024-01-01'
+                 ELSE TIMESTAMP '2024-01-16' END) AS window_start,
+        COUNT(*) AS total_conversions
+    FROM raw WHERE {WHOLE} AND event_type = 'purchase' GROUP BY 1, 2""",
+)
+def windowed_gold(spark, sf_dir):
+    """Gold keeps both windows; running one again replaces that one. Without processed_at."""
+    path = scratch_dir(spark, "windows")
+    events = inputs.raw_events(spark, sf_dir)
+    for label, iv in (("w1", WINDOWS[0]), ("w2", WINDOWS[1]), ("w1", WINDOWS[0])):
+        gold = reports.with_audit_columns(reports.product_conversions(events, iv), iv)
+        tables.replace_window(gold, path, label)
+    stored = spark.read.parquet(path)
+    return stored.select("product_id", "window", "window_start", "total_conversions")
+
+
+@query(
+    "measurement_log",
+    """SELECT event_type, COUNT(*) AS event_count, CAST(r AS INTEGER) AS run
+    FROM events, (VALUES (1), (2)) runs(r) GROUP BY ALL""",
+)
+def measurement_log(spark, sf_dir):
+    path = scratch_dir(spark, "log")
+    counts = inputs.raw_events(spark, sf_dir).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("event_count")
+    )
+    for run in (1, 2):
+        tables.append_log(counts.withColumn("run", F.lit(run)), path)
+    return spark.read.parquet(path)
+
+
+@query(
+    "rows_out_of_order",
+    "SELECT CAST(ts AS DATE) AS dt, CAST(0 AS BIGINT) AS rows_out_of_order FROM events GROUP BY 1",
+)
+def rows_out_of_order(spark, sf_dir):
+    """Rows of a landing file that are older than the row before them: none."""
+    path = scratch_dir(spark, "order")
+    tables.replace_interval(inputs.raw_events(spark, sf_dir), path, DAILY)
+    rows = spark.read.parquet(path).select(
+        "dt",
+        "created_at",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("at"),
+    )
+    before = F.lag("created_at").over(Window.partitionBy("file").orderBy("at"))
+    return (
+        rows.withColumn("late", before > F.col("created_at"))
+        .groupBy("dt")
+        .agg(F.count_if("late").alias("rows_out_of_order"))
+    )
 
 
 # -- messages and streams -----------------------------------------------------
@@ -1007,7 +1139,49 @@ def dlq_fixable(spark, sf_dir):
 )
 def dlq_unrecoverable(spark, sf_dir):
     _, unrecoverable = messages.split_valid_dlq(_classified(spark, sf_dir))
-    return messages.unrecoverable_log(unrecoverable)
+    return messages.unrecoverable_log(unrecoverable, messages.MAX_LOGGED_CHARS)
+
+
+@query(
+    "dlq_bounded_batch",
+    f"""WITH {sql.MESSAGES}
+    SELECT partition, "offset", value FROM messages ORDER BY partition, "offset" LIMIT 500""",
+)
+def dlq_bounded_batch(spark, sf_dir):
+    sent = inputs.messages(spark, sf_dir)
+    source = _stream_files(spark, sent.drop("timestamp"), "dead-letters")
+    return read_dlq(spark, "parquet", max_messages=500, path=source)
+
+
+FIXED_SQL = f"""WITH {sql.MESSAGES}
+    SELECT regexp_replace(value, '\\s*\\}}\\s*$', '')
+           || CASE WHEN has_product THEN '' ELSE ', "product_id": null' END
+           || CASE WHEN has_time THEN '' ELSE ', "timestamp": "2024-01-31T00:00:00"' END || '}}'
+               AS value
+    FROM classified WHERE reason IS NULL"""
+
+
+@query("republished_messages", FIXED_SQL)
+def republished_messages(spark, sf_dir):
+    path = scratch_dir(spark, "republished")
+    fixable, _ = messages.split_valid_dlq(_classified(spark, sf_dir))
+    exports.republish(fixable.select(F.col("fixed_value").alias("value")), "text", path=path)
+    return spark.read.text(path)
+
+
+@query("dlq_replay_twice", FIXED_SQL.replace("('signup', 'click', 'view', 'purchase')", "('view', 'purchase')"))
+def dlq_replay_twice(spark, sf_dir):
+    """The second and third run see the whole topic and republish only what came since."""
+    lake = Lake(scratch_dir(spark, "replay"))
+    source, target = f"{lake.root}/dead-letters", f"{lake.root}/main"
+    sent = inputs.messages(spark, sf_dir).drop("timestamp")
+    middle = F.col("offset") < 5000
+    for part in (sent.filter(middle), sent.filter(~middle), sent.limit(0)):
+        part.write.mode("append").parquet(source)
+        checks.replay_dead_letters(
+            spark, lake, AS_OF, "parquet", "text", {"path": source}, {"path": target}
+        )
+    return spark.read.text(target)
 
 
 def _stream_files(spark, rows, name: str) -> str:
@@ -1056,19 +1230,22 @@ def stream_minute_counts(spark, sf_dir):
     FROM classified""",
 )
 def stream_valid_dlq_split(spark, sf_dir):
+    """Two streams with checkpoints of their own write to the same tables."""
     sent = inputs.messages(spark, sf_dir)
     source = _stream_files(spark, sent, "raw-messages")
     stream = read_event_stream(spark, "parquet", sent.schema, path=source)
     root = scratch_dir(spark, "split")
-    running = write_stream_split(
-        stream,
-        f"{root}/valid",
-        f"{root}/dlq",
-        f"{root}/checkpoint",
-        STREAM_TYPES,
-        trigger={"availableNow": True},
-    )
-    running.awaitTermination()
+    for turn in (0, 1):
+        own = stream.filter(F.pmod("offset", F.lit(2)) == turn)
+        running = write_stream_split(
+            own,
+            f"{root}/valid",
+            f"{root}/dlq",
+            f"{root}/checkpoint-{turn}",
+            STREAM_TYPES,
+            trigger={"availableNow": True},
+        )
+        running.awaitTermination()
     valid = spark.read.parquet(f"{root}/valid").select(
         "partition", "offset", F.lit("valid").alias("route"), F.lit(None).cast("string").alias("reason")
     )

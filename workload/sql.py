@@ -73,7 +73,12 @@ MESSAGES = """messages AS (
             WHEN 3 THEN intact || ' {"again": 1}'
             WHEN 4 THEN '{"user_id": null, "event_type": "' || event_type
                         || '", "product_id": 5, "timestamp": "2024-01-01T00:00:00"}'
-            ELSE intact END AS value
+            WHEN 5 THEN '{"event_type": "bad", "user_id": "' || CAST(user_id AS VARCHAR)
+                        || '", "event_type": "' || event_type || '"}'
+            WHEN 6 THEN '{"event_type": "' || event_type || '", "user_id": "' || CAST(user_id AS VARCHAR)
+                        || '", "event_type": "bad"}'
+            ELSE intact END AS value,
+        CASE event_id % 10 WHEN 5 THEN event_type WHEN 6 THEN 'bad' END AS last_type
     FROM (SELECT *, '{"user_id": "' || CAST(user_id AS VARCHAR) || '", "event_type": "'
                     || event_type || '", "nested": ' || props || '}' AS intact FROM events)),
 classified AS (
@@ -90,7 +95,7 @@ classified AS (
             COALESCE(list_contains(json_keys(doc), 'event_type'), false) AS has_type,
             COALESCE(list_contains(json_keys(doc), 'product_id'), false) AS has_product,
             COALESCE(list_contains(json_keys(doc), 'timestamp'), false) AS has_time,
-            json_extract_string(doc, '$.event_type') AS event_type
+            COALESCE(last_type, json_extract_string(doc, '$.event_type')) AS event_type
           FROM (SELECT *, CASE WHEN valid THEN CAST(value AS JSON) END AS doc
                 FROM (SELECT *, CASE WHEN json_valid(value)
                                      THEN json_type(value) = 'OBJECT' ELSE false END AS valid
