@@ -29,9 +29,9 @@ from tidemark.llm.textbatch import mix, powers, ragged, slices, words
 
 WINDOW, RUN = 50, 4
 #: Bytes of text whose repeats one task decides before sending.
-SENT = 8 << 20
+SENT = 4 << 20
 #: Windows of one bucket.
-BUCKET = 1 << 19
+BUCKET = 1 << 18
 #: Most minimisers that are ranked last; they go to every task.
 HEAVY = 4_000_000
 _BASE = np.uint64(0xC2B2AE3D27D4EB4F)
