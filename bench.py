@@ -33,6 +33,7 @@ HEAVY = {
     "rows_out_of_order",
     "stream_minute_counts",
     "stream_valid_dlq_split",
+    "stream_without_late_rows",
     "tenant_conversions_by_manifest_file",
     "tenant_gold_report",
     "tenant_landing_roundtrip",

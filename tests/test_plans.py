@@ -160,6 +160,23 @@ def test_monitoring_jobs(spark, lake):
     assert [r.status for r in health.collect()] == ["degraded"]
 
 
+def test_reports_of_measurements(spark, lake):
+    for hour in ("00", "12"):
+        checks.freshness_check(spark, lake, f"2024-01-09T{hour}:00:00")
+    checks.freshness_report(spark, lake)
+    assert spark.read.parquet(lake.gold("freshness_compliance")).first().measurements >= 2
+    readings = [("spark", T0, True, 3), ("spark", T0 + timedelta(hours=1), False, 3)]
+    tables.replace_table(
+        spark.createDataFrame(readings, schemas.HEALTH_READINGS), lake.table("health_readings")
+    )
+    checks.uptime_report(spark, lake, ("2024-01-01", "2024-01-02"))
+    assert spark.read.parquet(lake.gold("component_uptime")).count() == 1
+    checks.payload_check(spark, lake, ("2024-01-01", "2024-01-02"), ("product_id", "absent"))
+    keys = spark.read.parquet(lake.log("dq_payload_key_log"))
+    assert "absent" in keys.drop("checked_at").toPandas().to_string()
+    checks.latest_failures(spark, lake, "2024-01-09")
+
+
 def test_report_jobs(spark, lake):
     twice(reporting.daily_summary, spark, lake, ("2024-01-01", "2024-01-03"))
     daily = spark.read.parquet(lake.gold("daily_event_summary"))

@@ -94,8 +94,9 @@ def partition_retention_plan(
 def apply_retention(plan: DataFrame, dry_run: bool = True) -> DataFrame:
     """Delete the expired files unless `dry_run`; returns file and byte totals per decision.
 
-    Paths reach the driver one partition of the plan at a time and are deleted by
-    a pool of threads, as these are calls to the name node.
+    A directory whose files have all expired goes with one call; only in the others are files
+    deleted one by one. Paths reach the driver a partition of the plan at a time and are
+    deleted by a pool of threads, as these are calls to the name node.
     """
     summary = plan.groupBy("expired").agg(
         F.count(F.lit(1)).alias("files"), F.sum("size").cast("bigint").alias("bytes")
@@ -104,7 +105,13 @@ def apply_retention(plan: DataFrame, dry_run: bool = True) -> DataFrame:
         return summary
     spark = plan.sparkSession
     done = spark.createDataFrame(summary.collect(), summary.schema)
-    expired = plan.filter("expired").select("path").toLocalIterator()
+    placed = plan.withColumn("_directory", F.regexp_extract("path", r"^(.*)/[^/]+$", 1))
+    found = placed.groupBy("_directory").agg(
+        F.every("expired").alias("_whole"), F.some("expired").alias("_some")
+    )
+    whole = found.filter("_whole").select(F.col("_directory").alias("path"))
+    partly = placed.join(found.filter("_some and not _whole"), "_directory").filter("expired")
+    expired = whole.union(partly.select("path")).toLocalIterator()
     storage.delete_all(spark, (row.path for row in expired))
     return done
 

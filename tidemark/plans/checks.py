@@ -116,6 +116,12 @@ def freshness_check(spark: SparkSession, lake: Lake, as_of: Moment) -> None:
     tables.append_log(record, lake.log("sla_measurement_log"))
 
 
+def freshness_report(spark: SparkSession, lake: Lake) -> None:
+    """Share of all logged measurements that met the target."""
+    log = spark.read.parquet(lake.log("sla_measurement_log"))
+    tables.replace_table(monitoring.freshness_compliance(log), lake.gold("freshness_compliance"))
+
+
 def stream_check(spark: SparkSession, lake: Lake, as_of: Moment) -> None:
     live = lake.read(spark, "live_event_metrics", LIVE_METRICS)
     record = monitoring.stream_health(live, as_of).withColumn("check_time", ts(as_of))
@@ -127,6 +133,14 @@ def failure_report(spark: SparkSession, lake: Lake, as_of: Moment) -> None:
     tables.append_absent(audit, lake.log("pipeline_failure_audit"), ("report_date", "dag_id"))
 
 
+def latest_failures(spark: SparkSession, lake: Lake, as_of: Moment) -> None:
+    """The failed tasks of the last day, newest first, as a CSV report."""
+    runs = lake.read(spark, "task_runs", TASK_RUNS)
+    exports.export_csv(
+        monitoring.recent_failures(runs, as_of), lake.gold("reports/recent_failures")
+    )
+
+
 def lag_check(spark: SparkSession, lake: Lake, as_of: Moment) -> None:
     lag = monitoring.consumer_lag(lake.read(spark, "consumer_offsets", OFFSETS))
     record = lag.select(
@@ -146,6 +160,23 @@ def cluster_check(spark: SparkSession, lake: Lake, iv: Interval) -> None:
     tables.append_log(monitoring.health_record(within), lake.log("cluster_health_log"))
 
 
+def uptime_report(spark: SparkSession, lake: Lake, iv: Interval) -> None:
+    """Share of an interval's readings in which each component was up."""
+    readings = lake.read(spark, "health_readings", HEALTH_READINGS)
+    within = readings.filter(
+        (F.col("check_time") >= ts(iv[0])) & (F.col("check_time") < ts(iv[1]))
+    )
+    tables.replace_table(monitoring.component_uptime(within), lake.gold("component_uptime"))
+
+
+def payload_check(spark: SparkSession, lake: Lake, iv: Interval, keys: tuple[str, ...]) -> None:
+    """Missing and unexpected payload keys of an interval."""
+    found = drift.payload_key_drift(lake.events(spark, iv), keys)
+    tables.append_log(
+        found.withColumn("checked_at", F.current_timestamp()), lake.log("dq_payload_key_log")
+    )
+
+
 def replay_dead_letters(
     spark: SparkSession,
     lake: Lake,

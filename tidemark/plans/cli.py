@@ -73,6 +73,18 @@ JOBS: dict[str, tuple[tuple[str, ...], Callable]] = {
     ),
     "errors": (("start", "end"), lambda s, lake, a: checks.error_check(s, lake, (a.start, a.end))),
     "freshness": (("as_of",), lambda s, lake, a: checks.freshness_check(s, lake, a.as_of)),
+    "freshness-report": ((), lambda s, lake, a: checks.freshness_report(s, lake)),
+    "recent-failures": (("as_of",), lambda s, lake, a: checks.latest_failures(s, lake, a.as_of)),
+    "uptime": (
+        ("start", "end"),
+        lambda s, lake, a: checks.uptime_report(s, lake, (a.start, a.end)),
+    ),
+    "payload-keys": (
+        ("start", "end", "keys"),
+        lambda s, lake, a: checks.payload_check(
+            s, lake, (a.start, a.end), tuple(a.keys.split(","))
+        ),
+    ),
     "stream-health": (("as_of",), lambda s, lake, a: checks.stream_check(s, lake, a.as_of)),
     "failures": (("as_of",), lambda s, lake, a: checks.failure_report(s, lake, a.as_of)),
     "consumer-lag": (("as_of",), lambda s, lake, a: checks.lag_check(s, lake, a.as_of)),
@@ -121,7 +133,8 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="run_job")
     p.add_argument("job", choices=sorted(JOBS))
     p.add_argument("--lake", required=True)
-    for name in ("start", "end", "as-of", "manifest", "dates", "url", "path", "servers", "topic"):
+    for name in ("start", "end", "as-of", "manifest", "dates", "url", "path", "servers", "topic",
+                 "keys"):
         p.add_argument(f"--{name}")
     p.add_argument("--table", default="raw_events")
     p.add_argument("--partitions", type=int, default=32)

@@ -1205,11 +1205,40 @@ def stream_minute_counts(spark, sf_dir):
         ).alias("value"),
         F.col("created_at").alias("timestamp"),
     )
-    source = _stream_files(spark, sent, "messages")
+    root = scratch_dir(spark, "live-metrics")
+    _live(spark, _stream_files(spark, sent, "messages"), root)
+    return _live_table(spark, root)
+
+
+def _live_table(spark, root):
+    return spark.read.parquet(f"{root}/table").select(
+        "window_start", "window_end", "event_type", "event_count"
+    )
+
+
+@query(
+    "stream_without_late_rows",
+    f"WITH {sql.MINUTES} SELECT * FROM minutes",
+)
+def stream_without_late_rows(spark, sf_dir):
+    """All events once more, a day after the last of them: beyond the watermark, so not counted."""
+    kind = F.to_json(F.struct(F.col("event_type").alias("eventType"))).alias("value")
+    sent = inputs.raw_events(spark, sf_dir).select(kind, F.col("created_at").alias("timestamp"))
+    source, root = _stream_files(spark, sent, "messages"), scratch_dir(spark, "late")
+    _live(spark, source, root)
+    last = sent.agg(F.max("timestamp").alias("last"))
+    later = last.select(F.lit("{}").alias("value"), F.expr("last + INTERVAL 1 DAY").alias("timestamp"))
+    later.write.mode("append").parquet(source)
+    _live(spark, source, root)
+    sent.write.mode("append").parquet(source)
+    _live(spark, source, root)
+    return _live_table(spark, root).filter("event_type IS NOT NULL")
+
+
+def _live(spark, source: str, root: str) -> None:
     stream = read_event_stream(
         spark, "parquet", "value STRING, timestamp TIMESTAMP", path=source
     )
-    root = scratch_dir(spark, "live-metrics")
     running = write_stream_upsert(
         minute_counts(decode_events(stream)),
         f"{root}/table",
@@ -1218,9 +1247,6 @@ def stream_minute_counts(spark, sf_dir):
         state_partitions=8,
     )
     running.awaitTermination()
-    return spark.read.parquet(f"{root}/table").select(
-        "window_start", "window_end", "event_type", "event_count"
-    )
 
 
 @query(
