@@ -89,7 +89,9 @@ def test_trees_are_nested_and_find_every_pair():
             away = np.linalg.norm(centres[:, None] - centres[None], axis=2) + np.eye(len(centres)) * 9
             assert away.min() > one.radius[i] / 2
     for a, b in ((one, two), (one, one)):
-        got = {(s + i, t + j) for s, t, hits in covertree.near_pairs(a, b, 0.93, leaf=4) for i, j in np.argwhere(hits)}
+        found = [(i, j) for x, y in covertree.near_pairs(a, b, 0.93, direct=30) for i, j in zip(x, y, strict=True)]
+        got = set(found)
+        assert len(got) == len(found)
         want = {(i, j) for i, j in np.argwhere(a.points @ b.points.T >= 0.93) if a is not b or i < j}
         assert got == want and want
 

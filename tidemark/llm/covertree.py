@@ -27,8 +27,8 @@ from tidemark.llm.components import components, forest
 from tidemark.llm.storage import stored
 
 THRESHOLD = 0.93
-#: Vectors of one block, and of a node that is not divided further.
-BLOCK, LEAF = 2048, 64
+#: Vectors of one block, and of a node that is not divided further; pairs compared at once.
+BLOCK, LEAF, DIRECT = 2048, 64, 1 << 18
 #: Slack of a distance against rounding.
 SLACK = 1e-6
 
@@ -79,10 +79,13 @@ class Tree:
 
 
 def near_pairs(
-    left: Tree, right: Tree, threshold: float, leaf: int = LEAF
-) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(a, b, hits): pairs (i, j) with cosine >= threshold are where hits[i - a, j - b] is set,
-    by places in tree order. Every pair comes once; of a tree with itself, only i < j."""
+    left: Tree, right: Tree, threshold: float, direct: int = DIRECT
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j), in tree order, of all pairs with cosine >= threshold, in some portions.
+
+    Every pair comes once; of a tree with itself, only i < j. Two nodes of at most `direct`
+    pairs of points are compared at once.
+    """
     limit = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
     same = left is right
     todo = [(0, 0)] if len(left.points) and len(right.points) else []
@@ -90,33 +93,28 @@ def near_pairs(
         i, j = todo.pop()
         s, e, c, d = left.nodes[:, i].tolist()
         t, f, g, h = right.nodes[:, j].tolist()
-        if same and i == j and c < d:
-            kids = range(c, d)
-            todo += [(x, y) for x in kids for y in kids if x <= y]
-            continue
-        if not same or i != j:
-            # Children of the wider node that come near enough.
-            far = left.points[s] - right.points[t]
-            if float(np.sqrt(far @ far)) > limit + left.radius[i] + right.radius[j]:
-                continue
-        wide = c < d and (g >= h or left.radius[i] >= right.radius[j])
-        if (e - s) * (f - t) > leaf * leaf * 16 and (wide or g < h):
-            if wide:
-                kids = np.arange(c, d)
-                away = np.linalg.norm(left.points[left.nodes[0, c:d]] - right.points[t], axis=1)
-                kids = kids[away <= limit + left.radius[c:d] + right.radius[j]]
-                todo += [(x, j) for x in kids.tolist()]
-            else:
-                kids = np.arange(g, h)
-                away = np.linalg.norm(right.points[right.nodes[0, g:h]] - left.points[s], axis=1)
-                kids = kids[away <= limit + right.radius[g:h] + left.radius[i]]
-                todo += [(i, y) for y in kids.tolist()]
+        self_pair = same and i == j
+        if (e - s) * (f - t) <= direct or not (c < d or g < h):
+            hits = left.points[s:e] @ right.points[t:f].T >= threshold
+            x, y = np.nonzero(np.triu(hits, 1) if self_pair else hits)
+            yield s + x, t + y
             continue
-        hits = left.points[s:e] @ right.points[t:f].T >= threshold
-        if same and i == j:
-            hits &= np.arange(e - s)[:, None] < np.arange(f - t)[None, :]
-        if hits.any():
-            yield s, t, hits
+        # All pairs of children at once; a node without children stands for itself.
+        one = np.arange(c, d) if c < d else np.array([i])
+        two = np.arange(g, h) if g < h else np.array([j])
+        u, v = left.nodes[:2, one], right.nodes[:2, two]
+        dots = left.points[u[0]] @ right.points[v[0]].T
+        away = np.sqrt(np.maximum(2 - 2 * dots, 0))
+        near = away <= limit + left.radius[one][:, None] + right.radius[two][None, :]
+        if self_pair:
+            near = np.triu(near)
+        # Nodes of one point each are settled by the same cosines.
+        single = (u[1] - u[0] == 1)[:, None] & (v[1] - v[0] == 1)[None, :]
+        hits = near & single & (dots >= threshold)
+        x, y = np.nonzero(np.triu(hits, 1) if self_pair else hits)
+        yield u[0][x], v[0][y]
+        x, y = np.nonzero(near & ~single)
+        todo += zip(one[x].tolist(), two[y].tolist(), strict=True)
 
 
 def _trees(group: pd.DataFrame) -> pd.DataFrame:
@@ -158,12 +156,10 @@ def _join(threshold: float):
                 count = [np.zeros(len(one), np.int64), np.zeros(len(two), np.int64)]
                 found: list[np.ndarray] = []
                 held = 0
-                for s, t, hits in near_pairs(left, right, threshold):
-                    i, j = hits.shape
-                    count[0][s : s + i] += hits @ two[t : t + j, 1]
-                    count[1][t : t + j] += one[s : s + i, 1] @ hits
-                    x, y = np.nonzero(hits)
-                    found.append(np.stack((one[s + x, 0], two[t + y, 0])))
+                for x, y in near_pairs(left, right, threshold):
+                    count[0] += np.bincount(x, two[y, 1], len(one)).astype(np.int64)
+                    count[1] += np.bincount(y, one[x, 1], len(two)).astype(np.int64)
+                    found.append(np.stack((one[x, 0], two[y, 0])))
                     held += len(x)
                     if held > 1 << 20:
                         found = [np.stack(forest(*np.concatenate(found, axis=1)))]
