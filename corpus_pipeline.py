@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import langid, minhash, mixing, packing, secretscan
 from tidemark.llm.queries import table, tokenizer
-from tidemark.llm.storage import ship_package, stored
+from tidemark.llm.storage import free_name, ship_package, stored
 
 #: A text of at least so many characters of which no language claims this share is no text.
 LEAST_SHARE, LEAST_CHARS = 0.2, 20
@@ -25,8 +25,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near duplicates."""
     kept = minhash.near_duplicates(docs).where("kept").select(docs.columns)
-    known = F.col("doc_id").isNotNull()
-    return kept.where(known).dropDuplicates(["doc_id"]).union(kept.where(~known))
+    # Rows that repeat an id are one document; those without an id are all their own.
+    own = free_name(kept, "own")
+    nameless = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    return kept.withColumn(own, nameless).dropDuplicates(["doc_id", own]).drop(own)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

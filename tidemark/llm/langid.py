@@ -188,7 +188,7 @@ def fit(
     )
     by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = counts.withColumn("place", F.row_number().over(by_count)).where(F.col("place") <= grams)
-    found = top.select("lang", "gram", "n").toPandas()
+    found = top.select("lang", "gram", "n").toArrow().to_pandas()
     found["share"] = found["n"] / found.groupby("lang")["n"].transform("sum")
     most = found.groupby("gram")["share"].transform("max")
     found = found[found["share"] >= SHARE * most]

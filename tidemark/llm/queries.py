@@ -168,6 +168,29 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+ORACLES["op5_substring_dedup"] = r"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM docs)
+), firsts AS (
+    SELECT s, min(doc_id) AS low FROM windows GROUP BY s
+), removed AS (
+    SELECT DISTINCT doc_id, p FROM (
+        SELECT doc_id, unnest(range(i, i + 50)) AS p
+        FROM windows JOIN firsts USING (s) WHERE low < doc_id)
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+    FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs)
+    ANTI JOIN removed USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
+
 @query
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(
@@ -190,6 +213,34 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+ORACLES["op8_minhash_near_dedup"] = r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+    WHERE 100 * c >= 75 * (p.n + q.n - c)
+), reached AS (
+    SELECT doc_id AS id, doc_id AS other FROM docs
+    UNION
+    SELECT r.id, l.y FROM reached r JOIN links l ON l.x = r.other
+)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id,
+       min(other) = d.doc_id AS kept
+FROM docs d JOIN reached r ON r.id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""
+
+
 @query
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")

@@ -33,7 +33,7 @@ SENT = 4 << 20
 #: Windows of one bucket.
 BUCKET = 1 << 18
 #: Most minimisers that are ranked last; they go to every task.
-HEAVY = 4_000_000
+HEAVY = 1 << 20
 _BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
@@ -273,7 +273,7 @@ def repeated_ranges(
     # At most HEAVY minimisers can have so many super-k-mers.
     bound = max(packs / (2 * buckets), packs / HEAVY)
     rows = often.where(F.col("gram").isNotNull() & (F.col("packs") > bound)).select("gram")
-    heavy = np.sort(np.array([r[0] for r in rows.collect()], dtype=np.int64).view(np.uint64))
+    heavy = np.sort(rows.toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))
     sent = docs.select("doc_id", "row_key", "text").mapInArrow(
         _send(window, run, heavy, buckets), _SENT
     )
