@@ -20,7 +20,7 @@ _LOWERED[65:91] = _BYTE[97:123]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 #: Bytes hashed at once.
-_SPAN = 1 << 20
+_SPAN = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -77,7 +77,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(
-    batches: Iterator[pa.RecordBatch], text: str, limit: int = 4 << 20
+    batches: Iterator[pa.RecordBatch], text: str, limit: int = 1 << 20
 ) -> Iterator[pa.RecordBatch]:
     """The rows in order, in slices of at most `limit` bytes of text or one text alone."""
     for batch in batches:

@@ -11,7 +11,6 @@ import os
 import re
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 
 from tidemark.llm.textbatch import WHITE, ragged, range_hashes, text_bytes
@@ -77,9 +76,10 @@ class Encoder:
         return "".join(x for x, _ in t.pre_tokenizer.pre_tokenize_str(text))
 
     def _forget(self) -> None:
-        self._slot: dict[int, int] = {}
+        # Hashes of the pieces in ascending order, and where each one's ids are in the store.
+        self._known = np.zeros(0, np.uint64)
+        self._starts = self._sizes = np.zeros(0, np.int32)
         self._store, self._used = np.zeros(1 << 16, np.uint32), 0
-        self._ends: list[int] = [0]
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         out: list[list[int] | None] = []
@@ -95,15 +95,29 @@ class Encoder:
         found = iter(self.tokenizer.encode_batch_fast(hard, add_special_tokens=False))
         return [next(found).ids if x is None else x for x in out]
 
-    def _learn(self, hashes: list[int], texts: list[str]) -> None:
-        for h, ids in zip(hashes, self._encode(texts), strict=True):
-            end = self._used + len(ids)
-            if end > len(self._store):
-                self._store = np.concatenate((self._store, np.zeros(end, np.uint32)))
-            self._store[self._used : end] = ids
-            self._used = end
-            self._slot[h] = len(self._ends) - 1
-            self._ends.append(end)
+    def _places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each hash among the known ones, and whether it is there."""
+        at = np.searchsorted(self._known, hashes)
+        there = np.zeros(len(hashes), dtype=bool)
+        inside = at < len(self._known)
+        there[inside] = self._known[at[inside]] == hashes[inside]
+        return at, there
+
+    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
+        found = self._encode(texts)
+        sizes = np.array([len(ids) for ids in found], dtype=np.int32)
+        ids = np.fromiter((i for part in found for i in part), np.uint32, int(sizes.sum()))
+        end = self._used + len(ids)
+        if end > len(self._store):
+            self._store = np.concatenate((self._store, np.zeros(end, np.uint32)))
+        self._store[self._used : end] = ids
+        starts = (self._used + np.cumsum(sizes) - sizes).astype(np.int32)
+        self._used = end
+        known = np.concatenate((self._known, hashes))
+        order = np.argsort(known, kind="stable")
+        self._known = known[order]
+        self._starts = np.concatenate((self._starts, starts))[order]
+        self._sizes = np.concatenate((self._sizes, sizes))[order]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the number of ids of each."""
@@ -112,23 +126,25 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(len(at) - 1, np.int64)
         starts = pieces(data, at)
         ends = np.append(starts[1:], len(data))
-        code, distinct = pd.factorize(range_hashes(data, starts, ends))
-        if len(self._slot) + len(distinct) > self.remembered:
+        coded = pa.array(range_hashes(data, starts, ends)).dictionary_encode()
+        code = coded.indices.to_numpy()
+        distinct = coded.dictionary.to_numpy()
+        if len(self._known) + len(distinct) > self.remembered:
             self._forget()
-        keys = distinct.tolist()
-        new = np.array([i for i, h in enumerate(keys) if h not in self._slot], dtype=np.int64)
+        _, there = self._places(distinct)
+        new = np.flatnonzero(~there)
         if len(new):
-            where = np.zeros(len(keys), dtype=np.int64)
+            where = np.zeros(len(distinct), dtype=np.int64)
             where[code[::-1]] = np.arange(len(code))[::-1]
             raw = data.tobytes()
             texts = [
                 raw[starts[k] : ends[k]].decode("utf-8", "replace") for k in where[new].tolist()
             ]
-            self._learn([keys[i] for i in new.tolist()], texts)
-        slots = np.fromiter((self._slot[h] for h in keys), np.int64, len(keys))[code]
-        bounds = np.array(self._ends)
-        lengths = bounds[slots + 1] - bounds[slots]
-        ids = self._store[ragged(bounds[slots], lengths)]
+            self._learn(distinct[new], texts)
+        at_known, _ = self._places(distinct)
+        slots = at_known[code]
+        lengths = self._sizes[slots].astype(np.int64)
+        ids = self._store[ragged(self._starts[slots].astype(np.int64), lengths)]
         total = np.concatenate(([0], np.cumsum(lengths)))[np.searchsorted(starts, at)]
         return ids, np.diff(total)
 
