@@ -12,7 +12,6 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from tests.llm.brute import crc, near_duplicates, secrets, without_repeats
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import langid, minhash, mixing, packing, secretscan, superkmers, tokenfiles
