@@ -179,7 +179,7 @@ def upsert_table(
     another partition and its old version would survive. `scope` is a predicate
     on partition columns that selects whole partitions, at least those `src`
     touches and no more than may be rewritten; without it, they are found from
-    `src`, which is then evaluated twice more.
+    `src`, which is then evaluated once more.
     """
     _check_partitions(keys, partition_cols)
     order = tuple(k for k in keys if k not in partition_cols)
@@ -194,24 +194,20 @@ def upsert_table(
 def touched(current: DataFrame, src: DataFrame, partition_cols: tuple[str, ...]) -> DataFrame:
     """Rows of a table in the partitions that occur in `src`.
 
-    The least and the greatest value of each partition column are read first, so that the
-    scan lists and reads no partition outside them; a join keeps those in between that count.
+    The partitions that a write touches are directories, few enough to name; naming them lets
+    the scan list and read no others.
     """
-    ends = src.agg(
-        *[f(c).alias(f"{n}{i}") for i, c in enumerate(partition_cols)
-          for n, f in (("low", F.min), ("high", F.max), ("n", F.count))],
-        F.count(F.lit(1)).alias("rows"),
-    ).first()
-    for i, c in enumerate(partition_cols):
-        within = F.col(c).between(F.lit(ends[f"low{i}"]), F.lit(ends[f"high{i}"]))
-        if ends[f"n{i}"] < ends["rows"]:
-            within = within | F.col(c).isNull()
-        current = current.filter(within)
-    own = src.select(*partition_cols).distinct()
-    return (
-        current.alias("t").join(own.alias("s"), _same("t", "s", partition_cols), "left_semi")
-        .select(*src.columns)
-    )
+    names = src.select(*partition_cols).distinct().collect()
+    for c in partition_cols:
+        values = {row[c] for row in names}
+        there = F.col(c).isin(*(values - {None}))
+        current = current.filter(there | F.col(c).isNull() if None in values else there)
+    if len(partition_cols) > 1:
+        own = src.sparkSession.createDataFrame(names, src.select(*partition_cols).schema)
+        current = current.alias("t").join(
+            own.alias("s"), _same("t", "s", partition_cols), "left_semi"
+        )
+    return current.select(*src.columns)
 
 
 def _check_partitions(keys: tuple[str, ...], partition_cols: tuple[str, ...]) -> None:
