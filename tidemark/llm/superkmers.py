@@ -31,7 +31,7 @@ WINDOW, RUN = 50, 4
 #: Bytes of text whose repeats one task decides before sending.
 SENT = 4 << 20
 #: Windows of one bucket.
-BUCKET = 1 << 18
+BUCKET = 1 << 19
 #: Most minimisers that are ranked last; they go to every task.
 HEAVY = 1 << 20
 _BASE = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -171,7 +171,7 @@ def _send(window: int, run: int, heavy: np.ndarray, buckets: int):
     """Super-k-mers by bucket; a negative bucket: ranges that the batch has decided itself."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1)
+        press = zstandard.ZstdCompressor(level=6)
 
         def rows(bucket, n, packed) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
