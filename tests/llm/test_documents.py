@@ -168,6 +168,23 @@ def test_secrets_below_encodings(hidden, kind):
     assert secretscan.scan(secretscan.redact(text, secretscan.scan(text))) == []
 
 
+@pytest.mark.parametrize(
+    "content",
+    [
+        "пароль и ключ: password=abcdefgh123 конец этого текста".encode(),
+        "これは秘密の鍵です token=abcdefgh123 終わり".encode(),
+        "ключ password=abcdefgh123 конец".encode("utf-16-le"),
+        "ключ password=abcdefgh123 конец".encode("utf-16-be"),
+        bytes(range(128, 256)) + b"password=abcdefgh123\xff" + bytes(range(200, 256)),
+    ],
+)
+def test_secrets_in_base64_of_anything(content):
+    text = "hé ".encode() + base64.b64encode(content) + b" after"
+    found = [f for f in secretscan.scan(text) if f.kind == "assign"]
+    assert found and all(4 < f.start < f.end < len(text) - 6 for f in found)
+    assert secretscan.scan(secretscan.redact(text, secretscan.scan(text))) == []
+
+
 def test_decoding_ends_and_scans_every_rule_as_plain_python():
     rng = random.Random(3)
     parts = ["token", "secret", "=", ":", " ", "abcdefgh", "AKIA", "A" * 12, "0123456789abcdef" * 2, "'", "é",

@@ -1,15 +1,14 @@
 """Secrets in whole texts, also below nested encodings.
 
 Base rules run on the text itself. Then a worklist unwraps encoded parts: percent escapes,
-backslash-u escapes, base64, and zlib or gzip streams, in any nesting. Every new layer is
-scanned and searched for further parts; a layer that was seen before is not taken up again,
+backslash-u escapes, base64, UTF-16, and zlib or gzip streams, in any nesting. Every new layer,
+text or not, is scanned and searched for further parts; a layer that was seen before is not taken up again,
 so the work ends. A finding in a layer is mapped back to the stretch of the text it came from.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
@@ -43,6 +42,10 @@ _HINT = re.compile(rb"passw|secret|token|api_?key", re.IGNORECASE)
 _PERCENT = re.compile(rb"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(rb"(?:\\u[0-9A-Fa-f]{4})+")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: UTF-16 of ASCII in either byte order. All rules and encodings are ASCII, whatever lies between.
+_LITTLE = re.compile(rb"(?:[\x01-\x7f]\x00){3,}")
+_BIG = re.compile(rb"(?:\x00[\x01-\x7f]){3,}")
+_STANDARD = bytes.maketrans(b"-_", b"+/")
 #: Layers beyond this size are cut: a stream may hold a thousand times its size.
 LAYER_BYTES = 32 << 20
 
@@ -119,6 +122,14 @@ def _unicode(escape: bytes) -> tuple[bytes, list[int], int]:
     return b"".join(chars), [len(c) for c in chars], 6
 
 
+def _little(units: bytes) -> tuple[bytes, list[int], int]:
+    return units[::2], [1] * (len(units) // 2), 2
+
+
+def _big(units: bytes) -> tuple[bytes, list[int], int]:
+    return units[1::2], [1] * (len(units) // 2), 2
+
+
 def _inflate(data: bytes) -> bytes | None:
     if data[:2] not in (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda"):
         return None
@@ -128,18 +139,23 @@ def _inflate(data: bytes) -> bytes | None:
         return None
 
 
-def _decoded(part: bytes) -> bytes | None:
-    """Content of a base64 part (either alphabet), if it is text or a compressed stream."""
-    body = part.rstrip(b"=").translate(bytes.maketrans(b"-_", b"+/"))
+def _decoded(part: bytes) -> bytes:
+    """Content of a base64 part (either alphabet), whatever it is."""
+    body = part.rstrip(b"=").translate(_STANDARD)
     body = body[: len(body) - (len(body) % 4 == 1)]
-    try:
-        raw = base64.b64decode(body + b"=" * (-len(body) % 4))
-    except binascii.Error:
-        return None
-    if _inflate(raw) is not None:
-        return raw
-    control = len(raw.translate(None, bytes(range(9, 14)) + bytes(range(32, 127))))
-    return raw if raw and control <= len(raw) // 8 else None
+    return base64.b64decode(body + b"=" * (-len(body) % 4))
+
+
+def _holds(data: bytes) -> bool:
+    """Whether a decoded part has a finding or may have a further layer."""
+    return bool(
+        b"%" in data
+        or b"\\u" in data
+        or _inflate(data) is not None
+        or _BASE64.search(data)
+        or (b"\x00" in data and (_LITTLE.search(data) or _BIG.search(data)))
+        or next(matches(data), None)
+    )
 
 
 def _mark(layer: _Layer) -> tuple[bytes, int, int]:
@@ -162,6 +178,8 @@ def layers(data: bytes) -> Iterator[_Layer]:
         new = [
             _unescape(layer, _PERCENT, _percent) if b"%" in layer.data else None,
             _unescape(layer, _UNICODE, _unicode) if b"\\u" in layer.data else None,
+            _unescape(layer, _LITTLE, _little) if b"\x00" in layer.data else None,
+            _unescape(layer, _BIG, _big) if b"\x00" in layer.data else None,
         ]
         inner = _inflate(layer.data)
         if inner is not None:
@@ -169,7 +187,7 @@ def layers(data: bytes) -> Iterator[_Layer]:
             new.append(_Layer(inner, np.array([begin]), np.array([end]), layer.depth + 1))
         for m in _BASE64.finditer(layer.data):
             raw = _decoded(m[0])
-            if raw is None:
+            if not _holds(raw):
                 continue
             if len(layer.begin) == 1:
                 new.append(_Layer(raw, layer.begin, layer.end, layer.depth + 1))
