@@ -185,6 +185,29 @@ def test_secrets_in_base64_of_anything(content):
     assert secretscan.scan(secretscan.redact(text, secretscan.scan(text))) == []
 
 
+@pytest.mark.parametrize("prefix", ["/", "/a/", "/ab/", "/abc/", "/id-", "/some_", "x" * 17 + "/"])
+def test_secrets_in_base64_after_other_characters(prefix):
+    text = b"see https://h.example" + prefix.encode() + base64.b64encode(b"password=abcdefgh123") + b" end"
+    found = secretscan.scan(text)
+    assert {f.kind for f in found} == {"assign"}
+    assert all(20 + len(prefix) <= f.start < f.end <= len(text) - 4 for f in found)
+
+
+@pytest.mark.parametrize("line_end", [b"\n", b"\r\n", b"\n    "])
+@pytest.mark.parametrize("width", [20, 64, 76])
+def test_secrets_in_wrapped_base64(line_end, width):
+    rng = random.Random(width)
+    noise = bytes(rng.randrange(256) for _ in range(300))
+    for at in range(50, 60):
+        for content in (b"." * at + b" " + KEY + b" " * 9, gzip.compress(noise + b" " + KEY + b" x")):
+            code = base64.b64encode(content)
+            code = line_end.join(code[i : i + width] for i in range(0, len(code), width))
+            text = b"h\xc3\xa9\n" + code + b"\nafter"
+            found = [f for f in secretscan.scan(text) if f.kind == "access"]
+            assert found and all(4 <= f.start < f.end <= len(text) - 6 for f in found)
+            assert secretscan.scan(secretscan.redact(text, secretscan.scan(text))) == []
+
+
 def test_decoding_ends_and_scans_every_rule_as_plain_python():
     rng = random.Random(3)
     parts = ["token", "secret", "=", ":", " ", "abcdefgh", "AKIA", "A" * 12, "0123456789abcdef" * 2, "'", "é",

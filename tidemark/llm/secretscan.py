@@ -42,6 +42,12 @@ _HINT = re.compile(rb"passw|secret|token|api_?key", re.IGNORECASE)
 _PERCENT = re.compile(rb"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(rb"(?:\\u[0-9A-Fa-f]{4})+")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: A run that goes on in the next lines; only the last line may be shorter than a run.
+_WRAPPED = re.compile(
+    rb"[A-Za-z0-9+/_-]{16,}+(?:\r?\n[ \t]*+[A-Za-z0-9+/_-]{16,}+)*+"
+    rb"(?:\r?\n[ \t]*+[A-Za-z0-9+/_-]{1,15}+)?+={0,2}"
+)
+_LINE = re.compile(rb"[A-Za-z0-9+/_-]+")
 #: UTF-16 of ASCII in either byte order. All rules and encodings are ASCII, whatever lies between.
 _LITTLE = re.compile(rb"(?:[\x01-\x7f]\x00){3,}")
 _BIG = re.compile(rb"(?:\x00[\x01-\x7f]){3,}")
@@ -139,13 +145,48 @@ def _inflate(data: bytes) -> bytes | None:
         return None
 
 
-def _decoded(part: bytes) -> bytes:
-    """Content of a base64 part (either alphabet), whatever it is."""
-    body = part.rstrip(b"=").translate(_STANDARD)
-    body = body[: len(body) - (len(body) % 4 == 1)]
+def _decoded(body: bytes) -> bytes:
+    """Content of base64 characters (either alphabet), whatever it is."""
+    body = body[: len(body) - (len(body) % 4 == 1)].translate(_STANDARD)
     return base64.b64decode(body + b"=" * (-len(body) % 4))
 
 
+def _runs(data: bytes) -> Iterator[list[tuple[int, int]]]:
+    """Base64 runs as the stretches of their lines.
+
+    Lines of one width, of which the last may be shorter, are one run. Where the widths
+    differ it may also be several, so each line is a run as well."""
+    for m in _WRAPPED.finditer(data):
+        lines = [x.span() for x in _LINE.finditer(data, m.start(), m.end())]
+        yield lines
+        widths = [j - i for i, j in lines]
+        if len(set(widths[:-1])) > 1 or widths[-1] > widths[0]:
+            yield from ([line] for line in lines if line[1] - line[0] >= 16)
+
+
+def _unbased(layer: _Layer) -> Iterator[_Layer]:
+    """The layers in base64 runs. A run may begin with characters that are not of the encoded
+    part, as in a path, so it is read from each of its first four characters."""
+    for lines in _runs(layer.data):
+        body = b"".join(layer.data[i:j] for i, j in lines)
+        places = None
+        for phase in range(4):
+            raw = _decoded(body[phase:])
+            if not _holds(raw):
+                continue
+            if len(layer.begin) == 1:
+                yield _Layer(raw, layer.begin, layer.end, layer.depth + 1)
+                continue
+            if places is None:
+                places = np.concatenate([np.arange(i, j) for i, j in lines])
+            # Byte i of three stands in characters 4 i / 3 and the next of the part.
+            i = np.arange(len(raw))
+            first = phase + i // 3 * 4 + i % 3
+            yield _Layer(
+                raw, layer.begin[places[first]], layer.end[places[first + 1]], layer.depth + 1
+            )
+
+
 def _holds(data: bytes) -> bool:
     """Whether a decoded part has a finding or may have a further layer."""
     return bool(
@@ -185,19 +226,7 @@ def layers(data: bytes) -> Iterator[_Layer]:
         if inner is not None:
             begin, end = layer.origin(0, len(layer.data))
             new.append(_Layer(inner, np.array([begin]), np.array([end]), layer.depth + 1))
-        for m in _BASE64.finditer(layer.data):
-            raw = _decoded(m[0])
-            if not _holds(raw):
-                continue
-            if len(layer.begin) == 1:
-                new.append(_Layer(raw, layer.begin, layer.end, layer.depth + 1))
-                continue
-            # Byte i of three stands in characters 4 i / 3 and the next of the part.
-            i = np.arange(len(raw))
-            first = m.start() + i // 3 * 4 + i % 3
-            new.append(
-                _Layer(raw, layer.begin[first], layer.end[first + 1], layer.depth + 1)
-            )
+        new.extend(_unbased(layer))
         for found in new:
             if found is None or not found.data:
                 continue
