@@ -208,6 +208,21 @@ def test_secrets_in_wrapped_base64(line_end, width):
             assert secretscan.scan(secretscan.redact(text, secretscan.scan(text))) == []
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, lambda x: zlib.compress(x, wbits=10)])
+def test_secrets_in_streams_at_any_place(pack):
+    stream = pack(b"x " + KEY + b" y")
+    escaped = b"".join(b"%%%02x" % c for c in stream)
+    for text in (
+        b"first blob=" + escaped + b" and more",
+        b"first blob=" + base64.b64encode(b"\x00\x01head" + stream + b"tail") + b" and more",
+        b"first /cb/x" + base64.urlsafe_b64encode(stream) + b" and more",
+        b"first blob=" + base64.b64encode(stream + pack(b"z" + KEY)) + b" and more",
+    ):
+        found = [f for f in secretscan.scan(text) if f.kind == "access"]
+        assert found and all(6 <= f.start < f.end <= len(text) - 9 for f in found)
+        assert secretscan.scan(secretscan.redact(text, secretscan.scan(text))) == []
+
+
 def test_decoding_ends_and_scans_every_rule_as_plain_python():
     rng = random.Random(3)
     parts = ["token", "secret", "=", ":", " ", "abcdefgh", "AKIA", "A" * 12, "0123456789abcdef" * 2, "'", "é",

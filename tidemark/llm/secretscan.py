@@ -51,6 +51,20 @@ _LINE = re.compile(rb"[A-Za-z0-9+/_-]+")
 #: UTF-16 of ASCII in either byte order. All rules and encodings are ASCII, whatever lies between.
 _LITTLE = re.compile(rb"(?:[\x01-\x7f]\x00){3,}")
 _BIG = re.compile(rb"(?:\x00[\x01-\x7f]){3,}")
+#: gzip, and zlib without a preset dictionary: two bytes that are a multiple of 31.
+_HEAD = re.compile(
+    b"|".join(
+        [b"\x1f\x8b\x08"]
+        + [
+            re.escape(bytes([method, flags]))
+            for method in range(0x08, 0x80, 0x10)
+            for flags in range(256)
+            if (method << 8 | flags) % 31 == 0 and not flags & 0x20
+        ]
+    ),
+    re.DOTALL,
+)
+_PORTION = 1 << 20
 _STANDARD = bytes.maketrans(b"-_", b"+/")
 #: Layers beyond this size are cut: a stream may hold a thousand times its size.
 LAYER_BYTES = 32 << 20
@@ -136,13 +150,47 @@ def _big(units: bytes) -> tuple[bytes, list[int], int]:
     return units[1::2], [1] * (len(units) // 2), 2
 
 
-def _inflate(data: bytes) -> bytes | None:
-    if data[:2] not in (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda"):
-        return None
-    try:
-        return zlib.decompressobj(wbits=47).decompress(data, LAYER_BYTES) or None
-    except zlib.error:
-        return None
+class _Stream:
+    """The compressed stream at data[start:], to its end or as far as it can be read.
+
+    Once its portions were taken, data[start:end] is what was read, and `done` is where the
+    complete stream ended, or else still `start`."""
+
+    def __init__(self, data: bytes, start: int):
+        self.data, self.start = data, start
+        self.end = self.done = start
+
+    def __iter__(self) -> Iterator[bytes]:
+        view, at, step = memoryview(self.data), self.start, 256
+        unpack = zlib.decompressobj(wbits=47)
+        while not unpack.eof and at < len(view):
+            part, before = view[at : at + step], unpack.copy()
+            try:
+                out = unpack.decompress(part, _PORTION)
+            except zlib.error:
+                # What stands before the fault is still read.
+                if len(part) == 1:
+                    break
+                unpack, step = before, len(part) // 2
+                continue
+            at += len(part) - len(unpack.unconsumed_tail) - len(unpack.unused_data)
+            step = min(2 * step, 1 << 16)
+            self.end = at
+            if out:
+                yield out
+        if unpack.eof:
+            self.done = at
+
+
+def _streams(data: bytes) -> Iterator[_Stream]:
+    """Compressed streams at any place; inside one that ended well there are no others."""
+    at = 0
+    while m := _HEAD.search(data, at):
+        stream = _Stream(data, m.start())
+        size = sum(map(len, stream))
+        at = max(stream.done, m.start() + 1)
+        if size:
+            yield stream
 
 
 def _decoded(body: bytes) -> bytes:
@@ -192,7 +240,7 @@ def _holds(data: bytes) -> bool:
     return bool(
         b"%" in data
         or b"\\u" in data
-        or _inflate(data) is not None
+        or _HEAD.search(data)
         or _BASE64.search(data)
         or (b"\x00" in data and (_LITTLE.search(data) or _BIG.search(data)))
         or next(matches(data), None)
@@ -222,9 +270,9 @@ def layers(data: bytes) -> Iterator[_Layer]:
             _unescape(layer, _LITTLE, _little) if b"\x00" in layer.data else None,
             _unescape(layer, _BIG, _big) if b"\x00" in layer.data else None,
         ]
-        inner = _inflate(layer.data)
-        if inner is not None:
-            begin, end = layer.origin(0, len(layer.data))
+        for stream in _streams(layer.data):
+            begin, end = layer.origin(stream.start, stream.end)
+            inner = b"".join(stream)[:LAYER_BYTES]
             new.append(_Layer(inner, np.array([begin]), np.array([end]), layer.depth + 1))
         new.extend(_unbased(layer))
         for found in new:
