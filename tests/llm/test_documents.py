@@ -223,6 +223,30 @@ def test_secrets_in_streams_at_any_place(pack):
         assert secretscan.scan(secretscan.redact(text, secretscan.scan(text))) == []
 
 
+def test_streams_are_read_to_their_end(monkeypatch):
+    text = base64.b64encode(gzip.compress(b"line of a log\n" * (40 << 16) + b" " + KEY + b" x"))
+    assert "access" in {f.kind for f in secretscan.scan(text)}
+    members = gzip.compress(b"first\n") + gzip.compress(b"half " + KEY[:9]) + gzip.compress(KEY[9:] + b" end")
+    assert {f.kind for f in secretscan.scan(base64.b64encode(members))} == {"access"}
+    # Whatever lies on the border of two portions is found.
+    monkeypatch.setattr(secretscan, "PORTION_BYTES", 20_000)
+    monkeypatch.setattr(secretscan, "_STEP", 1000)
+    monkeypatch.setattr(secretscan, "_OPEN_LEAST", 100)
+    rng = random.Random(7)
+    noise = bytes(rng.randrange(256) for _ in range(9000))
+    for at in range(19_000, 21_100, 150):
+        for hidden in (
+            KEY,
+            b"password" + b" " * 3000 + b"=" + b" " * 3000 + b"abcdefgh123",
+            base64.b64encode(noise + b" " + KEY + b" "),
+            base64.encodebytes(gzip.compress(noise + b" " + KEY)),
+            gzip.compress(noise + b" " + KEY),
+        ):
+            whole = b"word and " * (at // 9) + b"\n" + hidden + b"\nand word" * 3000
+            found = secretscan.scan(b"hi " + base64.b64encode(gzip.compress(whole)) + b" end")
+            assert {f.kind for f in found} & {"access", "assign"} and found[0].start >= 3, (at, hidden[:20])
+
+
 def test_decoding_ends_and_scans_every_rule_as_plain_python():
     rng = random.Random(3)
     parts = ["token", "secret", "=", ":", " ", "abcdefgh", "AKIA", "A" * 12, "0123456789abcdef" * 2, "'", "é",

@@ -3,7 +3,7 @@
 Base rules run on the text itself. Then a worklist unwraps encoded parts: percent escapes,
 backslash-u escapes, base64, UTF-16, and zlib or gzip streams, in any nesting. Every new layer,
 text or not, is scanned and searched for further parts; a layer that was seen before is not taken up again,
-so the work ends. A finding in a layer is mapped back to the stretch of the text it came from.
+so the work ends. Streams are inflated to their end, in portions. A finding in a layer is mapped back to the stretch of the text it came from.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import base64
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -48,9 +48,9 @@ _WRAPPED = re.compile(
     rb"(?:\r?\n[ \t]*+[A-Za-z0-9+/_-]{1,15}+)?+={0,2}"
 )
 _LINE = re.compile(rb"[A-Za-z0-9+/_-]+")
-#: UTF-16 of ASCII in either byte order. All rules and encodings are ASCII, whatever lies between.
-_LITTLE = re.compile(rb"(?:[\x01-\x7f]\x00){3,}")
-_BIG = re.compile(rb"(?:\x00[\x01-\x7f]){3,}")
+#: UTF-16 of ASCII in either byte order; no finding is shorter. All rules and encodings are ASCII.
+_LITTLE = re.compile(rb"(?:[\x01-\x7f]\x00){12,}")
+_BIG = re.compile(rb"(?:\x00[\x01-\x7f]){12,}")
 #: gzip, and zlib without a preset dictionary: two bytes that are a multiple of 31.
 _HEAD = re.compile(
     b"|".join(
@@ -64,10 +64,21 @@ _HEAD = re.compile(
     ),
     re.DOTALL,
 )
-_PORTION = 1 << 20
+_MEMBER = re.compile(rb"\x00*+\x1f\x8b")
+#: Most bytes that are inflated at once.
+_STEP = 1 << 20
+#: What may go on behind the end of a portion, read backwards: base64 runs and escapes, also
+#: over line ends, and `assign`. Anything else that may be open is shorter than the least.
+_OPEN_RUN = re.compile(
+    rb"\r?[A-Za-z0-9+/_=%\\.\x00-]*+(?:[ \t]*+\n\r?[A-Za-z0-9+/_=%\\.\x00-]{16,}+)*+[ \t\r\n]*+"
+)
+_OPEN_ASSIGN = re.compile(
+    rb"[A-Za-z0-9+/_.=-]*+[\"']?\x20*+[:=]?\x20*+[\"']?[A-Za-z_]{0,16}"
+)
+_OPEN_LEAST = 4096
 _STANDARD = bytes.maketrans(b"-_", b"+/")
-#: Layers beyond this size are cut: a stream may hold a thousand times its size.
-LAYER_BYTES = 32 << 20
+#: Streams are inflated and scanned in portions: one may hold a thousand times its size.
+PORTION_BYTES = 8 << 20
 
 
 class Finding(NamedTuple):
@@ -142,44 +153,60 @@ def _unicode(escape: bytes) -> tuple[bytes, list[int], int]:
     return b"".join(chars), [len(c) for c in chars], 6
 
 
-def _little(units: bytes) -> tuple[bytes, list[int], int]:
-    return units[::2], [1] * (len(units) // 2), 2
-
-
-def _big(units: bytes) -> tuple[bytes, list[int], int]:
-    return units[1::2], [1] * (len(units) // 2), 2
+def _narrow(layer: _Layer) -> Iterator[_Layer]:
+    """The stretches of UTF-16, each by itself: the bytes around may be of another kind."""
+    if b"\x00" not in layer.data:
+        return
+    for rule, at in ((_LITTLE, 0), (_BIG, 1)):
+        for m in rule.finditer(layer.data):
+            text = m[0][at::2]
+            if not _holds(text):
+                continue
+            begin, end = layer.begin, layer.end
+            if len(begin) > 1:
+                begin, end = begin[m.start() : m.end() : 2], end[m.start() + 1 : m.end() : 2]
+            yield _Layer(text, begin, end, layer.depth + 1)
 
 
 class _Stream:
     """The compressed stream at data[start:], to its end or as far as it can be read.
 
     Once its portions were taken, data[start:end] is what was read, and `done` is where the
-    complete stream ended, or else still `start`."""
+    last complete member ended, or else still `start`; `size` is set by _streams."""
 
     def __init__(self, data: bytes, start: int):
-        self.data, self.start = data, start
+        self.data, self.start, self.size = data, start, 0
         self.end = self.done = start
 
     def __iter__(self) -> Iterator[bytes]:
-        view, at, step = memoryview(self.data), self.start, 256
+        view, at, step, full = memoryview(self.data), self.start, 256, False
+        zipped = view[at] == 0x1F
         unpack = zlib.decompressobj(wbits=47)
-        while not unpack.eof and at < len(view):
+        while at < len(view) or full:
             part, before = view[at : at + step], unpack.copy()
             try:
-                out = unpack.decompress(part, _PORTION)
+                out = unpack.decompress(part, _STEP)
             except zlib.error:
                 # What stands before the fault is still read.
-                if len(part) == 1:
-                    break
+                if len(part) <= 1:
+                    return
                 unpack, step = before, len(part) // 2
                 continue
-            at += len(part) - len(unpack.unconsumed_tail) - len(unpack.unused_data)
-            step = min(2 * step, 1 << 16)
+            # At the end of a stream, both may hold what is left.
+            left = unpack.unused_data if unpack.eof else unpack.unconsumed_tail
+            at += len(part) - len(left)
+            step, full = min(2 * step, 1 << 16), len(out) == _STEP
             self.end = at
             if out:
                 yield out
-        if unpack.eof:
-            self.done = at
+            if not unpack.eof:
+                continue
+            self.done, full = at, False
+            # The members of a gzip file are one content; there may be zeros between them.
+            if not (zipped and (m := _MEMBER.match(self.data, at))):
+                return
+            at = m.end() - 2
+            unpack, step = zlib.decompressobj(wbits=31), 256
 
 
 def _streams(data: bytes) -> Iterator[_Stream]:
@@ -187,10 +214,35 @@ def _streams(data: bytes) -> Iterator[_Stream]:
     at = 0
     while m := _HEAD.search(data, at):
         stream = _Stream(data, m.start())
-        size = sum(map(len, stream))
+        stream.size = sum(map(len, stream))
         at = max(stream.done, m.start() + 1)
-        if size:
-            yield stream
+        yield stream
+
+
+def _open(data: bytes) -> int:
+    """Where that begins which may go on behind the end: a run, a match or a stream."""
+    back = data[::-1]
+    tail = max(_OPEN_LEAST, _OPEN_RUN.match(back).end(), _OPEN_ASSIGN.match(back).end())
+    at = max(0, len(data) - tail)
+    return min([at, *(s.start for s in _streams(data) if s.end == len(data))])
+
+
+def _portions(chunks: Iterable[bytes]) -> Iterator[bytes]:
+    """The content in portions, each of which begins with what was open in the one before.
+
+    An open part is kept whole, however long; then the next portion is at least twice as long."""
+    held, want, new = bytearray(), PORTION_BYTES, False
+    for chunk in chunks:
+        held += chunk
+        new = True
+        if len(held) < want:
+            continue
+        data = bytes(held)
+        yield data
+        del held[: _open(data)]
+        want, new = max(PORTION_BYTES, 2 * len(held)), False
+    if new:
+        yield bytes(held)
 
 
 def _decoded(body: bytes) -> bytes:
@@ -252,37 +304,49 @@ def _mark(layer: _Layer) -> tuple[bytes, int, int]:
     return hashlib.sha256(layer.data).digest(), int(layer.begin[0]), int(layer.end[-1])
 
 
+def _below(layer: _Layer) -> Iterator[_Layer]:
+    """The layers right below one, one at a time."""
+    for byte, rule, decode in (
+        (b"%", _PERCENT, _percent),
+        (b"\\u", _UNICODE, _unicode),
+    ):
+        if byte in layer.data and (found := _unescape(layer, rule, decode)):
+            yield found
+    for stream in _streams(layer.data):
+        if stream.size:
+            begin, end = (np.array([x]) for x in layer.origin(stream.start, stream.end))
+            for portion in _portions(stream):
+                yield _Layer(portion, begin, end, layer.depth + 1)
+    yield from _narrow(layer)
+    yield from _unbased(layer)
+
+
 def layers(data: bytes) -> Iterator[_Layer]:
-    """Every layer below a text once, nearest first."""
+    """Every layer below a text, each with those below it before the next one.
+
+    A layer comes again only if it is met nearer to the text."""
     if not data:
         return
     escaped = b"%" in data or b"\\u" in data
     if not escaped and not _BASE64.search(data):
         return
     place = np.arange(len(data))
-    todo = [_Layer(data, place, place + 1, 0)]
-    seen = {_mark(todo[0])}
+    top = _Layer(data, place, place + 1, 0)
+    seen = {_mark(top): 0}
+    todo = [_below(top)]
     while todo:
-        layer = todo.pop(0)
-        new = [
-            _unescape(layer, _PERCENT, _percent) if b"%" in layer.data else None,
-            _unescape(layer, _UNICODE, _unicode) if b"\\u" in layer.data else None,
-            _unescape(layer, _LITTLE, _little) if b"\x00" in layer.data else None,
-            _unescape(layer, _BIG, _big) if b"\x00" in layer.data else None,
-        ]
-        for stream in _streams(layer.data):
-            begin, end = layer.origin(stream.start, stream.end)
-            inner = b"".join(stream)[:LAYER_BYTES]
-            new.append(_Layer(inner, np.array([begin]), np.array([end]), layer.depth + 1))
-        new.extend(_unbased(layer))
-        for found in new:
-            if found is None or not found.data:
-                continue
-            if (mark := _mark(found)) in seen:
-                continue
-            seen.add(mark)
-            yield found
-            todo.append(found)
+        found = next(todo[-1], None)
+        if found is None:
+            todo.pop()
+            continue
+        if not found.data:
+            continue
+        mark = _mark(found)
+        if seen.get(mark, found.depth + 1) <= found.depth:
+            continue
+        seen[mark] = found.depth
+        yield found
+        todo.append(_below(found))
 
 
 def scan(data: bytes) -> list[Finding]:
@@ -292,7 +356,8 @@ def scan(data: bytes) -> list[Finding]:
         for s, e, kind in matches(layer.data):
             start, end = layer.origin(s, e)
             # Text that escapes leave alone has its own findings already.
-            found.setdefault((start, end, kind), layer.depth)
+            key = (start, end, kind)
+            found[key] = min(layer.depth, found.get(key, layer.depth))
     order = {k: i for i, k in enumerate(KINDS)}
     return [
         Finding(s, e, k, d)
