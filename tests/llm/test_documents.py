@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 from tidemark.llm import langid, minhash, mixing, packing, secretscan, superkmers, tokenfiles
 from tidemark.llm.queries import QUERIES, table, tokenizer
-from tidemark.llm.tokens import Encoder
+from tidemark.llm.tokens import Encoder, encoder
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -289,6 +289,26 @@ def test_pieces_encode_like_whole_texts(name, small):
             at += n
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_special_tokens_in_texts_have_their_own_ids(spark, name):
+    plain = Tokenizer.from_file(tokenizer(name))
+    rng = random.Random(4)
+    parts = [" ", "\n", "a", "B", "é", ".", ",", "'", "s", "1", "\t", "ll", "  ", "日", "!", "word", "|>", "<|",
+             "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(4000)]
+    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    ids, sizes = encoder(tokenizer(name)).encode(pa.array(texts, pa.string()))
+    assert [p.tolist() for p in np.split(ids, np.cumsum(sizes)[:-1])] == want
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:200])], "doc_id long, text string")
+    end = 0 if name.startswith("byte") else 2
+    if not end:
+        got = rows(packing.token_pieces(docs, tokenizer(name)), "doc_id", "length", "ids_crc32")
+        assert got == [(i, len(w) + 1, crc([*w, end])) for i, w in enumerate(want[:200])]
+    else:
+        got = rows(tokenfiles.read_tokens(*tokenfiles.write_tokens(docs, tokenizer(name), end)), "doc_id", "n_tokens", "ids_crc32")
+        assert got == [(i, len(w) + 1, crc([*w, end])) for i, w in enumerate(want[:200])]
+
+
 def test_packing_of_small_table(spark, sf_dir, small):
     found = QUERIES["op6_best_fit_packing"](spark, sf_dir).toPandas()
     plain = Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))

@@ -55,16 +55,17 @@ def pieces(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Ids by one `tokenizers` file, without special tokens.
+    """Ids by one `tokenizers` file; no special tokens are added.
 
-    Remembers at most `remembered` pieces; beyond that it forgets all and goes on.
+    With `special`, one that stands in a text has its own id, as by the unchanged file; else
+    it is spelled out. Remembers at most `remembered` pieces; beyond that it forgets all and goes on.
     """
 
-    def __init__(self, path: str, remembered: int = 1 << 19):
+    def __init__(self, path: str, remembered: int = 1 << 19, special: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
         self.remembered = remembered
         self._forget()
         # How this tokenizer presents ASCII letters, with and without a space before, to its model.
@@ -155,5 +156,5 @@ _ENCODERS: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """One encoder for each file in a worker; its pieces serve all tasks that it runs."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, special=True)
     return _ENCODERS[path]
