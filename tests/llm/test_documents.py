@@ -480,6 +480,25 @@ def test_mixing_fills_quotas_by_epochs(spark):
     assert found[found["source"] == "small"]["epoch"].max() == 2
 
 
+def test_every_source_has_its_own_weight(spark):
+    sizes = {f"s{i:05d}": 1 + i % 9 for i in range(5000)} | {"large": 400, None: 30}
+    docs = spark.createDataFrame(
+        [(i, "word " * n, s) for i, (s, n) in enumerate(sizes.items())],
+        "doc_id long, text string, source string",
+    )
+    found = mixing.mix_sources(docs, budget=20.0, entropy=0.999, repeats=40).toPandas()
+    tokens = list(sizes.values())
+    x = mixing.exponent(tokens, 20.0 * sum(tokens), 0.999, 40)
+    want = dict(zip(sizes, mixing.normalised(tokens, x), strict=True))
+    got = {s if isinstance(s, str) else None: w for s, w in zip(found["source"], found["weight"], strict=True)}
+    assert 0 < x < 1 and set(got) == set(sizes)
+    assert all(got[s] == pytest.approx(want[s], rel=1e-9) for s in sizes)
+    given = found.groupby("source", dropna=False)["n_tokens"].sum()
+    for s, n in given.items():
+        quota = want[s if isinstance(s, str) else None] * 20 * sum(tokens)
+        assert quota - sizes[s if isinstance(s, str) else None] - 1 < n <= quota + 1e-6
+
+
 def test_mixing_of_odd_rows(clashing, no_docs, odd_docs):
     found = mixing.mix_sources(clashing, budget=2.0, entropy=0.5, repeats=3)
     assert {"h", "block", "name", "known", "row"} <= set(found.columns)

@@ -10,23 +10,22 @@ epoch: whole blocks, and of the last one the documents that still fit, by hash.
 from __future__ import annotations
 
 import math
-from typing import NamedTuple
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.storage import stored
 
-#: Documents of one block, and sources with a weight of their own; the others share one.
+#: Documents of one block, and sources whose weights are broadcast; the others' are joined.
 BLOCK, SOURCES = 4096, 4096
-_STEPS = 60
+#: The exponent is narrowed down to one of so many parts, so often.
+_PARTS, _ROUNDS = 64, 10
+#: A type whose sums do not depend on their order.
+_EXACT = "decimal(38,24)"
 
-
-class Source(NamedTuple):
-    name: str | None
-    other: bool
-    tokens: int
-    docs: int
+#: For each exponent, the sums over all sources of r and of r ln(share), with r = share ** x.
+Curve = Callable[[list[float]], list[tuple[float, float]]]
 
 
 def exponent(tokens: list[int], budget: float, entropy: float, repeats: float) -> float:
@@ -34,30 +33,48 @@ def exponent(tokens: list[int], budget: float, entropy: float, repeats: float) -
     possible one, or the larger one that keeps every source within `repeats` of its tokens.
 
     Where even exponent 1 repeats too often, it is 1."""
-    if len(tokens) < 2:
-        return 1.0
     total = sum(tokens)
 
-    def weights(x: float) -> list[float]:
-        return normalised(tokens, x)
+    def curve(exponents: list[float]) -> list[tuple[float, float]]:
+        raw = [[(t / total) ** x for t in tokens] for x in exponents]
+        return [(sum(r), sum(a * math.log(t / total) for a, t in zip(r, tokens, strict=True))) for r in raw]
+
+    return search(curve, len(tokens), total, min(tokens, default=0), budget, entropy, repeats)
+
+
+def search(
+    curve: Curve, sources: int, total: int, least: int, budget: float, entropy: float, repeats: float
+) -> float:
+    """The exponent for so many sources, of which the smallest has `least` tokens."""
+    if sources < 2:
+        return 1.0
+
+    def flat(x: float, z: float, s: float) -> bool:
+        return math.log(z) - x * s / z >= entropy * math.log(sources) - 1e-12
 
-    def flat(x: float) -> bool:
-        h = -sum(w * math.log(w) for w in weights(x) if w > 0)
-        return h >= entropy * math.log(len(tokens)) - 1e-12
+    def rare(x: float, z: float, s: float) -> bool:
+        # Up to exponent 1, no source is repeated more often than the smallest.
+        return (least / total) ** x / z * budget <= repeats * least
 
-    def rare(x: float) -> bool:
-        return all(w * budget <= repeats * t for w, t in zip(weights(x), tokens, strict=True))
+    def holds(test, x: float) -> bool:
+        return test(x, *curve([x])[0])
 
-    def bisect(low: float, high: float, keep_low) -> tuple[float, float]:
-        for _ in range(_STEPS):
-            mid = (low + high) / 2
-            low, high = (mid, high) if keep_low(mid) else (low, mid)
+    def narrow(low: float, high: float, keep_low) -> tuple[float, float]:
+        for _ in range(_ROUNDS):
+            xs = [low + (high - low) * i / _PARTS for i in range(1, _PARTS)]
+            for x, (z, s) in zip(xs, curve(xs), strict=True):
+                if not keep_low(x, z, s):
+                    high = x
+                    break
+                low = x
         return low, high
 
-    wanted = 1.0 if flat(1.0) else bisect(0.0, 1.0, flat)[0]
-    if rare(wanted) or budget > repeats * total:
-        return wanted if rare(wanted) else 1.0
-    return bisect(wanted, 1.0, lambda x: not rare(x))[1]
+    wanted = 1.0 if holds(flat, 1.0) else narrow(0.0, 1.0, flat)[0]
+    if holds(rare, wanted):
+        return wanted
+    if budget > repeats * total:
+        return 1.0
+    return narrow(wanted, 1.0, lambda *at: not rare(*at))[1]
 
 
 def normalised(tokens: list[int], x: float) -> list[float]:
@@ -86,11 +103,9 @@ def mix_sources(
     `budget`: tokens to give out, as a multiple of all tokens (words) there are; no source
     gives more than `repeats` times its own. A document appears once in each full epoch of
     its source and at most once in the last, part epoch. Sorting by place (0 to 1) interleaves
-    the sources by weight. Sources beyond the largest 4096 share one weight. A null source is
-    one of its own. Documents without words are never drawn. Equal rows are drawn together
+    the sources by weight. A null source is one of its own. Documents without words are never drawn. Equal rows are drawn together
     or cut apart by the quota like any others. Columns of these names in `docs` are replaced.
     """
-    spark = docs.sparkSession
     made = ("n_tokens", "weight", "epoch", "place")
     kept = [c for c in docs.columns if c.lower() not in made]
     rows = docs.select(
@@ -101,41 +116,55 @@ def mix_sources(
     ).where("n_tokens > 0")
     sizes = rows.groupBy("source").agg(F.sum("n_tokens").alias("t"), F.count(F.lit(1)).alias("d"))
     sizes = stored(sizes, "sources")
-    named = sizes.orderBy(F.desc("t"), "source").limit(SOURCES).collect()
-    all_ = sizes.agg(F.sum("t"), F.sum("d")).first()
-    groups = [Source(r["source"], False, r["t"], r["d"]) for r in named]
-    rest = (all_[0] or 0) - sum(g.tokens for g in groups)
-    if rest:
-        groups.append(Source(None, True, rest, all_[1] - sum(g.docs for g in groups)))
-    tokens = [g.tokens for g in groups]
-    wanted = budget * sum(tokens)
-    weights = normalised(tokens, exponent(tokens, wanted, entropy, repeats)) if tokens else []
-    shares = [
-        # `known`, with the name, tells the named sources, one of them null, from the others.
-        (g.name, not g.other, w, int(min(w * wanted, repeats * g.tokens)), g.tokens, -(-g.docs // block))
-        for g, w in zip(groups, weights, strict=True)
-    ]
-    # At most SOURCES + 1 rows.
-    plan = F.broadcast(
-        spark.createDataFrame(
-            shares, "name string, known boolean, weight double, quota long, total long, blocks long"
+    all_ = sizes.agg(
+        F.sum("t").alias("t"), F.count(F.lit(1)).alias("n"), F.min("t").alias("least")
+    ).first()
+    total = all_["t"] or 1
+    wanted = budget * total
+    share = F.col("t") / F.lit(total)
+    by_total = stored(sizes.groupBy("t").agg(F.count(F.lit(1)).alias("n")), "totals")
+
+    def curve(exponents: list[float]) -> list[tuple[float, float]]:
+        tried = F.explode(F.array(*(F.lit(i) for i in range(len(exponents)))))
+        x = F.element_at(F.array(*(F.lit(float(x)) for x in exponents)), F.col("i") + 1)
+        r = F.pow(share, x) * F.col("n")
+        sums = (
+            by_total.withColumn("i", tried)
+            .groupBy("i")
+            .agg(F.sum(r.cast(_EXACT)).alias("z"), F.sum((r * F.ln(share)).cast(_EXACT)).alias("s"))
+            .collect()
         )
+        return [(float(c["z"]), float(c["s"])) for c in sorted(sums)]
+
+    x = search(curve, all_["n"], total, all_["least"], wanted, entropy, repeats)
+    z = curve([x])[0][0] if all_["n"] else 1.0
+    weight = F.pow(share, F.lit(x)) / F.lit(z)
+    plan = stored(
+        sizes.select(
+            F.col("source").alias("name"),
+            weight.alias("weight"),
+            F.floor(F.least(weight * wanted, F.col("t") * F.lit(float(repeats)))).cast("long").alias("quota"),
+            F.col("t").alias("total"),
+            F.ceil(F.col("d") / block).cast("long").alias("blocks"),
+        ),
+        "weights",
     )
-    listed = F.broadcast(plan.where("known").select(F.col("name").alias("source_"), "known"))
-    grouped = (
-        rows.join(listed, F.col("source").eqNullSafe(F.col("source_")), "left")
-        .withColumn("known", F.coalesce("known", F.lit(False)))
-        .withColumn("name", F.when(F.col("known"), F.col("source")))
-        .drop("source", "source_")
-    )
-    same = (F.col("g.name").eqNullSafe(F.col("p.name"))) & (F.col("g.known") == F.col("p.known"))
-    dealt = grouped.alias("g").join(plan.alias("p"), same).select(
-        "g.*", "p.weight", "p.quota", "p.total", "p.blocks"
-    ).withColumn("block", F.pmod(F.col("h"), F.col("blocks")))
-    key = F.xxhash64("known", F.coalesce("name", F.lit("")), F.col("name").isNull(), "block")
+    same = F.col("source").eqNullSafe(F.col("name"))
+    if all_["n"] <= SOURCES:
+        dealt = rows.join(F.broadcast(plan), same)
+    else:
+        # Sources with the most documents would be hot keys; no other has more than 1/SOURCES.
+        large = stored(plan.orderBy(F.desc("blocks"), F.desc("total"), "name").limit(SOURCES), "large")
+        small = plan.join(F.broadcast(large.select(F.col("name").alias("source"))), same, "left_anti")
+        few = F.broadcast(large.select("name"))
+        dealt = rows.join(F.broadcast(large), same).unionByName(
+            rows.join(few, same, "left_anti").join(small, same)
+        )
+    dealt = dealt.drop("source").withColumn("block", F.pmod(F.col("h"), F.col("blocks")))
+    key = F.xxhash64(F.lit(True), F.coalesce("name", F.lit("")), F.col("name").isNull(), "block")
     dealt = dealt.withColumn("block_key", key)
     totals = stored(
-        dealt.groupBy("name", "known", "block", "block_key", "weight", "quota", "total")
+        dealt.groupBy("name", "block", "block_key", "weight", "quota", "total")
         .agg(F.sum("n_tokens").alias("size")),
         "blocks",
     )
@@ -144,7 +173,7 @@ def mix_sources(
         "epoch", F.explode(F.sequence(F.lit(0), F.floor((F.col("quota") - 1) / F.col("total")).cast("int")))
     ).where("quota > 0")
     by_order = (
-        Window.partitionBy("name", "known", "epoch")
+        Window.partitionBy("name", "epoch")
         .orderBy(F.xxhash64("block_key", "epoch", F.lit(seed)), "block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
