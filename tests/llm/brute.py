@@ -110,3 +110,29 @@ def links(rows, threshold):
                     near.append((i, j))
     low = lowest({i for i, _, _ in usable}, near)
     return sorted((i, sum(i in pair for pair in near), low[i]) for i, _, _ in usable)
+
+
+PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def plain_words(text):
+    return PLAIN.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def contamination(rows, items, width=10):
+    """Sorted (doc_id, n_words, hit places, item ids) of (doc_id, text) and (item_id, text) rows."""
+    grams = {}
+    for item, text in items:
+        w = plain_words(text)
+        for k in range(max(len(w) - width, 0) + 1 if w else 0):
+            grams.setdefault(tuple(w[k : k + width]), set()).add(item)
+    out = []
+    for i, text in rows:
+        w, hit, named = plain_words(text), set(), set()
+        for m in {len(g) for g in grams}:
+            for k in range(len(w) - m + 1):
+                if tuple(w[k : k + m]) in grams:
+                    hit |= set(range(k, k + m))
+                    named |= grams[tuple(w[k : k + m])] - {None}
+        out.append((i, len(w), sorted(hit), sorted(map(str, named))))
+    return sorted(out, key=repr)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     covertree,
+    decontaminate,
     langid,
     minhash,
     mixing,
@@ -254,3 +255,46 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where(remainder != 2))
     held = docs.select("doc_id", "text", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"))
     return langid.identify(held, model, keep_text=False)
+
+
+@query
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+ORACLES["op13_decontaminate"] = r"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), grams AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS m, array_to_string(w[i:i + 9], ' ') AS s
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i
+          FROM items WHERE len(w) > 0)
+), windows AS (
+    SELECT doc_id, i, m, array_to_string(w[i:i + m - 1], ' ') AS s
+    FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i
+          FROM docs, (SELECT DISTINCT m FROM grams))
+), found AS (
+    SELECT doc_id, i, m, item_id FROM windows JOIN grams USING (m, s)
+), hit AS (
+    SELECT doc_id, count(DISTINCT p) AS n
+    FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM found) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit,
+       coalesce(named.n, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(hit.n, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
