@@ -136,3 +136,56 @@ def contamination(rows, items, width=10):
                     named |= grams[tuple(w[k : k + m])] - {None}
         out.append((i, len(w), sorted(hit), sorted(map(str, named))))
     return sorted(out, key=repr)
+
+
+def hard_negatives(rows, asks, scale=256, k=5, percent=80):
+    """Sorted result rows of (id, vector, label) rows, in Python's integers."""
+    usable = []
+    for i, v, label in rows:
+        if i is not None and label is not None and v is not None and None not in v and np.isfinite(v).all():
+            usable.append((i, [int(np.floor(np.float64(x) * scale)) for x in v], label))
+    out = []
+    for i, v, label in {r[0]: r for r in sorted(usable, key=lambda r: (r[2], r[1]), reverse=True)}.values():
+        if not asks(i):
+            continue
+        scored = [
+            (-sum(x * y for x, y in zip(v, w)), j, same == label) for j, w, same in usable if j != i
+        ]
+        for p, j, _ in sorted(s for s in scored if s[2])[:k]:
+            hard = sorted(s for s in scored if not s[2] and percent * -p <= 100 * -s[0] <= 100 * -p)
+            out += [(i, j, r, n, -p, -s) for r, (s, n, _) in enumerate(hard[:k], 1)]
+    return sorted(out)
+
+
+def collocations(rows, width=5, least=100, first=2000, absorb=100):
+    """Sorted result rows of (lang, text) rows, counted phrase by phrase."""
+    f, n = {}, {}
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lowered):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] = n.get(lang, 0) + len(w)
+            for m in range(1, width + 1):
+                for i in range(len(w) - m + 1):
+                    key = lang, tuple(w[i : i + m])
+                    f[key] = f.get(key, 0) + 1
+    f = {k: v for k, v in f.items() if v >= least}
+    out = []
+    for lang in n:
+        found = []
+        several = {p: a for (g, p), a in f.items() if g == lang and len(p) > 1}
+        covered = {}
+        for q, a in several.items():
+            for m in range(2, len(q)):
+                for i in range(len(q) - m + 1):
+                    covered[q[i : i + m]] = max(covered.get(q[i : i + m], 0), a)
+        for p, a in several.items():
+            if p in covered and 100 * covered[p] >= absorb * a:
+                continue
+            cuts = [(f[lang, p[:k]], f[lang, p[k:]], k) for k in range(1, len(p))]
+            score, _, l, r = min((1000 * a * n[lang] // (l * r), k, l, r) for l, r, k in cuts)
+            found.append((-score, -a, " ".join(p).encode(), l, r))
+        for rank, (s, a, p, l, r) in enumerate(sorted(found)[:first], 1):
+            out.append((lang, rank, p.decode(), -a, l, r, n[lang], -s))
+    return sorted(out)

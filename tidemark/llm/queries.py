@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     covertree,
     decontaminate,
+    hardnegatives,
     langid,
     minhash,
     mixing,
     packing,
+    phrases,
     preference,
     secretscan,
     superkmers,
@@ -257,6 +259,81 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(held, model, keep_text=False)
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_collocations"] = r"""
+WITH pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+    FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^.,;:!?\x0A-\x0D]+')) AS piece
+          FROM documents)
+), totals AS (
+    SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang
+), grams AS (
+    SELECT lang, m, w[i:i + m - 1] AS p, count(*) AS f
+    FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+          FROM pieces, (SELECT unnest(range(1, 6)) AS m))
+    GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+    SELECT g.lang, g.m, g.p, g.f AS a, k, x.f AS l, y.f AS r, n,
+           (1000::HUGEINT * g.f * n) // (x.f::HUGEINT * y.f) AS score
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM grams WHERE m > 1) g
+    JOIN grams x ON x.lang = g.lang AND x.p = g.p[1:k]
+    JOIN grams y ON y.lang = g.lang AND y.p = g.p[k + 1:g.m]
+    JOIN totals t ON t.lang = g.lang
+), lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), longer AS (
+    SELECT lang, p[i:i + s - 1] AS p, max(f) AS f
+    FROM (SELECT *, unnest(range(1, m - s + 2)) AS i
+          FROM (SELECT *, unnest(range(2, m)) AS s FROM grams WHERE m > 2))
+    GROUP BY ALL
+), kept AS (
+    SELECT c.*, array_to_string(c.p, ' ') AS phrase
+    FROM lowest c LEFT JOIN longer q ON q.lang = c.lang AND q.p = c.p
+    WHERE q.f IS NULL OR 100 * q.f < 100 * c.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000
+"""
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardnegatives.hard_negatives(
+        table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved
+    )
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+      AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+           list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM usable a JOIN usable b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+    SELECT * FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INT AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+     AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5
+"""
+
+
 @query
 def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(
