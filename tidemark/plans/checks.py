@@ -15,6 +15,7 @@ from tidemark.schemas import (
     HEALTH_READINGS,
     INGESTION_ERRORS,
     LIVE_METRICS,
+    OFFSET_PLAN,
     OFFSETS,
     REPLAY_OFFSETS,
     TASK_RUNS,
@@ -28,7 +29,8 @@ from tidemark.sources.files import (
     read_footer_schema,
     schema_rows,
 )
-from tidemark.sources.messages import after_offsets, first_messages, read_dlq
+from tidemark.sources.messages import dlq_bounds, read_dlq
+from tidemark.sources.offsets import offset_gaps, plan_offsets, reached_offsets
 
 
 def null_gate(spark: SparkSession, lake: Lake, iv: Interval) -> None:
@@ -190,15 +192,20 @@ def replay_dead_letters(
     """Classify the dead letters since the last run, log the unrecoverable ones and republish
     the others.
 
+    The read is planned from the stored offsets and the topic's bounds, so that only messages
+    since the last run are read; messages that retention removed unread are logged as gaps.
     Both outputs are always written. The log comes first, so a failed republish can be
     repeated without losing or doubling log rows. Then the next offset of every partition is
     stored, and the next run begins there; a run that fails before republishes again.
     """
     progress = lake.table("dlq_replay_offsets")
     done = tables.read_or_empty(spark, progress, REPLAY_OFFSETS)
-    backlog: DataFrame = first_messages(
-        after_offsets(read_dlq(spark, source, **source_options), done), max_messages
-    )
+    # One row per partition of the topic.
+    rows = plan_offsets(done, dlq_bounds(spark, source, **source_options), max_messages).collect()
+    plan = spark.createDataFrame(rows, OFFSET_PLAN)
+    gaps = offset_gaps(plan).withColumn("noticed_at", ts(as_of))
+    tables.append_absent(gaps, lake.log("dlq_offset_gap_log"), ("partition", "from_offset", "to_offset"))
+    backlog = read_dlq(spark, source, plan=rows, **source_options)
     classified = messages.classify_messages(backlog, as_of=as_of).persist()
     try:
         fixable, unrecoverable = messages.split_valid_dlq(classified)
@@ -208,10 +215,6 @@ def replay_dead_letters(
         )
         repaired = fixable.select(F.col("fixed_value").alias("value"))
         exports.republish(repaired, sink, **sink_options)
-        reached = classified.groupBy("partition").agg((F.max("offset") + 1).alias("next_offset"))
-        # One row per partition of the topic.
-        tables.upsert_small_table(
-            spark.createDataFrame(reached.collect(), REPLAY_OFFSETS), progress, ("partition",)
-        )
+        tables.upsert_small_table(reached_offsets(plan), progress, ("partition",))
     finally:
         classified.unpersist()

@@ -128,6 +128,47 @@ REPLAY_OFFSETS = _schema(
     partition=INT,
     next_offset=LONG,
 )
+# Changes of landing hours, the last one that a rollup has seen, and its counts.
+CHANGES = _schema(hour_start=TIME, changed_at=TIME)
+CHANGE_MARKS = _schema(dt=DATE, hour_start=TIME, changed_at=TIME)
+HOURLY_COUNTS = _schema(
+    hour_start=TIME,
+    event_type=TEXT,
+    total_count=LONG,
+    avg_per_minute=T.DoubleType(),
+)
+# Users by number, and the days whose sets of users are stored.
+USER_NUMBERS = _schema(user_id=TEXT, number=LONG)
+STORED_DAYS = _schema(report_date=DATE)
+STREAM_PROGRESS = _schema(
+    query_id=TEXT,
+    run_id=TEXT,
+    batch_id=LONG,
+    triggered_at=TIME,
+    input_rows=LONG,
+    watermark=TIME,
+    state_rows=LONG,
+    rows_dropped_late=LONG,
+    duration_ms=LONG,
+)
+# Counts of windows that a stream adds to, and the watermark after each of its batches.
+WINDOW_TOTALS = _schema(
+    window_date=DATE,
+    window_start=TIME,
+    event_type=TEXT,
+    window_end=TIME,
+    event_count=LONG,
+    count_before=LONG,
+    last_batch=TEXT,
+)
+LATE_MARKS = _schema(watermark=TIME)
+OFFSET_PLAN = _schema(
+    partition=INT,
+    starting=LONG,
+    ending=LONG,
+    lost=LONG,
+    status=TEXT,
+)
 DLQ_MESSAGES = _schema(
     partition=INT,
     offset=LONG,

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.intervals import Interval, in_interval
-from tidemark.layout import HOURLY, Layout
+from tidemark.layout import DAILY, HOURLY, Layout
 from tidemark.schemas import EVENTS, TENANT_GOLD
 from tidemark.sinks import storage
 from tidemark.sinks.tables import read_or_empty
@@ -26,15 +28,18 @@ def read_landing(
     iv: Interval | None = None,
     tenants: list[str] | None = None,
     time_col: str = "created_at",
-    layout: Layout = HOURLY,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Event files with an imposed schema.
 
     An interval becomes a partition predicate and a row filter, and only the days
     it touches are listed. With `tenants`, the table has a
     leading `tenant` partition and only those tenants are read, in one scan.
+    The layout is by hour, and for tenants the one that is found.
     PLAIN_HOURS reads a tree whose directories carry no column names.
     """
+    if layout is None:
+        layout = HOURLY if tenants is None else tenant_layout(spark, path)
     full = with_partitions(schema, layout)
     if tenants is not None:
         full = T.StructType(full.fields + [T.StructField("tenant", T.StringType())])
@@ -46,6 +51,33 @@ def read_landing(
     return df.drop(*layout.columns)
 
 
+def read_hours(
+    spark: SparkSession, path: str, hours: list[datetime], schema: T.StructType = EVENTS
+) -> DataFrame:
+    """Rows of single hours of a table that is partitioned by hour; nothing else is listed."""
+    root = path.rstrip("/")
+    wanted = [d for h in hours for d in HOURLY.directories((h, h + timedelta(hours=1)))]
+    present = storage.present(spark, root, wanted) if storage.exists(spark, root) else []
+    if not present:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(with_partitions(schema, HOURLY)).option("basePath", root)
+    return reader.parquet(*(f"{root}/{d}" for d in present)).drop(*HOURLY.columns)
+
+
+def tenant_layout(spark: SparkSession, path: str) -> Layout:
+    """How the tenants of a landing are partitioned: by day, or by hour as before that.
+
+    A tenant of a thousand with an hour's directory each would be mostly tiny files.
+    """
+    for tenant in sorted(storage.children(spark, path)):
+        below = storage.children(spark, f"{path.rstrip('/')}/{tenant}")
+        if any(d.startswith("year=") for d in below):
+            return HOURLY
+        if any(d.startswith("dt=") for d in below):
+            return DAILY
+    return DAILY
+
+
 def _read_directories(
     spark: SparkSession,
     path: str,

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schemas import DLQ_MESSAGES
+from tidemark.sources.offsets import (
+    message_bounds,
+    offset_options,
+    topic_bounds,
+    within_offsets,
+)
 
 
 def kafka_stream_options(servers: str, topic: str, **extra: str) -> dict[str, str]:
@@ -46,27 +52,44 @@ def read_event_stream(
 
 
 def read_dlq(
-    spark: SparkSession, source: str, max_messages: int | None = None, **opts: str
+    spark: SparkSession,
+    source: str,
+    max_messages: int | None = None,
+    plan: list[Row] | None = None,
+    **opts: str,
 ) -> DataFrame:
     """Dead-letter messages (partition, offset, value), oldest first up to `max_messages`.
 
-    By default the whole backlog. A bounded read is a top-k over (partition, offset), so each
-    task keeps that many rows.
+    By default the whole backlog. With a `plan` (see `sources.offsets`), only its ranges: Kafka
+    is given them as its starting and ending offsets, so the rest of the topic is not read. A
+    read bounded by `max_messages` alone is a top-k over (partition, offset), so each task
+    keeps that many rows.
     """
     if source == "kafka":
-        options = kafka_batch_options(opts.pop("servers"), opts.pop("topic"), **opts)
-        raw = spark.read.format("kafka").options(**options).load()
+        topic = opts.pop("topic")
+        ranges = {} if plan is None else offset_options(plan, topic)
+        options = kafka_batch_options(opts.pop("servers"), topic, **{**opts, **ranges})
+        messages = _dlq_columns(spark.read.format("kafka").options(**options).load())
     else:
-        path = opts.pop("path")
-        raw = spark.read.format(source).schema(DLQ_MESSAGES).options(**opts).load(path)
-    messages = raw.select("partition", "offset", F.col("value").cast("string").alias("value"))
+        messages = _stored_dlq(spark, source, **opts)
+        if plan is not None:
+            messages = within_offsets(messages, plan)
     return first_messages(messages, max_messages)
 
 
-def after_offsets(messages: DataFrame, done: DataFrame) -> DataFrame:
-    """Messages from each partition's `next_offset` on; all of a partition that has none."""
-    begun = F.coalesce(F.col("offset") >= F.col("next_offset"), F.lit(True))
-    return messages.join(done, "partition", "left").filter(begun).drop("next_offset")
+def dlq_bounds(spark: SparkSession, source: str, **opts: str) -> DataFrame:
+    """(partition, earliest, latest) of the dead letters."""
+    if source == "kafka":
+        return topic_bounds(spark, **opts)
+    return message_bounds(_stored_dlq(spark, source, **opts))
+
+
+def _stored_dlq(spark: SparkSession, source: str, path: str, **opts: str) -> DataFrame:
+    return _dlq_columns(spark.read.format(source).schema(DLQ_MESSAGES).options(**opts).load(path))
+
+
+def _dlq_columns(raw: DataFrame) -> DataFrame:
+    return raw.select("partition", "offset", F.col("value").cast("string").alias("value"))
 
 
 def first_messages(messages: DataFrame, max_messages: int | None) -> DataFrame:
