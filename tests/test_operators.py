@@ -151,8 +151,9 @@ def test_duplicate_rank(spark):
     assert (counted.total_rows, counted.duplicate_count) == (6, 2)
 
 
+@pytest.mark.parametrize("bound", [7, 1 << 20])
 @pytest.mark.parametrize("spread", ["dense", "sparse", "clustered"])
-def test_hot_groups_are_ranked_exactly(spark, spread):
+def test_hot_groups_are_ranked_exactly(spark, spread, bound):
     """One second holds most rows, half of them in one group; ranks match a plain count."""
     ids = {
         "dense": list(range(300)),
@@ -168,8 +169,20 @@ def test_hot_groups_are_ranked_exactly(spark, spread):
     for id_, user, kind, when in sorted(rows):
         seen[(user, kind, when)] = seen.get((user, kind, when), 0) + 1
         expected[id_] = seen[(user, kind, when)]
-    ranked = duplicates.duplicate_rank(events(spark, rows))
+    ranked = duplicates.duplicate_rank(events(spark, rows), bound=bound)
     assert {r.event_id: r.rn for r in ranked.collect()} == expected
+    copies = duplicates.duplicate_audit(events(spark, rows), bound=bound)
+    assert {r.event_id: r.rn for r in copies.collect()} == {i: n for i, n in expected.items() if n > 1}
+
+
+def test_only_crowded_cells_are_split(spark):
+    """Cells of few groups stay whole; the sum over crowded cells bounds the ranges."""
+    df = spark.range(1000).select(F.col("id"), F.when(F.col("id") < 400, 0).otherwise(F.col("id")).alias("k"))
+    found = duplicates.crowded_cells(df, "k", 50).collect()
+    assert len(found) == 1 and 400 <= found[0]["_rows"] < 450
+    assert duplicates.crowded_cells(df.filter("id >= 400"), "k", 50).isEmpty()
+    # With a single cell, everything is suspect.
+    assert duplicates.crowded_cells(df, "k", 50, cells=1).first()["_rows"] == 1000
 
 
 def test_a_hot_group_is_split_whatever_its_ids(spark):

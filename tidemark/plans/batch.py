@@ -14,7 +14,7 @@ from tidemark.plans.lake import Lake, trailing, window_label
 from tidemark.schemas import BACKFILLED, RUN_LOG, TENANT_GOLD, normalise
 from tidemark.sinks import storage, tables
 from tidemark.sources.files import list_files, partition_dates
-from tidemark.sources.landing import read_landing
+from tidemark.sources.landing import read_landing, tenant_layout
 
 PRODUCT_GOLD = "product_performance_metrics"
 TENANT_TABLE = "analytics_tenants"
@@ -26,12 +26,17 @@ def extract(source: DataFrame, lake: Lake, iv: Interval) -> None:
     tables.replace_interval(events, lake.landing, HOURLY, iv)
 
 
-def extract_tenants(source: DataFrame, lake: Lake) -> None:
-    """Land events that carry a `tenant`; the hours of a tenant that occur are replaced."""
-    placed = HOURLY.assign(source, "created_at")
-    tables.replace_partitions(
-        placed, lake.tenant_landing, ("tenant", *HOURLY.columns), ("created_at",)
-    )
+def extract_tenants(source: DataFrame, lake: Lake, iv: Interval | None = None) -> None:
+    """Land events that carry a `tenant`, by tenant and day, in the order of their time.
+
+    Without an interval, the days of a tenant that occur are replaced. With one, of whole days,
+    the landing holds exactly its events for those days: a tenant that has none there any more
+    loses what it had. A landing that is partitioned by hour stays so.
+    """
+    layout = tenant_layout(source.sparkSession, lake.tenant_landing)
+    if iv is not None:
+        source = source.filter(in_interval("created_at", iv))
+    tables.replace_interval(source, lake.tenant_landing, layout, iv, leading="tenant")
 
 
 def product_metrics(spark: SparkSession, lake: Lake, iv: Interval) -> None:

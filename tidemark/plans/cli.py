@@ -9,7 +9,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 
-from tidemark.plans import batch, checks, reporting, stream, upkeep
+from tidemark.plans import batch, checks, incremental, reporting, stream, upkeep
 from tidemark.plans.lake import Lake
 from tidemark.session import build_session
 from tidemark.sources.files import read_manifest
@@ -22,7 +22,7 @@ def _extract(spark, lake, a):
         source = read_events_jdbc(spark, a.url, a.table, iv, num_partitions=a.partitions)
     else:
         source = spark.read.parquet(a.path)
-    batch.extract(source, lake, iv)
+    incremental.extract_noted(source, lake, iv)
 
 
 def _stream_options(a) -> dict:
@@ -101,6 +101,15 @@ JOBS: dict[str, tuple[tuple[str, ...], Callable]] = {
         ("start", "end"),
         lambda s, lake, a: reporting.hourly_rollup(s, lake, (a.start, a.end)),
     ),
+    "rollup-changed": ((), lambda s, lake, a: incremental.rollup_changed_hours(s, lake)),
+    "user-bitmaps": (
+        ("start", "end"),
+        lambda s, lake, a: reporting.user_bitmaps(s, lake, (a.start, a.end)),
+    ),
+    "weekly-cohorts-from-days": (
+        ("as_of",),
+        lambda s, lake, a: reporting.weekly_cohorts_from_days(s, lake, a.as_of),
+    ),
     "weekly-cohorts": (("as_of",), lambda s, lake, a: reporting.weekly_cohorts(s, lake, a.as_of)),
     "monthly-kpis": (("as_of",), lambda s, lake, a: reporting.monthly_kpis(s, lake, a.as_of).show()),
     "cross-tenant": (
@@ -117,7 +126,14 @@ JOBS: dict[str, tuple[tuple[str, ...], Callable]] = {
     "live-metrics": (
         (),
         lambda s, lake, a: stream.live_metrics(
-            s, lake, a.source, state_partitions=a.state_partitions, **_stream_options(a)
+            s, lake, a.source, state_partitions=a.state_partitions,
+            drop_copies=a.drop_copies, **_stream_options(a),
+        ).awaitTermination(),
+    ),
+    "live-counts": (
+        (),
+        lambda s, lake, a: stream.live_counts(
+            s, lake, a.source, **_stream_options(a)
         ).awaitTermination(),
     ),
     "split-messages": (
@@ -142,6 +158,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--target")
     p.add_argument("--max-messages", type=int)
     p.add_argument("--state-partitions", type=int)
+    p.add_argument("--drop-copies", action="store_true", help="count repeated events once")
     p.add_argument("--apply", action="store_true", help="delete instead of reporting")
     return p
 

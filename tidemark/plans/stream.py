@@ -8,7 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.messages import VALID_EVENT_TYPES
 from tidemark.plans.lake import Lake
 from tidemark.sources.messages import read_event_stream
-from tidemark.streaming.metrics import decode_events, minute_counts
+from tidemark.streaming.late import write_stream_counts
+from tidemark.streaming.metrics import decode_events, first_copies, minute_counts
 from tidemark.streaming.sinks import write_stream_split, write_stream_upsert
 
 
@@ -18,12 +19,18 @@ def live_metrics(
     source: str,
     trigger: dict | None = None,
     state_partitions: int | None = None,
+    drop_copies: bool = False,
     **opts,
 ) -> StreamingQuery:
-    """Minute counts of the event stream, kept in the live metrics table."""
-    raw = read_event_stream(spark, source, **opts)
+    """Minute counts of the event stream, kept in the live metrics table.
+
+    With `drop_copies`, events that repeat user, type and second count once. That is decided
+    for the life of the checkpoint, as it is part of the stream's state.
+    """
+    events = decode_events(read_event_stream(spark, source, **opts))
+    counts = minute_counts(first_copies(events), watermark=None) if drop_copies else minute_counts(events)
     return write_stream_upsert(
-        minute_counts(decode_events(raw)),
+        counts,
         lake.table("live_event_metrics"),
         lake.checkpoint("live_metrics"),
         trigger=trigger,
@@ -31,6 +38,20 @@ def live_metrics(
     )
 
 
+def live_counts(
+    spark: SparkSession, lake: Lake, source: str, trigger: dict | None = None, **opts
+) -> StreamingQuery:
+    """Minute counts of the event stream, and the events that came too late for theirs."""
+    return write_stream_counts(
+        decode_events(read_event_stream(spark, source, **opts)),
+        lake.table("live_event_totals"),
+        lake.table("late_events"),
+        lake.table("live_event_marks"),
+        lake.checkpoint("live_counts"),
+        trigger=trigger,
+    )
+
+
 def split_messages(
     spark: SparkSession,
     lake: Lake,

@@ -63,6 +63,16 @@ def delete_all(spark: SparkSession, paths: Iterator[str], threads: int = 16) ->
                 pass
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file in one go, replacing an old one."""
+    fs, target, _ = _fs(spark, path)
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def move(spark: SparkSession, source: str, destination: str) -> None:
     fs, origin, hadoop = _fs(spark, source)
     target = hadoop.Path(destination)

@@ -8,13 +8,15 @@ and a repeated one gives the same table.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.intervals import Interval, require_whole
+from tidemark.functions.intervals import Interval, require_whole, seconds_of
 from tidemark.layout import Layout
 from tidemark.sinks import storage
 
@@ -48,6 +50,7 @@ def replace_interval(
     layout: Layout,
     iv: Interval | None = None,
     time_col: str = "created_at",
+    leading: str | None = None,
 ) -> None:
     """Replace every partition that has rows in `df`.
 
@@ -55,26 +58,59 @@ def replace_interval(
     so that the table holds exactly the rows of `df` for that interval. Which
     ones received rows is observed during the write; the set is as long as the
     interval has partitions. The interval has to consist of whole partitions.
+    With `leading`, the table is partitioned by that text column first, and the
+    interval is replaced for all of its values, those without rows in `df` too.
     """
     if iv is not None:
         require_whole(iv, layout.every)
-    placed = _balanced(layout.assign(df, time_col), layout.columns, (time_col,))
+    columns = ((leading,) if leading else ()) + layout.columns
+    placed = _balanced(layout.assign(df, time_col), columns, (time_col,))
     if iv is None:
-        _write_partitions(placed, path, layout.columns)
+        _write_partitions(placed, path, columns)
         return
-    spark = df.sparkSession
-    before = storage.present(spark, path, layout.directories(iv))
+    wanted = layout.directories(iv)
+    if leading:
+        tops = storage.children(df.sparkSession, path)
+        tops = sorted(t for t in tops if t.startswith(f"{leading}="))
+        wanted = [f"{top}/{d}" for top in tops for d in wanted]
+    _replace_directories(placed, path, columns, wanted)
+
+
+def replace_buckets(
+    df: DataFrame, path: str, layout: Layout, starts: list[datetime], time_col: str
+) -> None:
+    """Replace the partitions that begin at `starts`; those without rows in `df` are removed.
+
+    `df` has rows of these partitions only.
+    """
+    step = timedelta(seconds=seconds_of(layout.every))
+    wanted = [d for start in starts for d in layout.directories((start, start + step))]
+    placed = _balanced(layout.assign(df, time_col), layout.columns, (time_col,))
+    _replace_directories(placed, path, layout.columns, wanted)
+
+
+def _replace_directories(
+    placed: DataFrame, path: str, columns: tuple[str, ...], wanted: list[str]
+) -> None:
+    """Write partitions and remove those of `wanted` that got no rows."""
+    spark = placed.sparkSession
+    before = storage.present(spark, path, wanted)
     written = Observation()
-    partition = F.concat_ws(
-        "/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in layout.columns]
-    )
+    name = [F.concat(F.lit(f"{c}="), _directory_value(c)) for c in columns]
     _write_partitions(
-        placed.observe(written, F.collect_set(partition).alias("directories")),
+        placed.observe(written, F.collect_set(F.concat_ws("/", *name)).alias("directories")),
         path,
-        layout.columns,
+        columns,
     )
-    stale = set(before) - set(written.get["directories"])
-    storage.delete_all(spark, (f"{path.rstrip('/')}/{d}" for d in sorted(stale)))
+    got = set(written.get["directories"])
+    stale = sorted(d for d in before if unquote(d) not in got)
+    storage.delete_all(spark, (f"{path.rstrip('/')}/{d}" for d in stale))
+
+
+def _directory_value(column: str) -> Column:
+    """What the directory of a partition value is called, before special characters are quoted."""
+    text = F.col(column).cast("string")
+    return F.when(text.isNull() | (text == ""), "__HIVE_DEFAULT_PARTITION__").otherwise(text)
 
 
 def replace_partitions(

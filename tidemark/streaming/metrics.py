@@ -31,18 +31,41 @@ def decode_events(
     )
 
 
+def first_copies(
+    events: DataFrame,
+    keys: tuple[str, ...] = ("user_id", "event_type"),
+    grain: str = "second",
+    time_col: str = "kafka_ts",
+    watermark: str = WATERMARK,
+) -> DataFrame:
+    """One event of each group that agrees on the keys and on the time cut to a grain.
+
+    On a stream, a group is remembered until the watermark has passed its first event by the
+    delay of `watermark`; a copy that comes within that time is dropped, also after a restart,
+    and state does not grow beyond it. A NULL key equals another.
+    """
+    slotted = events.withColumn("_slot", F.date_trunc(grain, time_col))
+    if events.isStreaming:
+        timed = slotted.withWatermark(time_col, watermark)
+        kept = timed.dropDuplicatesWithinWatermark([*keys, "_slot"])
+    else:
+        kept = slotted.dropDuplicates([*keys, "_slot"])
+    return kept.drop("_slot")
+
+
 def minute_counts(
     events: DataFrame,
     time_col: str = "kafka_ts",
     window: str = WINDOW,
-    watermark: str = WATERMARK,
+    watermark: str | None = WATERMARK,
 ) -> DataFrame:
     """Events per tumbling window and type; the same function for streams and tables.
 
     On a stream, rows later than the watermark are dropped from state and show up
-    as `numRowsDroppedByWatermark` in the query progress.
+    as `numRowsDroppedByWatermark` in the query progress. None leaves the watermark that
+    `events` have already.
     """
-    if events.isStreaming:
+    if events.isStreaming and watermark is not None:
         events = events.withWatermark(time_col, watermark)
     return (
         events.groupBy(F.window(time_col, window), "event_type")

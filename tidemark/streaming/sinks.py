@@ -55,7 +55,7 @@ def write_stream_upsert(
             rows.unpersist()
 
     with _shuffle_partitions(stream.sparkSession, state_partitions):
-        return _start(stream, write, "update", checkpoint, trigger)
+        return start_batches(stream, write, "update", checkpoint, trigger)
 
 
 @contextmanager
@@ -92,7 +92,7 @@ def write_stream_jdbc(
         finally:
             rows.unpersist()
 
-    return _start(stream, write, "update", checkpoint, trigger)
+    return start_batches(stream, write, "update", checkpoint, trigger)
 
 
 def write_stream_split(
@@ -109,17 +109,9 @@ def write_stream_split(
     stream's id and the batch, so a repeated batch overwrites what it wrote before, and a
     stream with another checkpoint overwrites nothing.
     """
-    known: list[str] = []
-
-    def stream_id(spark: SparkSession) -> str:
-        # The checkpoint holds the id of its stream from before the first batch.
-        if not known:
-            text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata")
-            known.append(text.select(F.get_json_object("value", "$.id")).first()[0])
-        return known[0]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        place = f"stream={stream_id(batch.sparkSession)}/batch_id={batch_id}"
+        place = f"stream={stream_id(batch.sparkSession, checkpoint)}/batch_id={batch_id}"
         messages = batch.withColumn("value", F.col("value").cast("string"))
         classified = classify_messages(
             messages,
@@ -143,20 +135,27 @@ def write_stream_split(
         finally:
             classified.unpersist()
 
-    return _start(raw, write, "append", checkpoint, trigger)
+    return start_batches(raw, write, "append", checkpoint, trigger)
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of a checkpoint's stream, which is there from before the first batch."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata")
+    return text.select(F.get_json_object("value", "$.id")).first()[0]
 
 
 def _write_batch(rows: DataFrame, path: str, place: str) -> None:
     rows.hint("rebalance").write.mode("overwrite").parquet(f"{path.rstrip('/')}/{place}")
 
 
-def _start(
+def start_batches(
     stream: DataFrame,
     write: Callable[[DataFrame, int], None],
     mode: str,
     checkpoint: str,
     trigger: dict | None,
 ) -> StreamingQuery:
+    """Run `write` on every micro-batch."""
     return (
         stream.writeStream.foreachBatch(write)
         .outputMode(mode)

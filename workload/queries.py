@@ -6,6 +6,7 @@ the tables themselves carry.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,18 +17,21 @@ from tidemark import schemas
 from tidemark.functions.intervals import bucket_end, bucket_start, in_interval, ts
 from tidemark.layout import DAILY, HOURLY
 from tidemark.operators import (
+    bitmaps,
+    clustering,
     drift,
     duplicates,
     lifecycle,
     messages,
     monitoring,
+    payloads,
     quality,
     reports,
     tenants,
 )
 from tidemark.session import scratch_dir, use_utc
 from tidemark.sinks import exports, tables
-from tidemark.plans import batch, checks
+from tidemark.plans import batch, checks, incremental
 from tidemark.plans.lake import Lake
 from tidemark.sources.files import (
     list_files,
@@ -37,8 +41,11 @@ from tidemark.sources.files import (
     schema_rows,
 )
 from tidemark.sources.landing import read_landing, read_tenant_gold
-from tidemark.sources.messages import read_dlq, read_event_stream
-from tidemark.streaming.metrics import decode_events, minute_counts
+from tidemark.sources.messages import dlq_bounds, read_dlq, read_event_stream
+from tidemark.sources.offsets import plan_offsets
+from tidemark.streaming import health
+from tidemark.streaming.late import write_stream_counts
+from tidemark.streaming.metrics import decode_events, first_copies, minute_counts
 from tidemark.streaming.sinks import write_stream_split, write_stream_upsert
 from workload import inputs, sql
 
@@ -290,6 +297,63 @@ def payload_key_drift(spark, sf_dir):
     return drift.payload_key_drift(inputs.raw_events(spark, sf_dir), ("product_id", "currency"))
 
 
+@query(
+    "payload_path_drift",
+    f"""WITH {sql.raw()}, r AS (
+        SELECT date_trunc('day', created_at) AS window_start, id, id % 101 <> 0 AS ok FROM raw
+    ), drift AS (
+        SELECT window_start, '$' AS path, 'OBJECT' AS expected_type, 'INVALID' AS actual_type,
+            'type_mismatch' AS status FROM r WHERE NOT ok
+        UNION ALL SELECT window_start, '$.product_id', 'BIGINT', 'STRING', 'type_mismatch' FROM r
+            WHERE ok AND id % 41 = 0
+        UNION ALL SELECT window_start, '$.context.device.version', 'BIGINT', 'STRING', 'type_mismatch'
+            FROM r WHERE ok AND id % 7 = 0
+        UNION ALL SELECT window_start, '$.context.device.os', 'STRING', 'VOID', 'null' FROM r
+            WHERE ok AND id % 13 = 0
+        UNION ALL SELECT window_start, '$.context.tags', 'ARRAY<BIGINT>', 'ARRAY<VARIANT>', 'type_mismatch'
+            FROM r WHERE ok AND id % 9 = 0
+        UNION ALL SELECT window_start, '$.debug', NULL, 'BOOLEAN', 'extra' FROM r WHERE ok AND id % 97 = 0
+        UNION ALL SELECT window_start, '$.amount', 'DECIMAL', NULL, 'missing' FROM r
+            WHERE NOT ok OR id % 53 = 0
+        UNION ALL SELECT window_start, '$.currency', 'STRING', NULL, 'missing' FROM r
+        UNION ALL SELECT window_start, p, t, NULL, 'missing' FROM r, (VALUES ('$.product_id', 'BIGINT'),
+            ('$.context', 'OBJECT'), ('$.context.device', 'OBJECT'), ('$.context.device.os', 'STRING'),
+            ('$.context.device.version', 'BIGINT'), ('$.context.tags', 'ARRAY<BIGINT>')) v(p, t) WHERE NOT ok
+    )
+    SELECT window_start, path, expected_type, actual_type, COUNT(*) AS "rows", status
+    FROM drift GROUP BY ALL""",
+)
+def payload_path_drift(spark, sf_dir):
+    """Nested payloads, damaged by id, against the types that are expected of their paths."""
+    every = lambda n: F.pmod(F.col("id"), F.lit(n)) == 0
+    text = F.concat(
+        F.lit('{"product_id": '),
+        F.when(every(41), F.lit('"7"')).otherwise(F.col("product_id").cast("string")),
+        F.when(every(53), F.lit("")).otherwise(
+            F.concat(F.lit(', "amount": '), F.col("amount").cast("decimal(12,2)").cast("string"))
+        ),
+        F.lit(', "context": {"device": {"os": '),
+        F.when(every(13), F.lit("null")).otherwise(F.lit('"x"')),
+        F.lit(', "version": '),
+        F.when(every(7), F.lit('"2"')).otherwise(F.lit("2")),
+        F.lit('}, "tags": [1, '),
+        F.when(every(9), F.lit('"a"')).otherwise(F.lit("3")),
+        F.lit("]}"),
+        F.when(every(97), F.lit(', "debug": true')).otherwise(F.lit("")),
+        F.when(every(101), F.lit("")).otherwise(F.lit("}")),
+    )
+    events = inputs.raw_events(spark, sf_dir).withColumn("payload", text)
+    expected = {
+        "$.product_id": "BIGINT",
+        "$.amount": "DECIMAL",
+        "$.currency": "STRING",
+        "$.context.device.os": "STRING",
+        "$.context.device.version": "BIGINT",
+        "$.context.tags": "ARRAY<BIGINT>",
+    }
+    return payloads.payload_path_drift(payloads.payload_types(events), expected)
+
+
 # -- duplicates ---------------------------------------------------------------
 
 RANK_SQL = f"""WITH {sql.raw(null_users=True, copies=True)},
@@ -410,6 +474,33 @@ def weekly_cohort_metrics(spark, sf_dir):
     )
 
 
+@query(
+    "cohort_users_from_bitmaps",
+    f"""WITH {sql.raw()}, {COHORT_SQL},
+    ends AS (SELECT CAST(unnest(generate_series(DATE '2024-01-08', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE)
+                 AS period_end)
+    SELECT period_end, c.cohort_week, COUNT(r.id) AS event_count, COUNT(DISTINCT r.user_id) AS unique_users
+    FROM ends JOIN raw r ON r.created_at >= period_end - INTERVAL 7 DAY AND r.created_at < period_end
+    JOIN cohorts c ON c.user_id = r.user_id
+    GROUP BY 1, 2""",
+)
+def cohort_users_from_bitmaps(spark, sf_dir):
+    """Twenty-four overlapping weeks as unions of stored days. Half of the users get their
+    numbers in a second run, after the first half's days are stored."""
+    root = scratch_dir(spark, "bitmaps")
+    events = inputs.raw_events(spark, sf_dir)
+    cohorts = reports.user_cohorts(inputs.users(spark, sf_dir), "2024-01-15")
+    early = cohorts.filter(F.pmod(F.xxhash64("user_id"), F.lit(2)) == 0)
+    for users in (early, cohorts):
+        known = tables.read_or_empty(spark, f"{root}/numbers", schemas.USER_NUMBERS)
+        tables.append_log(bitmaps.new_user_numbers(known, users), f"{root}/numbers")
+        numbers = spark.read.parquet(f"{root}/numbers")
+        days = bitmaps.daily_user_bitmaps(events, users, numbers, MONTH)
+        tables.replace_interval(days, f"{root}/days", DAILY, MONTH, "report_date")
+    ends = [f"2024-01-{d:02d}" for d in range(8, 32)]
+    return bitmaps.users_of_periods(spark.read.parquet(f"{root}/days"), ends)
+
+
 @query(
     "monthly_kpis",
     f"""WITH {sql.raw(null_users=True, messy_amounts=True)},
@@ -931,6 +1022,50 @@ def interval_reload_result(spark, sf_dir):
     return read_landing(spark, path).select("id", "event_type", "created_at")
 
 
+@query(
+    "rollup_after_late_hours",
+    f"""WITH {sql.raw()}, kept AS (
+        SELECT * FROM raw WHERE NOT (created_at >= TIMESTAMP '2024-01-20' AND created_at < TIMESTAMP '2024-01-20 05:00:00')
+    )
+    SELECT date_trunc('hour', created_at) AS hour_start, event_type, COUNT(*) AS total_count,
+        {sql.pct("COUNT(*)", "SUM(COUNT(*)) OVER (PARTITION BY CAST(date_trunc('hour', created_at) AS DATE))")} AS pct_of_daily,
+        date_trunc('hour', created_at) >= TIMESTAMP '2024-01-10' AND date_trunc('hour', created_at) < TIMESTAMP '2024-01-12'
+            AS rewritten
+    FROM kept WHERE {WHOLE} GROUP BY 1, 2""",
+)
+def rollup_after_late_hours(spark, sf_dir):
+    """Two days get their late events and five hours lose theirs; only those are counted again.
+
+    `rewritten` tells by the time of its file whether the second run wrote an hour.
+    """
+    lake = Lake(scratch_dir(spark, "dirty-hours"))
+    events = inputs.raw_events(spark, sf_dir)
+    late = in_interval("created_at", ("2024-01-10", "2024-01-12"))
+    incremental.extract_noted(events.filter(~late | (F.col("id") % 3 != 0)), lake, MONTH)
+    incremental.rollup_changed_hours(spark, lake)
+    first = _newest_file(spark, lake.gold(incremental.HOURS_TABLE))
+    for rows, iv in (
+        (events, ("2024-01-10", "2024-01-12")),
+        (events.limit(0), ("2024-01-20", "2024-01-20 05:00:00")),
+    ):
+        incremental.extract_noted(rows, lake, iv)
+    incremental.rollup_changed_hours(spark, lake)
+    hours = spark.read.parquet(lake.gold(incremental.HOURS_TABLE)).select(
+        "hour_start", "event_type", "total_count",
+        (F.col("_metadata.file_modification_time") > F.lit(first)).alias("rewritten"),
+    )
+    shares = spark.read.parquet(lake.gold(incremental.SHARES_TABLE)).select(
+        (F.col("report_date").cast("timestamp") + F.make_dt_interval(hours="event_hour")).alias("hour_start"),
+        "event_type", "pct_of_daily",
+    )
+    return hours.join(shares, ["hour_start", "event_type"])
+
+
+def _newest_file(spark, path: str):
+    times = spark.read.parquet(path).select(F.col("_metadata.file_modification_time").alias("at"))
+    return times.agg(F.max("at")).first()[0]
+
+
 def _compacted(spark, sf_dir):
     root = scratch_dir(spark, "compaction")
     bronze, gold = f"{root}/bronze", f"{root}/gold"
@@ -966,6 +1101,31 @@ def compaction_manifest(spark, sf_dir):
     )
 
 
+CHOSEN_USERS = 5
+
+
+@query(
+    "pruned_user_interval",
+    f"""WITH {sql.raw()}, chosen AS (
+        SELECT user_id FROM raw GROUP BY 1 ORDER BY COUNT(*) DESC, user_id LIMIT {CHOSEN_USERS})
+    SELECT id, user_id, event_type, created_at, true AS few_files FROM raw
+    WHERE user_id IN (SELECT user_id FROM chosen)
+      AND created_at >= TIMESTAMP '2024-01-05' AND created_at < TIMESTAMP '2024-01-12'""",
+)
+def pruned_user_interval(spark, sf_dir):
+    """A week of the five users with most events, from less than a third of the files."""
+    path = scratch_dir(spark, "clustered")
+    events = inputs.raw_events(spark, sf_dir)
+    clustering.write_clustered(events, path, 64)
+    top = events.groupBy("user_id").count().orderBy(F.desc("count"), "user_id").limit(CHOSEN_USERS)
+    users = [r.user_id for r in top.collect()]
+    iv = ("2024-01-05", "2024-01-12")
+    index = spark.read.parquet(clustering.index_path(path))
+    few = 3 * len(clustering.files_of(index, iv, users)) < index.count()
+    found = clustering.read_users(spark, path, events.schema, iv, users)
+    return found.select("id", "user_id", "event_type", "created_at", F.lit(few).alias("few_files"))
+
+
 @query(
     "bronze_promoted",
     f"""{RANK_SQL.replace("FROM raw)", "FROM raw WHERE user_id IS NOT NULL)")}
@@ -1018,6 +1178,26 @@ def tenant_landing_roundtrip(spark, sf_dir):
     return back.select("id", "user_id", "event_type", "created_at", "tenant")
 
 
+@query(
+    "tenant_reload_result",
+    f"""WITH {sql.raw()}, own AS (
+        SELECT *, 't' || CAST(CAST(user_id AS BIGINT) % 3 AS VARCHAR) AS tenant FROM raw)
+    SELECT id, event_type, created_at, tenant FROM own
+    WHERE (event_type = 'purchase' AND tenant <> 't1') OR created_at < TIMESTAMP '2024-01-10'
+       OR created_at >= TIMESTAMP '2024-01-12'""",
+)
+def tenant_reload_result(spark, sf_dir):
+    """Two days are loaded again, with fewer rows and without one tenant, whose days disappear."""
+    lake = Lake(scratch_dir(spark, "tenant-reload"))
+    events = inputs.tenant_events(spark, sf_dir)
+    batch.extract_tenants(events, lake)
+    fewer = events.filter((F.col("event_type") == "purchase") & (F.col("tenant") != "t1"))
+    for _ in range(2):
+        batch.extract_tenants(fewer, lake, ("2024-01-10", "2024-01-12"))
+    back = read_landing(spark, lake.tenant_landing, tenants=["t0", "t1", "t2"])
+    return back.select("id", "event_type", "created_at", "tenant")
+
+
 @query(
     "tenant_gold_report",
     f"""WITH {sql.TENANT_GOLD}
@@ -1153,6 +1333,44 @@ def dlq_bounded_batch(spark, sf_dir):
     return read_dlq(spark, "parquet", max_messages=500, path=source)
 
 
+@query(
+    "dlq_offset_ranges",
+    f"""WITH {sql.MESSAGES}, bounds AS (
+        SELECT partition, MIN("offset") AS low, MAX("offset") + 1 AS high FROM messages
+        WHERE partition < 3 OR "offset" >= 40 GROUP BY 1
+    ), done(partition, next) AS (VALUES (0, 70), (1, 0), (3, 15), (9, 5)), planned AS (
+        SELECT COALESCE(b.partition, d.partition) AS partition,
+            CASE WHEN high IS NULL THEN next WHEN next IS NULL OR next < low THEN low ELSE next END AS starting,
+            COALESCE(high, next) AS stop, CASE WHEN next < low THEN low - next ELSE 0 END AS lost,
+            CASE WHEN high IS NULL THEN 'vanished' WHEN next IS NULL THEN 'new'
+                 WHEN next < low THEN 'gap' WHEN next = high THEN 'idle' ELSE 'lagging' END AS status
+        FROM bounds b FULL JOIN done d ON d.partition = b.partition
+    ), counted AS (
+        SELECT *, SUM(stop - starting) OVER (ORDER BY partition) - (stop - starting) AS before FROM planned
+    ), ranges AS (
+        SELECT *, starting + LEAST(stop - starting, GREATEST(0, 600 - before)) AS ending FROM counted
+    )
+    SELECT CAST(r.partition AS INTEGER) AS partition, CAST(starting AS BIGINT) AS starting,
+        CAST(ending AS BIGINT) AS ending, CAST(lost AS BIGINT) AS lost, status,
+        COUNT(m."offset") AS messages, MIN(m.value) AS least_value
+    FROM ranges r LEFT JOIN messages m ON m.partition = r.partition
+         AND m."offset" >= starting AND m."offset" < ending
+    GROUP BY ALL""",
+)
+def dlq_offset_ranges(spark, sf_dir):
+    """A read of at most 600 offsets, planned from stored progress and the topic's bounds, with
+    a partition that is new, one that lost messages to retention, and one that vanished."""
+    sent = inputs.messages(spark, sf_dir).drop("timestamp")
+    source = _stream_files(spark, sent.filter("partition < 3 OR offset >= 40"), "ranges")
+    done = spark.createDataFrame([(0, 70), (1, 0), (3, 15), (9, 5)], schemas.REPLAY_OFFSETS)
+    plan = plan_offsets(done, dlq_bounds(spark, "parquet", path=source), 600)
+    read = read_dlq(spark, "parquet", plan=plan.collect(), path=source)
+    found = read.groupBy("partition").agg(
+        F.count(F.lit(1)).alias("messages"), F.min("value").alias("least_value")
+    )
+    return plan.join(found, "partition", "left").fillna(0, ["messages"])
+
+
 FIXED_SQL = f"""WITH {sql.MESSAGES}
     SELECT regexp_replace(value, '\\s*\\}}\\s*$', '')
            || CASE WHEN has_product THEN '' ELSE ', "product_id": null' END
@@ -1175,7 +1393,8 @@ def dlq_replay_twice(spark, sf_dir):
     lake = Lake(scratch_dir(spark, "replay"))
     source, target = f"{lake.root}/dead-letters", f"{lake.root}/main"
     sent = inputs.messages(spark, sf_dir).drop("timestamp")
-    middle = F.col("offset") < 5000
+    # Half of the messages come later, whatever the size of the input.
+    middle = F.col("offset") < sent.agg(F.median("offset")).first()[0]
     for part in (sent.filter(middle), sent.filter(~middle), sent.limit(0)):
         part.write.mode("append").parquet(source)
         checks.replay_dead_letters(
@@ -1249,6 +1468,160 @@ def _live(spark, source: str, root: str) -> None:
     running.awaitTermination()
 
 
+def _late_stream(spark, sf_dir) -> str:
+    """Three runs of one stream: all events; half of a day's events a day after the last one,
+    on time; and all events again, which are late by then."""
+    kind = F.to_json(F.struct(F.col("event_type").alias("eventType"))).alias("value")
+    sent = inputs.raw_events(spark, sf_dir).select(kind, F.col("created_at").alias("timestamp"))
+    source, root = scratch_dir(spark, "messages"), scratch_dir(spark, "late-rows")
+    newest = sent.agg(F.max("timestamp").alias("newest"))
+    last_day = sent.join(F.broadcast(newest), F.expr("timestamp > newest - INTERVAL 1 DAY"))
+    later = last_day.select("value", F.expr("timestamp + INTERVAL 2 DAYS").alias("timestamp"))
+    for rows in (sent, later, sent):
+        rows.write.mode("append").parquet(source)
+        stream = read_event_stream(spark, "parquet", "value STRING, timestamp TIMESTAMP", path=source)
+        running = write_stream_counts(
+            decode_events(stream),
+            f"{root}/totals",
+            f"{root}/late",
+            f"{root}/marks",
+            f"{root}/checkpoint",
+            trigger={"availableNow": True},
+        )
+        running.awaitTermination()
+    return root
+
+
+@query(
+    "stream_late_rows",
+    """SELECT ts AS event_time, event_type,
+        date_trunc('milliseconds', (SELECT max(ts) FROM events)) + INTERVAL 2 DAY - INTERVAL 2 MINUTE
+            AS watermark
+    FROM events""",
+)
+def stream_late_rows(spark, sf_dir):
+    """Exactly the rows that were not counted, with the watermark they missed."""
+    late = spark.read.parquet(f"{_late_stream(spark, sf_dir)}/late")
+    return late.select(F.col("kafka_ts").alias("event_time"), "event_type", "watermark")
+
+
+@query(
+    "stream_counts_and_late_rows",
+    """WITH sent AS (
+        SELECT ts, event_type, 1 AS counted, 0 AS late FROM events
+        UNION ALL SELECT ts, event_type, 0, 1 FROM events
+        UNION ALL SELECT ts + INTERVAL 2 DAY, event_type, 1, 0 FROM events
+        WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 1 DAY
+    )
+    SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS window_start, event_type,
+        CAST(SUM(counted) AS BIGINT) AS counted, CAST(SUM(late) AS BIGINT) AS late
+    FROM sent GROUP BY 1, 2""",
+)
+def stream_counts_and_late_rows(spark, sf_dir):
+    """Counted and late rows of every window: together, all that were sent."""
+    root = _late_stream(spark, sf_dir)
+    counted = spark.read.parquet(f"{root}/totals").select(
+        "window_start", "event_type", F.col("event_count").alias("counted"), F.lit(0).alias("late")
+    )
+    late = spark.read.parquet(f"{root}/late").select(
+        "window_start", "event_type", F.lit(0).cast("long").alias("counted"), F.lit(1).alias("late")
+    )
+    return counted.unionByName(late).groupBy("window_start", "event_type").agg(
+        F.sum("counted").alias("counted"), F.sum("late").alias("late")
+    )
+
+
+@query(
+    "stream_deduplicated_minutes",
+    """WITH once AS (
+        SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, event_type, date_trunc('second', ts) AS slot
+        FROM events
+    )
+    SELECT date_trunc('minute', slot) AS window_start,
+        date_trunc('minute', slot) + INTERVAL 1 MINUTE AS window_end, event_type, COUNT(*) AS event_count
+    FROM once GROUP BY ALL""",
+)
+def stream_deduplicated_minutes(spark, sf_dir):
+    """Events with copies, in two runs of one stream; the second begins with the last hour of
+    the first once more. State alone tells that those are copies."""
+    rows = inputs.raw_events(spark, sf_dir, copies=True)
+    sent = rows.select(
+        F.to_json(
+            F.struct(F.col("user_id").alias("userId"), F.col("event_type").alias("eventType"))
+        ).alias("value"),
+        F.col("created_at").alias("timestamp"),
+    )
+    middle = F.lit("2024-01-16").cast("timestamp")
+    source, root = scratch_dir(spark, "messages"), scratch_dir(spark, "deduplicated")
+    at = F.col("timestamp")
+    for part in (sent.filter(at < middle), sent.filter(at >= middle - F.expr("INTERVAL 1 HOUR"))):
+        part.write.mode("append").parquet(source)
+        stream = read_event_stream(spark, "parquet", "value STRING, timestamp TIMESTAMP", path=source)
+        first = first_copies(decode_events(stream), watermark="1 hour")
+        running = write_stream_upsert(
+            minute_counts(first, watermark=None),
+            f"{root}/table",
+            f"{root}/checkpoint",
+            trigger={"availableNow": True},
+            state_partitions=8,
+        )
+        running.awaitTermination()
+    return _live_table(spark, root)
+
+
+@query(
+    "stream_state_health",
+    f"""WITH {sql.MINUTES}, open AS (
+        SELECT * FROM minutes WHERE window_end > (SELECT max(ts) FROM events) - INTERVAL 2 MINUTE
+    )
+    SELECT COUNT(*) AS state_rows, CAST(SUM(event_count) AS BIGINT) AS open_events,
+        MIN(window_start) AS oldest_window, MAX(window_start) AS newest_window,
+        CAST(epoch(TIMESTAMP '2024-02-10') - epoch(MIN(window_start)) AS BIGINT) AS oldest_age_s,
+        CAST(0 AS BIGINT) AS differing, 8 AS stores,
+        (SELECT COUNT(*) FROM events) AS input_rows,
+        date_trunc('milliseconds', (SELECT max(ts) FROM events)) - INTERVAL 2 MINUTE AS watermark
+    FROM open""",
+)
+def stream_state_health(spark, sf_dir):
+    """The open windows of a stream that has read all events, its progress, and how many open
+    windows differ from the table of counts."""
+    sent = inputs.raw_events(spark, sf_dir).select(
+        F.to_json(F.struct(F.col("event_type").alias("eventType"))).alias("value"),
+        F.col("created_at").alias("timestamp"),
+    )
+    root = scratch_dir(spark, "state")
+    log = health.ProgressLog(spark, f"{root}/progress")
+    spark.streams.addListener(log)
+    try:
+        _live(spark, _stream_files(spark, sent, "messages"), root)
+        progress = _settled(spark, f"{root}/progress")
+    finally:
+        spark.streams.removeListener(log)
+    state = health.window_state(spark, f"{root}/checkpoint")
+    differing = state.exceptAll(_live_table(spark, root).select(*state.columns)).count()
+    # One row each.
+    stores = health.state_stores(spark, f"{root}/checkpoint").first().stores
+    last = health.latest_progress(progress, "2024-02-10").first()
+    return health.state_health(state, "2024-02-10").withColumns(
+        {
+            "differing": F.lit(differing).cast("long"),
+            "stores": F.lit(stores),
+            "input_rows": F.lit(last.total_input_rows).cast("long"),
+            "watermark": F.lit(last.watermark).cast("timestamp"),
+        }
+    )
+
+
+def _settled(spark, path: str):
+    """The progress once the listener, which runs beside the stream, has written its last batch."""
+    for _ in range(100):
+        rows = health.read_progress(spark, path)
+        if not rows.filter("watermark > TIMESTAMP '2000-01-01'").isEmpty():
+            break
+        time.sleep(0.1)
+    return health.read_progress(spark, path)
+
+
 @query(
     "stream_valid_dlq_split",
     f"""WITH {sql.MESSAGES}
