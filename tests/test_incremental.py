@@ -38,8 +38,8 @@ def stored(spark, lake):
 
 
 def files(spark, lake):
-    df = spark.read.parquet(lake.gold(incremental.HOURS_TABLE)).select("_metadata.file_path", "hour_start").distinct()
-    return {r.hour_start: r.file_path for r in df.collect()}
+    df = spark.read.parquet(lake.gold(incremental.HOURS_TABLE)).select("_metadata.file_path", "dt").distinct()
+    return {r.dt: r.file_path for r in df.collect()}
 
 
 def test_only_changed_hours_are_counted_again(spark):
@@ -55,7 +55,7 @@ def test_only_changed_hours_are_counted_again(spark):
     incremental.extract_noted(events(spark, [r for r in late if r[3] != hour(6)]), lake, (hour(5), hour(7)))
     assert incremental.rollup_changed_hours(spark, lake) == 2
     after = files(spark, lake)
-    assert {h for h in before if after.get(h) != before[h]} == {hour(5), hour(6)}
+    assert {d for d in before if after.get(d) != before[d]} == {DAY.date()} and len(before) == 2
     counts = stored(spark, lake)
     assert counts[(hour(5), "view")] + counts.get((hour(5), "buy"), 0) == 11
     assert not any(h == hour(6) for h, _ in counts)

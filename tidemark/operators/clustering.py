@@ -34,9 +34,18 @@ def time_bounds(df: DataFrame, time_col: str = "created_at", bits: int = RANK_BI
 
 
 def time_rank(time_col: str, bounds: list[int]) -> Column:
-    """How many bounds are at or below a time; a NULL time ranks first."""
+    """How many bounds are at or below a time, by halving; a NULL time ranks first."""
     value = F.coalesce(F.unix_micros(time_col), F.lit(-(1 << 63)))
-    return F.array_size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= value)) if bounds else F.lit(0)
+
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value < bounds[middle], between(low, middle)).otherwise(
+            between(middle + 1, high)
+        )
+
+    return between(0, len(bounds))
 
 
 def interleave(a: Column, b: Column, bits: int = RANK_BITS) -> Column:
@@ -54,8 +63,10 @@ def write_clustered(
 ) -> None:
     """Write `df` as about `files` files along the curve, and the table of their ranges beside."""
     bounds = time_bounds(df, time_col)
-    curve = interleave(time_rank(time_col, bounds), user_rank(user_col))
-    placed = df.withColumn("_curve", curve)
+    # Columns of their own, so that each rank is worked out once per row.
+    ranked = df.withColumns({"_time": time_rank(time_col, bounds), "_user": user_rank(user_col)})
+    curve = interleave(F.col("_time"), F.col("_user"))
+    placed = ranked.withColumn("_curve", curve).drop("_time", "_user")
     # The time breaks ties, so one full cell of the curve can be cut too.
     placed.repartitionByRange(files, "_curve", time_col).sortWithinPartitions(
         "_curve", time_col

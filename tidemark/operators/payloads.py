@@ -20,8 +20,8 @@ _CHILDREN = "map<string, variant>"
 
 def type_name(value: Column) -> Column:
     """Type of a variant: OBJECT for any object, DECIMAL of any precision, ARRAY<...> whole."""
-    text = F.regexp_replace(F.schema_of_variant(value), r"\(\d+,\d+\)", "")
-    return F.when(text.startswith(OBJECT), OBJECT).otherwise(text)
+    plain = F.regexp_replace(F.schema_of_variant(value), r"\(\d+,\d+\)", "")
+    return F.regexp_replace(plain, "^OBJECT<.*$", OBJECT)
 
 
 def _step(key: Column) -> Column:
@@ -62,12 +62,15 @@ def payload_types(
     JSON null is VOID. Arrays are types of their own and not entered; of a repeated key the
     parser's choice counts.
     """
-    text = F.col(payload_col)
-    payload = F.try_parse_json(payload_col)
-    root = (
-        F.when(text.isNull(), NULL).when(payload.isNull(), INVALID).otherwise(type_name(payload))
-    )
     window = bucket_start(time_col, every).alias("window_start")
+    # A generated column is not inlined, so each text is parsed once in a scan.
+    parsed = events.select(
+        window,
+        F.col(payload_col).isNull().alias("_null"),
+        F.explode(F.array(F.try_parse_json(payload_col))).alias("_payload"),
+    )
+    payload = F.col("_payload")
+    root = F.when(F.col("_null"), NULL).when(payload.isNull(), INVALID).otherwise(type_name(payload))
     spark, folder, depth = events.sparkSession, scratch_dir(events.sparkSession, "payloads"), 1
     while True:
         fields = F.transform(
@@ -78,7 +81,7 @@ def payload_types(
             own = F.array(F.named_struct(F.lit("path"), F.lit("$"), F.lit("type"), root))
             fields = F.concat(own, fields)
         counted = (
-            events.select(window, F.explode(fields).alias("_f"))
+            parsed.select("window_start", F.explode(fields).alias("_f"))
             .groupBy("window_start", F.col("_f.path").alias("path"), F.col("_f.type").alias("type"))
             .agg(F.count(F.lit(1)).alias("rows"))
         )

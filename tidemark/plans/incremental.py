@@ -3,8 +3,8 @@
 Every landing write notes its hours in a log of changes, once before it begins and once when it
 is done: the first note makes sure that a write which dies halfway is looked at again, the
 second that what it wrote last is seen. The rollup reads the hours whose last change is later
-than their mark, replaces those partitions, computes the days they lie in from the hourly
-counts, and sets the marks last. A run that fails is repeated from the same marks.
+than their mark, replaces their counts in the days they lie in, computes the shares of those
+days from the hourly counts, and sets the marks last. No other day is written. A run that fails is repeated from the same marks.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.intervals import Interval, spine
-from tidemark.layout import DAILY, HOURLY
+from tidemark.layout import DAILY
 from tidemark.operators import changes
 from tidemark.plans import batch
 from tidemark.plans.lake import Lake
@@ -69,13 +69,17 @@ def _rounds(dirty: list) -> Iterator[list]:
 
 
 def _roll_up(spark: SparkSession, lake: Lake, dirty: list) -> None:
+    """Count the changed hours, and put them in place of what their days held of them."""
     hours = [r.hour_start for r in dirty]
-    counts = changes.hourly_event_counts(read_hours(spark, lake.landing, hours))
-    table = lake.gold(HOURS_TABLE)
-    tables.replace_buckets(counts, table, HOURLY, hours, "hour_start")
     days = sorted({h.replace(hour=0) for h in hours})
-    whole = [d + timedelta(hours=h) for d in days for h in range(24)]
-    shares = changes.daily_shares(read_hours(spark, table, whole, HOURLY_COUNTS))
+    touched = F.col("dt").isin([d.date() for d in days])
+    table = lake.gold(HOURS_TABLE)
+    stored = tables.read_or_empty(spark, table, HOURLY_COUNTS).filter(touched)
+    kept = stored.filter(~F.col("hour_start").isin(hours)).drop("dt")
+    counts = changes.hourly_event_counts(read_hours(spark, lake.landing, hours))
+    tables.replace_buckets(kept.unionByName(counts), table, DAILY, days, "hour_start")
+    now = tables.read_or_empty(spark, table, HOURLY_COUNTS).filter(touched)
+    shares = changes.daily_shares(now)
     tables.replace_buckets(shares, lake.gold(SHARES_TABLE), DAILY, days, "report_date")
     seen = spark.createDataFrame(dirty, CHANGES).withColumn("dt", F.col("hour_start").cast("date"))
     tables.upsert_table(

@@ -136,6 +136,7 @@ HOURLY_COUNTS = _schema(
     event_type=TEXT,
     total_count=LONG,
     avg_per_minute=T.DoubleType(),
+    dt=DATE,
 )
 # Users by number, and the days whose sets of users are stored.
 USER_NUMBERS = _schema(user_id=TEXT, number=LONG)

@@ -54,7 +54,7 @@ def read_landing(
 def read_hours(
     spark: SparkSession, path: str, hours: list[datetime], schema: T.StructType = EVENTS
 ) -> DataFrame:
-    """Rows of single hours of a table that is partitioned by hour; nothing else is listed."""
+    """Rows of single hours of a landing; no other directory is listed."""
     root = path.rstrip("/")
     wanted = [d for h in hours for d in HOURLY.directories((h, h + timedelta(hours=1)))]
     present = storage.present(spark, root, wanted) if storage.exists(spark, root) else []
