@@ -440,6 +440,38 @@ def test_many_languages_need_more_than_one_layer():
     assert all(((model.layers[2][p] >> np.uint64(149 - 128)) & np.uint64(1)).all() for p in probes)
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    rng = random.Random(4)
+    alphabet = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(300):
+        own = ["".join(rng.choice(alphabet) for _ in range(6)) for _ in range(12)]
+        for n in range(3):
+            text = " ".join(rng.choice(own) for _ in range(60))
+            rows.append((3 * k + n, text, f"l{k:03d}"))
+    # The last language has the fewest rows.
+    rows.pop()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs.where("doc_id % 3 < 2"))
+    assert len(model.languages) == 300 and len(model.layers) == 5
+    found = langid.identify(docs, model)
+    assert found.where("lang_pred <> lang").isEmpty()
+    monkeypatch.setattr(langid, "BROADCAST", 10)
+    again = langid.fit(docs.where("doc_id % 3 < 2"))
+    assert all((a == b).all() for a, b in zip(model.layers, again.layers, strict=True))
+
+
+def test_a_layer_is_found_whatever_else_the_text_holds():
+    """UTF-16 read as bytes and a stream by itself, with and without a run of base64 letters."""
+    wide = "password=abcdefgh123".encode("utf-16-le")
+    packed = zlib.compress(b"x" * 40 + b" password=abcdefgh123", 0)
+    for data in (wide, packed):
+        alone = [f for x in secretscan.layers(data) for f in [x.data] if b"password=abcdefgh123" in f]
+        beside = [f for x in secretscan.layers(data + b" abcdefghijklmnopqrst") for f in [x.data] if b"password=abcdefgh123" in f]
+        assert alone and beside
+    assert not list(secretscan.layers(b"plain words only")) and not list(secretscan.layers(b""))
+
+
 # --- 9: mixing
 
 

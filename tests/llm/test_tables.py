@@ -184,3 +184,13 @@ def test_pipeline_on_odd_and_empty_tables(spark, odd_docs, no_docs, odd_rows):
     kept = corpus_pipeline.near_dedup(spark, doubled, "").select("doc_id").collect()
     want = {low for _, _, low in near_duplicates([r[:2] for r in odd_rows])}
     assert sorted(r[0] for r in kept) == sorted(want)
+
+
+def test_of_rows_that_repeat_an_id_the_first_text_stays(spark):
+    texts = ["second unrelated text of this id", "first of all texts", "third text", "first of all texts"]
+    rows = [(5, t, "en", s, len(t)) for t, s in zip(texts, "cabd", strict=True)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, schema).repartition(2)
+        got = [tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, "").collect()]
+        assert got == [(5, "first of all texts", "en", "a", 18)]

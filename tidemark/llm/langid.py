@@ -16,16 +16,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.storage import map_texts
+from tidemark.llm.storage import map_texts, stored
 from tidemark.llm.textbatch import mix, slices, text_bytes
 
 UNKNOWN = "und"
 #: Bytes of an n-gram. Letters are lowered; anything between words is one blank.
 WIDTH = 4
 #: Bounds of the fit: documents of a language, languages, and n-grams of a language.
-SAMPLE, LANGUAGES, GRAMS = 2000, 256, 20_000
+SAMPLE, GRAMS = 2000, 20_000
 #: An n-gram belongs to a language if it is at least this share of the largest there is.
 SHARE = 0.2
+#: Languages, one row each, that are broadcast.
+BROADCAST = 1 << 16
 PROBES = 2
 _SHOWN = np.full(256, 32, dtype=np.uint8)
 _SHOWN[97:123] = np.arange(97, 123)
@@ -149,10 +151,9 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     sample: int = SAMPLE,
-    languages: int = LANGUAGES,
     grams: int = GRAMS,
 ) -> Model:
-    """Learns from at most `sample` rows of each of the `languages` most frequent languages.
+    """Learns from at most `sample` rows of each language; all languages are learned.
 
     The rows are those with the smallest hashes of their ids. Of each language the `grams`
     most frequent n-grams count. Null texts and languages teach nothing; without labelled
@@ -163,11 +164,13 @@ def fit(
         F.col(text_col).alias("text"),
         F.xxhash64(F.col(id_col), F.lit(1)).alias("draw"),
     )
-    often = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
     # Of a large language only hashes that can be among the smallest go on: four times as many
-    # as wanted, whatever its size. At most `languages` rows are broadcast.
+    # as wanted, whatever its size. There is one row per language.
     near = F.least(F.lit(1.0), 4.0 * sample / F.col("count")) * 2.0**64 - 2.0**63
-    near = F.broadcast(often.select("lang", near.alias("near")))
+    sizes = stored(rows.groupBy("lang").count(), "languages")
+    # The tables of languages go to every task if they are as small as they usually are.
+    small = F.broadcast if sizes.count() <= BROADCAST else lambda df: df
+    near = small(sizes.select("lang", near.alias("near")))
     by_draw = Window.partitionBy("lang").orderBy("draw")
     drawn = (
         rows.select("lang", "draw")
@@ -178,9 +181,7 @@ def fit(
         .groupBy("lang")
         .agg(F.max("draw").alias("last"))
     )
-    # At most `languages` rows.
-    limits = F.broadcast(drawn)
-    taught = rows.join(limits, "lang").where("draw <= last").select("lang", "text")
+    taught = rows.join(small(drawn), "lang").where("draw <= last").select("lang", "text")
     counts = (
         taught.mapInArrow(_counted, "lang string, gram long, n long")
         .groupBy("lang", "gram")
@@ -188,13 +189,19 @@ def fit(
     )
     by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = counts.withColumn("place", F.row_number().over(by_count)).where(F.col("place") <= grams)
-    found = top.select("lang", "gram", "n").toArrow().to_pandas()
-    found["share"] = found["n"] / found.groupby("lang")["n"].transform("sum")
-    most = found.groupby("gram")["share"].transform("max")
-    found = found[found["share"] >= SHARE * most]
-    return Model.of(
-        {k: g["gram"].to_numpy().astype(np.uint32) for k, g in found.groupby("lang")}
-    )
+    share = F.col("n") / F.sum("n").over(Window.partitionBy("lang"))
+    shared = top.withColumn("share", share)
+    # An n-gram counts for the languages that use it about as much as the one that does most.
+    most = shared.groupBy("gram").agg(F.max("share").alias("most"))
+    kept = shared.join(most, "gram").where(F.col("share") >= SHARE * F.col("most"))
+    kept = stored(kept.select("lang", "gram"), "grams")
+    names = sorted(r.lang for r in kept.select("lang").distinct().collect())
+    learned: dict[str, np.ndarray] = {}
+    # One layer's languages at a time come to the driver.
+    for low in range(0, len(names), 64):
+        found = kept.where(F.col("lang").isin(names[low : low + 64])).toArrow().to_pandas()
+        learned |= {k: g["gram"].to_numpy().astype(np.uint32) for k, g in found.groupby("lang")}
+    return Model.of(learned)
 
 
 def identify(

@@ -327,8 +327,9 @@ def layers(data: bytes) -> Iterator[_Layer]:
     A layer comes again only if it is met nearer to the text."""
     if not data:
         return
-    escaped = b"%" in data or b"\\u" in data
-    if not escaped and not _BASE64.search(data):
+    # Nothing that any of the decoders begins with.
+    escaped = b"%" in data or b"\\u" in data or b"\x00" in data
+    if not escaped and not _BASE64.search(data) and not _HEAD.search(data):
         return
     place = np.arange(len(data))
     top = _Layer(data, place, place + 1, 0)
