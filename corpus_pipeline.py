@@ -24,11 +24,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near duplicates."""
-    kept = minhash.near_duplicates(docs).where("kept").select(docs.columns)
-    # Rows that repeat an id are one document; those without an id are all their own.
+    columns = docs.columns
+    kept = minhash.near_duplicates(docs).where("kept").select(columns)
+    # Rows that repeat an id are one document, of which the first by text and then by its other
+    # columns stays; those without an id are all their own.
     own = free_name(kept, "own")
     nameless = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    return kept.withColumn(own, nameless).dropDuplicates(["doc_id", own]).drop(own)
+    row = F.struct(*(F.col(f"`{c}`") for c in columns))
+    first = F.min_by(row, F.struct(F.col("text"), F.to_json(row))).alias("row")
+    named = kept.withColumn(own, nameless).groupBy("doc_id", own).agg(first)
+    return named.select(*(F.col(f"row.`{c}`").alias(c) for c in columns))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
