@@ -314,3 +314,52 @@ def test_an_upsert_reads_only_the_dates_it_touches(spark, path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [d" in plan and "2024-01-04" in plan and "2024-01-05" not in plan
     assert sorted(r.n for r in df.collect()) == [4, 6]
+
+
+def test_a_second_with_most_rows_is_cut(spark, path):
+    """Nine tenths of a date lie in one second; no file gets much more than its share."""
+    rows = [(i, "u", "view", datetime(2024, 1, 1, 12) if i % 10 else datetime(2024, 1, 1) + timedelta(seconds=i)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id BIGINT, user_id STRING, event_type STRING, created_at TIMESTAMP")
+    DAILY.assign(df, "created_at").repartition(3).write.partitionBy("dt").parquet(f"{path}/bronze")
+    size = sum(r.size for r in files.list_files(spark, f"{path}/bronze").collect())
+    lifecycle.compact(spark, f"{path}/bronze", f"{path}/gold", ["2024-01-01"], size // 7)
+    back = spark.read.parquet(f"{path}/gold").withColumn("file", F.col("_metadata.file_path"))
+    counts = sorted(r["count"] for r in back.groupBy("file").count().collect())
+    assert len(counts) >= 7 and counts[-1] < 2 * 4000 / 7
+    assert sorted(r.id for r in back.collect()) == list(range(4000))
+    # Files still follow one another in time.
+    spans = sorted((r.a, r.b) for r in back.groupBy("file").agg(F.min("created_at").alias("a"), F.max("created_at").alias("b")).collect())
+    assert all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+
+
+def test_replayed_messages_carry_key_and_origin(spark):
+    rows = [(3, 17, '{"user_id": "u1", "event_type": "view"}'), (0, 2, '{"userId": "u2"}'), (0, 3, '{"user_id": null}')]
+    df = spark.createDataFrame(rows, "partition INT, offset BIGINT, fixed_value STRING")
+    sent = exports.replayed(df, topic="main")
+    got = {r.value: (r.key, {h.key: bytes(h.value) for h in r.headers}, r.topic) for r in sent.collect()}
+    assert got[rows[0][2]] == ("u1", {"dlq_partition": b"3", "dlq_offset": b"17"}, "main")
+    assert got[rows[1][2]][0] == "u2" and got[rows[2][2]][0] is None
+    # The types that the sink asks for.
+    kinds = {f.name: f.dataType.simpleString() for f in sent.schema.fields}
+    assert kinds["headers"] == "array<struct<key:string,value:binary>>" and kinds["value"] == "string"
+    options = exports.kafka_sink_options("b:1", "main", **{"kafka.linger.ms": "5"})
+    assert options["kafka.acks"] == "all" and options["includeHeaders"] == "true" and options["topic"] == "main"
+
+
+def test_a_local_scratch_folder_is_refused_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tidemark import session
+
+    def fake(master, **conf):
+        context = SimpleNamespace(master=master, applicationId="app-1")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)), sparkContext=context)
+
+    local = {"spark.sql.warehouse.dir": "file:/work/spark-warehouse"}
+    for master in ("spark://h:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.scratch_dir(fake(master, **local), "x")
+        shared = session.scratch_dir(fake(master, **local, **{"spark.checkpoint.dir": "hdfs:///shared"}), "x")
+        assert shared.startswith("hdfs:///shared/tidemark-app-1/x-")
+    assert session.scratch_dir(fake("local[4]", **local), "x").startswith("file:/work/spark-warehouse/_scratch/")
+    assert session.scratch_dir(fake("yarn", **{"spark.sql.warehouse.dir": "hdfs:///w"}), "x").startswith("hdfs:///w/_scratch")

@@ -174,7 +174,8 @@ def compact(
 
     All dates are rewritten by one job. A date's rows are cut by time into files of about
     equally many rows: their seconds are counted first, and the running count tells the file
-    of a second. Files of one date so follow one another in time, and each is sorted. A date is
+    of a second, or the files, if a second has more rows than one gets. Files of one date so
+    follow one another in time, and each is sorted. A date is
     published only if its row count is unchanged; dates without input are skipped. The
     manifest has one row per date found in `src`.
     """
@@ -211,18 +212,20 @@ def compact(
     before_it = F.sum("_n").over(by_time.rowsBetween(Window.unboundedPreceding, -1))
     of_date = F.sum("_n").over(Window.partitionBy("dt"))
     slots = counted.select(
-        "dt", "_second", F.coalesce(before_it, F.lit(0)).alias("_before"), of_date.alias("_all")
+        "dt", "_second", "_n", F.coalesce(before_it, F.lit(0)).alias("_before"), of_date.alias("_all")
     ).join(files_of, "dt")
+    share = F.col("files") / F.col("_all")
+    first = F.floor(F.col("_before") * share)
+    # A second with more rows than a file gets is dealt over the files it fills.
+    span = F.greatest(F.lit(1), F.least(F.ceil(F.col("_n") * share), F.col("files") - first))
     slots = slots.select(
-        "dt",
-        "_second",
-        (F.col("first_file") + F.floor(F.col("_before") * F.col("files") / F.col("_all")))
-        .cast("int")
-        .alias("_slot"),
+        "dt", "_second", (F.col("first_file") + first).alias("_first"), span.alias("_span")
     )
+    row = F.xxhash64(*(c for c in columns if c != "dt"))
     (
         bronze.withColumn("_second", second)
         .join(slots, ["dt", "_second"])
+        .withColumn("_slot", (F.col("_first") + F.pmod(row, F.col("_span"))).cast("int"))
         .select(*columns, "_slot")
         .repartitionById(total, F.col("_slot"))
         .sortWithinPartitions("dt", time_col)

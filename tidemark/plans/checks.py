@@ -213,8 +213,7 @@ def replay_dead_letters(
         tables.append_absent(
             logged, lake.log("dlq_unrecoverable_log"), ("partition", "kafka_offset")
         )
-        repaired = fixable.select(F.col("fixed_value").alias("value"))
-        exports.republish(repaired, sink, **sink_options)
+        exports.republish(exports.replayed(fixable), sink, **sink_options)
         tables.upsert_small_table(reached_offsets(plan), progress, ("partition",))
     finally:
         classified.unpersist()

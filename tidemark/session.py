@@ -33,8 +33,9 @@ def use_utc(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new directory below the cluster's shared checkpoint folder.
 
-    Without that setting, it is below the warehouse, which all machines share as well. The
-    folder of an application can go once its results are written: see `drop_scratch`.
+    Without that setting, it is below the warehouse; a warehouse on a local file system will
+    do only where driver and executors are one machine. The folder of an application can go
+    once its results are written: see `drop_scratch`.
     """
     root = _scratch_root(spark)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -43,7 +44,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def _scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        master = spark.sparkContext.master
+        if root.startswith(("file:", "/")) and not (master == "local" or master.startswith("local[")):
+            raise ValueError(
+                f"set spark.checkpoint.dir to a folder that all machines share: {root} is local"
+            )
+        root = f"{root}/_scratch"
     return f"{root.rstrip('/')}/tidemark-{spark.sparkContext.applicationId}"
 
 

@@ -42,19 +42,45 @@ def message_values(df: DataFrame) -> DataFrame:
     )
 
 
+def replayed(messages: DataFrame, topic: str | None = None) -> DataFrame:
+    """Repaired dead letters as messages: their text, the user as key, and where they were.
+
+    The key brings a user's messages to one partition again. The headers name the partition and
+    offset of the dead letter, by which a consumer can tell a message that was replayed twice.
+    """
+    header = [
+        F.struct(F.lit(name).alias("key"), F.encode(F.col(c).cast("string"), "UTF-8").alias("value"))
+        for name, c in (("dlq_partition", "partition"), ("dlq_offset", "offset"))
+    ]
+    user = F.coalesce(*(F.get_json_object("fixed_value", f"$.{k}") for k in ("user_id", "userId")))
+    rows = messages.select(
+        user.alias("key"), F.col("fixed_value").alias("value"), F.array(*header).alias("headers")
+    )
+    return rows if topic is None else rows.withColumn("topic", F.lit(topic))
+
+
+def kafka_sink_options(servers: str, topic: str, **extra: str) -> dict[str, str]:
+    """Options of a write that waits for all replicas and carries headers."""
+    return {
+        "kafka.bootstrap.servers": servers,
+        "topic": topic,
+        "kafka.acks": "all",
+        "includeHeaders": "true",
+        **extra,
+    }
+
+
 def republish(messages: DataFrame, sink: str, **opts: str) -> None:
-    """Send a `value` column to Kafka or, as further text files, to a directory."""
-    values = messages.select("value")
+    """Send messages to Kafka or, as further text files of their values, to a directory.
+
+    Kafka gets `key` and `headers` as well where there are such columns.
+    """
     if sink == "kafka":
-        values.write.format("kafka").options(
-            **{
-                "kafka.bootstrap.servers": opts["servers"],
-                "topic": opts["topic"],
-                "kafka.acks": "all",
-            }
-        ).save()
+        fields = [c for c in ("key", "value", "headers") if c in messages.columns]
+        options = kafka_sink_options(**opts)
+        messages.select(*fields).write.format("kafka").options(**options).save()
     else:
-        values.write.mode("append").text(opts["path"])
+        messages.select("value").write.mode("append").text(opts["path"])
 
 
 def jdbc_append(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
