@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -10,10 +11,12 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.layout import HOURLY
+from tidemark.operators import clustering
 from tidemark.plans import batch, checks, cli, reporting, stream, upkeep
 from tidemark.plans.lake import Lake
 from tidemark.session import scratch_dir
 from tidemark.sinks import storage, tables
+from tidemark.streaming import health
 from workload.queries import QUERIES
 
 T0 = datetime(2024, 1, 1)
@@ -268,6 +271,69 @@ def test_landing_cleanup_reports_first(spark, lake):
     assert plan.first().expired and lake.events(spark).count() == before
 
 
+def test_payload_paths_are_logged_as_a_job(spark, lake):
+    cli.main(
+        ["payload-paths", "--lake", lake.root, "--start", "2024-01-01", "--end", "2024-01-02",
+         "--paths", "$.product_id=BIGINT;$.amount=STRING"]
+    )
+    log = spark.read.parquet(lake.log("dq_payload_path_log"))
+    found = {(r.path, r.actual_type, r.status): r["rows"] for r in log.collect()}
+    # One event of the day has an empty payload.
+    assert found == {
+        ("$.product_id", None, "missing"): 1,
+        ("$.amount", "BIGINT", "type_mismatch"): 24,
+        ("$.amount", None, "missing"): 1,
+    }
+
+
+def test_clustered_events_as_a_job(spark, lake):
+    iv = ("2024-01-01", "2024-01-09")
+    cli.main(
+        ["cluster-events", "--lake", lake.root, "--start", iv[0], "--end", iv[1], "--files", "8"]
+    )
+    path = lake.gold("events_by_user")
+    found = clustering.read_users(spark, path, schemas.EVENTS, ("2024-01-03", "2024-01-05"), ["u2"])
+    want = lake.events(spark, ("2024-01-03", "2024-01-05")).filter("user_id = 'u2'")
+    assert sorted(r.id for r in found.collect()) == sorted(r.id for r in want.collect()) != []
+
+
+def test_state_of_the_live_stream_is_logged(spark, lake):
+    source = scratch_dir(spark, "live")
+    rows = [('{"eventType": "view"}', T0 + timedelta(minutes=m)) for m in (0, 1, 1, 9)]
+    schema = "value STRING, timestamp TIMESTAMP"
+    spark.createDataFrame(rows, schema).write.parquet(source)
+    listener = stream.log_progress(spark, lake)
+    try:
+        stream.live_metrics(
+            spark, lake, "parquet", trigger={"availableNow": True}, state_partitions=2, path=source, schema=schema
+        ).awaitTermination()
+        for _ in range(100):
+            if not health.read_progress(spark, lake.log("stream_progress")).filter("watermark > '2000-01-01'").isEmpty():
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    checks.stream_state_check(spark, lake, "2024-01-01T01:00")
+    row = spark.read.parquet(lake.log("stream_state_log")).first()
+    assert (row.state_rows, row.open_events, row.oldest_age_s) == (1, 1, 51 * 60)
+    assert (row.watermark_delay_s, row.rows_dropped_late) == (53 * 60, 0)
+
+
+def test_live_counts_keep_late_events(spark, lake):
+    source = scratch_dir(spark, "counts")
+    schema = "value STRING, timestamp TIMESTAMP"
+    for minutes in ((0, 9), (0, 10)):
+        rows = [('{"eventType": "view"}', T0 + timedelta(minutes=m)) for m in minutes]
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        stream.live_counts(
+            spark, lake, "parquet", trigger={"availableNow": True}, path=source, schema=schema
+        ).awaitTermination()
+    totals = spark.read.parquet(lake.table("live_event_totals"))
+    assert sorted(r.window_start.minute for r in totals.collect()) == [0, 9, 10]
+    late = spark.read.parquet(lake.table("late_events")).collect()
+    assert [(r.kafka_ts, r.watermark) for r in late] == [(T0, T0 + timedelta(minutes=7))]
+
+
 def test_command_line(spark, lake, capsys):
     cli.main(
         ["row-count", "--lake", lake.root, "--start", "2024-01-02", "--end", "2024-01-02T02:00"]

@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.intervals import Interval, Moment, moment, ts
-from tidemark.operators import drift, duplicates, messages, monitoring, quality, reports
+from tidemark.operators import (
+    drift,
+    duplicates,
+    messages,
+    monitoring,
+    payloads,
+    quality,
+    reports,
+)
 from tidemark.plans.lake import Lake, dates_of
 from tidemark.schemas import (
     EVENTS,
@@ -31,6 +39,8 @@ from tidemark.sources.files import (
 )
 from tidemark.sources.messages import dlq_bounds, read_dlq
 from tidemark.sources.offsets import offset_gaps, plan_offsets, reached_offsets
+from tidemark.streaming import health
+from tidemark.streaming.sinks import stream_id
 
 
 def null_gate(spark: SparkSession, lake: Lake, iv: Interval) -> None:
@@ -179,6 +189,34 @@ def payload_check(spark: SparkSession, lake: Lake, iv: Interval, keys: tuple[str
     )
 
 
+def payload_path_check(
+    spark: SparkSession, lake: Lake, iv: Interval, expected: dict[str, str]
+) -> None:
+    """Paths of an interval's payloads whose type or presence is not the expected one."""
+    types = payloads.payload_types(lake.events(spark, iv))
+    found = payloads.payload_path_drift(types, expected)
+    tables.append_log(
+        found.withColumn("checked_at", F.current_timestamp()), lake.log("dq_payload_path_log")
+    )
+
+
+def stream_state_check(spark: SparkSession, lake: Lake, as_of: Moment) -> None:
+    """What the live metrics stream holds open, how far its watermark is, and what it dropped."""
+    state = health.window_state(spark, lake.checkpoint("live_metrics"))
+    progress = health.read_progress(spark, lake.log("stream_progress"))
+    # One row per stream and one of state; the stream of the checkpoint is the one wanted.
+    own = stream_id(spark, lake.checkpoint("live_metrics"))
+    last = health.latest_progress(progress.filter(F.col("query_id") == own), as_of).first()
+    record = health.state_health(state, as_of).withColumns(
+        {
+            "watermark_delay_s": F.lit(last.watermark_delay_s if last else None).cast("long"),
+            "rows_dropped_late": F.lit(last.total_dropped_late if last else None).cast("long"),
+            "check_time": ts(as_of),
+        }
+    )
+    tables.append_log(record, lake.log("stream_state_log"))
+
+
 def replay_dead_letters(
     spark: SparkSession,
     lake: Lake,

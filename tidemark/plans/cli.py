@@ -9,16 +9,26 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 
+from tidemark.functions.intervals import moment
 from tidemark.plans import batch, checks, incremental, reporting, stream, upkeep
 from tidemark.plans.lake import Lake
 from tidemark.session import build_session
 from tidemark.sources.files import read_manifest
 from tidemark.sources.jdbc import read_events_jdbc
+from tidemark.sources.splits import SplitColumn, read_split_jdbc
+from tidemark.streaming.feed import Feed
 
 
 def _extract(spark, lake, a):
     iv = (a.start, a.end)
-    if a.url:
+    if a.url and a.by_rows:
+        column = SplitColumn("created_at", is_time=True)
+        low, high = (column.number(moment(m)) for m in iv)
+        properties = {"driver": a.driver} if a.driver else {}
+        source = read_split_jdbc(
+            spark, a.url, a.table, column, low, high, a.partitions, spread="id", properties=properties
+        )
+    elif a.url:
         source = read_events_jdbc(spark, a.url, a.table, iv, num_partitions=a.partitions)
     else:
         source = spark.read.parquet(a.path)
@@ -31,6 +41,13 @@ def _stream_options(a) -> dict:
     return {"path": a.path, "schema": "value STRING, timestamp TIMESTAMP"}
 
 
+def _feed(spark, lake, a):
+    properties = {"driver": a.driver} if a.driver else {}
+    columns = ("window_start", "window_end", "event_type", "event_count", "batch_id")
+    feed = Feed(a.url, a.table, columns, properties)
+    stream.live_feed(spark, lake, a.source, feed, **_stream_options(a)).awaitTermination()
+
+
 def _replay(spark, lake, a):
     source = {"servers": a.servers, "topic": a.topic} if a.source == "kafka" else {"path": a.path}
     sink = {"servers": a.servers, "topic": a.target} if a.source == "kafka" else {"path": a.target}
@@ -85,6 +102,13 @@ JOBS: dict[str, tuple[tuple[str, ...], Callable]] = {
             s, lake, (a.start, a.end), tuple(a.keys.split(","))
         ),
     ),
+    "payload-paths": (
+        ("start", "end", "paths"),
+        lambda s, lake, a: checks.payload_path_check(
+            s, lake, (a.start, a.end), dict(p.split("=", 1) for p in a.paths.split(";"))
+        ),
+    ),
+    "stream-state": (("as_of",), lambda s, lake, a: checks.stream_state_check(s, lake, a.as_of)),
     "stream-health": (("as_of",), lambda s, lake, a: checks.stream_check(s, lake, a.as_of)),
     "failures": (("as_of",), lambda s, lake, a: checks.failure_report(s, lake, a.as_of)),
     "consumer-lag": (("as_of",), lambda s, lake, a: checks.lag_check(s, lake, a.as_of)),
@@ -123,9 +147,14 @@ JOBS: dict[str, tuple[tuple[str, ...], Callable]] = {
     "purge-metrics": (("as_of",), lambda s, lake, a: upkeep.purge_metrics(s, lake, a.as_of).show()),
     "archive-users": (("as_of",), lambda s, lake, a: upkeep.archive_users(s, lake, a.as_of)),
     "compact": (("dates",), lambda s, lake, a: upkeep.compact_bronze(s, lake, a.dates.split(","))),
+    "cluster-events": (
+        ("start", "end", "files"),
+        lambda s, lake, a: upkeep.cluster_events(s, lake, (a.start, a.end), a.files),
+    ),
+    "live-feed": (("url",), _feed),
     "live-metrics": (
         (),
-        lambda s, lake, a: stream.live_metrics(
+        lambda s, lake, a: stream.log_progress(s, lake) and stream.live_metrics(
             s, lake, a.source, state_partitions=a.state_partitions,
             drop_copies=a.drop_copies, **_stream_options(a),
         ).awaitTermination(),
@@ -150,10 +179,12 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("job", choices=sorted(JOBS))
     p.add_argument("--lake", required=True)
     for name in ("start", "end", "as-of", "manifest", "dates", "url", "path", "servers", "topic",
-                 "keys"):
+                 "keys", "paths", "driver"):
         p.add_argument(f"--{name}")
     p.add_argument("--table", default="raw_events")
     p.add_argument("--partitions", type=int, default=32)
+    p.add_argument("--files", type=int)
+    p.add_argument("--by-rows", action="store_true", help="split a database read by counted rows")
     p.add_argument("--source", default="kafka")
     p.add_argument("--target")
     p.add_argument("--max-messages", type=int)

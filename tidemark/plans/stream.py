@@ -8,6 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.messages import VALID_EVENT_TYPES
 from tidemark.plans.lake import Lake
 from tidemark.sources.messages import read_event_stream
+from tidemark.streaming.feed import Feed, write_stream_feed
+from tidemark.streaming.health import ProgressLog
 from tidemark.streaming.late import write_stream_counts
 from tidemark.streaming.metrics import decode_events, first_copies, minute_counts
 from tidemark.streaming.sinks import write_stream_split, write_stream_upsert
@@ -52,6 +54,21 @@ def live_counts(
     )
 
 
+def live_feed(
+    spark: SparkSession, lake: Lake, source: str, feed: Feed, trigger: dict | None = None, **opts
+) -> StreamingQuery:
+    """Minute counts of the event stream, appended to a relational table, each batch once."""
+    counts = minute_counts(decode_events(read_event_stream(spark, source, **opts)))
+    return write_stream_feed(counts, feed, lake.checkpoint("live_feed"), trigger)
+
+
+def log_progress(spark: SparkSession, lake: Lake) -> ProgressLog:
+    """Keep the progress of this session's streams from now on."""
+    listener = ProgressLog(spark, lake.log("stream_progress"))
+    spark.streams.addListener(listener)
+    return listener
+
+
 def split_messages(
     spark: SparkSession,
     lake: Lake,

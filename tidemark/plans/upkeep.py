@@ -7,8 +7,8 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.intervals import Moment, moment, ts
-from tidemark.operators import lifecycle
+from tidemark.functions.intervals import Interval, Moment, moment, ts
+from tidemark.operators import clustering, lifecycle
 from tidemark.plans.lake import Lake
 from tidemark.schemas import LIVE_METRICS, USERS
 from tidemark.sinks import exports, storage, tables
@@ -86,3 +86,8 @@ def compact_bronze(spark: SparkSession, lake: Lake, dates: list[str]) -> None:
         return
     manifest = lifecycle.compact(spark, lake.bronze, lake.gold("compacted"), dates)
     tables.upsert_small_table(manifest, lake.log("compaction_manifest"), ("compaction_date",))
+
+
+def cluster_events(spark: SparkSession, lake: Lake, iv: Interval, files: int) -> None:
+    """Events of an interval as files of small ranges of time and users, for `read_users`."""
+    clustering.write_clustered(lake.events(spark, iv), lake.gold("events_by_user"), files)
