@@ -363,6 +363,21 @@ def least_bins(items, capacity):
     return best[0]
 
 
+def test_packing_carries_columns_of_any_name(spark):
+    names = ["group", "inner", "BASE", "rank", "n", "sequence_id", "Offset"]
+    rows = [(i, 0, 0, 1 + (i * 37) % 900, i, *[f"{c}{i}" for c in names]) for i in range(300)]
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    df = spark.createDataFrame(rows, schema + "".join(f", `{c}` string" for c in names))
+    packed = packing.pack(df)
+    assert packed.columns == [*df.columns[:-2], "sequence_id", "offset"]
+    got = packed.toPandas()
+    assert all(r["group"] == f"group{r.doc_id}" and r["BASE"] == f"BASE{r.doc_id}" for _, r in got.iterrows())
+    for _, own in got.groupby("sequence_id"):
+        own = own.sort_values("offset")
+        assert own["offset"].tolist() == [0, *own["length"].cumsum().tolist()[:-1]]
+        assert own["length"].sum() <= 2048
+
+
 def test_reduction_belongs_to_a_best_packing():
     rng = random.Random(6)
     for _ in range(400):

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.storage import stored
+from tidemark.llm.storage import free_name, stored
 from tidemark.llm.textbatch import slices
 from tidemark.llm.tokens import encoder
 
@@ -199,16 +199,16 @@ def token_pieces(
     )
 
 
-def _placed(table: np.ndarray):
+def _placed(table: np.ndarray, place: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = 1 << 40
         keys = table[:, 0] * width + table[:, 1]
         for batch in batches:
             length = batch.column("length").to_numpy()
-            rank = batch.column("rank").to_numpy()
+            rank = batch.column(place).to_numpy()
             row = table[np.searchsorted(keys, length * width + rank, side="right") - 1]
             inner = rank - row[:, 1]
-            rest = batch.select([c for c in batch.schema.names if c != "rank"])
+            rest = batch.select([c for c in batch.schema.names if c != place])
             yield pa.RecordBatch.from_arrays(
                 [
                     *rest.columns,
@@ -225,33 +225,37 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """`pieces` (doc_id, piece, length, ... of at most `capacity` each) with sequence_id, offset.
 
     Equal rows take different places. Sequences are gapless from offset 0. No pieces, no rows.
+    Other columns go along, whatever their names; those named like the two new ones are replaced.
     """
-    pieces = stored(pieces, "pieces")
+    made = {"sequence_id", "offset"}
+    pieces = stored(pieces.select(*(f"`{c}`" for c in pieces.columns if c.lower() not in made)), "pieces")
     found = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for row in found:
         counts[row["length"]] = row["n"]
     groups = max(64, int(counts.sum()) // RANKED)
     table = places(plan(counts, capacity))
+    # Names that no column of the pieces has, so that any columns go along.
+    group, inner, base, rank = (free_name(pieces, n) for n in ("group", "inner", "base", "rank"))
     dealt = pieces.withColumn(
-        "group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups))
+        group, F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups))
     )
-    sizes = dealt.groupBy("length", "group").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("length").orderBy("group").rowsBetween(
+    sizes = dealt.groupBy("length", group).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("length").orderBy(group).rowsBetween(
         Window.unboundedPreceding, -1
     )
     sizes = sizes.select(
-        "length", "group", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")
+        "length", group, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(base)
     )
-    inner = Window.partitionBy("length", "group").orderBy("doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", group).orderBy("doc_id", "piece", "ids_crc32")
     ranked = (
-        dealt.withColumn("inner", F.row_number().over(inner) - 1)
-        .join(sizes, ["length", "group"])
-        .withColumn("rank", F.col("base") + F.col("inner"))
-        .select(*pieces.columns, "rank")
+        dealt.withColumn(inner, F.row_number().over(within) - 1)
+        .join(sizes, ["length", group])
+        .withColumn(rank, F.col(base) + F.col(inner))
+        .select(*(F.col(f"`{c}`") for c in pieces.columns), rank)
     )
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return ranked.mapInArrow(_placed(table), f"{schema}, sequence_id long, `offset` long")
+    return ranked.mapInArrow(_placed(table, rank), f"{schema}, sequence_id long, `offset` long")
 
 
 def sequences(packed: DataFrame) -> DataFrame:
