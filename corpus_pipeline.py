@@ -26,13 +26,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near duplicates."""
     columns = docs.columns
     kept = minhash.near_duplicates(docs).where("kept").select(columns)
-    # Rows that repeat an id are one document, of which the first by text and then by its other
-    # columns stays; those without an id are all their own.
+    # Rows that repeat an id are one document, of which the first by its columns stays, the text
+    # before the others; those without an id are all their own.
     own = free_name(kept, "own")
     nameless = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    row = F.struct(*(F.col(f"`{c}`") for c in columns))
-    first = F.min_by(row, F.struct(F.col("text"), F.to_json(row))).alias("row")
-    named = kept.withColumn(own, nameless).groupBy("doc_id", own).agg(first)
+    order = sorted(columns, key=lambda c: (c != "doc_id", c != "text"))
+    row = F.struct(*(F.col(f"`{c}`") for c in order))
+    ordered = not any(k in kept.schema.simpleString() for k in ("map<", "variant"))
+    # Maps have no order; their text has one.
+    first = F.min(row) if ordered else F.min_by(row, F.to_json(row))
+    named = kept.withColumn(own, nameless).groupBy("doc_id", own).agg(first.alias("row"))
     return named.select(*(F.col(f"row.`{c}`").alias(c) for c in columns))
 
 
