@@ -142,6 +142,42 @@ def test_a_read_opens_few_files_and_finds_every_row(spark):
     assert clustering.read_users(spark, path, df.schema, ("2030-01-01", "2030-01-02"), users).isEmpty()
 
 
+def test_a_file_of_two_far_squares_is_opened_only_for_its_rows(spark):
+    path = scratch_dir(spark, "joined")
+    early = [(i, "u1", "view", hour(i)) for i in range(300)]
+    late = [(300 + i, "u2", "view", hour(600 + i)) for i in range(300)]
+    df = events(spark, [*early, *late, (600, "u2", "view", hour(450)), (601, "u1", "view", None)])
+    clustering.write_clustered(df, path, 1)
+    index = spark.read.parquet(clustering.index_path(path))
+    assert (index.count(), index.first().rows) == (1, 602)
+    start, end = (hour(0), hour(100)), (hour(600), hour(700))
+    assert len(clustering.files_of(index, start, ["u1"])) == len(clustering.files_of(index, end, ["u2"])) == 1
+    assert clustering.files_of(index, end, ["u1"]) == clustering.files_of(index, start, ["u2"]) == []
+    assert clustering.read_users(spark, path, df.schema, end, ["u1"]).isEmpty()
+    assert clustering.read_users(spark, path, df.schema, start, ["u1"]).count() == 100
+    # The ranges of the whole file, all that older tables have, still find every row.
+    assert len(clustering.files_of(index.drop("boxes"), start, ["u1"])) == 1
+
+
+def test_five_users_without_common_files_still_open_few(spark):
+    path = scratch_dir(spark, "spread")
+    df = events(spark, [(i, f"u{(i * i) % 1511}", "view", hour(i % 720)) for i in range(20_000)])
+    clustering.write_clustered(df, path, 64)
+    index = spark.read.parquet(clustering.index_path(path)).cache()
+    iv = (hour(4 * 24), hour(11 * 24))
+    reached = {f"u{u}": set(clustering.files_of(index, iv, [f"u{u}"])) for u in range(30)}
+    most = 0
+    for first in reached:
+        # The other four each add as many files as can be.
+        users, opened = [first], set(reached[first])
+        for _ in range(4):
+            users.append(max(reached, key=lambda u: len(reached[u] - opened)))
+            opened |= reached[users[-1]]
+        most = max(most, len(opened))
+    assert opened == set(clustering.files_of(index, iv, users))
+    assert index.count() >= 60 and 3 * most < index.count()
+
+
 def test_clustering_one_moment_and_no_rows(spark):
     path = scratch_dir(spark, "moment")
     df = events(spark, [(i, f"u{i % 50}", "view", DAY) for i in range(500)])

@@ -3,11 +3,14 @@
 Rows are ordered along a curve that interleaves the bits of two ranks: the rank of the time
 among its quantiles, and the leading bits of a hash of the user. A file is then a near-square
 piece of both, whereas files ordered by time alone hold every user. A table of the least and
-greatest rank and time per file picks the files of a read before any of them is opened.
+greatest rank and time per file picks the files of a read before any of them is opened. The
+cuts between files come from a sample, so a file can hold the end of one square and the start
+of a far one; the ranges are therefore kept per box, a small square of the curve, as well.
 """
 
 from __future__ import annotations
 
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +21,11 @@ from tidemark.sinks import tables
 
 #: Bits of each rank. Quantiles are approximate; they only decide where rows lie.
 RANK_BITS = 8
+#: The least number of boxes the curve has per file. It has at most 4 times as many, and no more
+#: than 2^(2 * RANK_BITS) in all; a cut between two files divides at most one of them.
+BOXES_PER_FILE = 16
+#: What the table of files tells of a file and of a box.
+RANGES = ("first", "last", "least_rank", "greatest_rank")
 
 
 def user_rank(user: str | Column, bits: int = RANK_BITS) -> Column:
@@ -73,23 +81,52 @@ def write_clustered(
     ).drop("_curve").write.mode("overwrite").parquet(path)
     spark = df.sparkSession
     rows = spark.read.schema(df.schema).parquet(path)
-    tables.replace_table(file_ranges(rows, time_col, user_col), index_path(path))
+    tables.replace_table(file_ranges(rows, bounds, files, time_col, user_col), index_path(path))
 
 
 def index_path(path: str) -> str:
     return f"{path.rstrip('/')}_files"
 
 
-def file_ranges(rows: DataFrame, time_col: str = "created_at", user_col: str = "user_id") -> DataFrame:
-    """(file, rows, first, last, least_rank, greatest_rank, untimed) of the files of a scan."""
+def box_bits(files: int) -> int:
+    """How many leading bits of both ranks name a box."""
+    return min(RANK_BITS, math.ceil(math.log2(max(files, 1) * BOXES_PER_FILE) / 2))
+
+
+def file_ranges(
+    rows: DataFrame,
+    bounds: list[int],
+    files: int,
+    time_col: str = "created_at",
+    user_col: str = "user_id",
+) -> DataFrame:
+    """(file, rows, first, last, least_rank, greatest_rank, boxes) of the files of a scan.
+
+    `boxes` holds the same ranges of the rows of each box within the file.
+    """
+    bits = box_bits(files)
+    step = 1 << (RANK_BITS - bits)
     rank = user_rank(user_col)
-    return rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+    boxes = rows.groupBy(
+        F.col("_metadata.file_path").alias("file"),
+        # Every step-th bound: the leading bits of the time's rank.
+        time_rank(time_col, bounds[step - 1 :: step]).alias("_time"),
+        user_rank(user_col, bits).alias("_user"),
+    ).agg(
         F.count(F.lit(1)).alias("rows"),
         F.min(time_col).alias("first"),
         F.max(time_col).alias("last"),
         F.min(rank).alias("least_rank"),
         F.max(rank).alias("greatest_rank"),
     )
+    return boxes.groupBy("file").agg(
+        F.sum("rows").alias("rows"),
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+        F.min("least_rank").alias("least_rank"),
+        F.max("greatest_rank").alias("greatest_rank"),
+        F.collect_list(F.struct(*RANGES)).alias("boxes"),
+    )
 
 
 def files_of(index: DataFrame, iv: Interval, users: list[str]) -> list[str]:
@@ -97,11 +134,17 @@ def files_of(index: DataFrame, iv: Interval, users: list[str]) -> list[str]:
     spark = index.sparkSession
     ranks = spark.createDataFrame([(u,) for u in users], "u STRING").select(user_rank("u").alias("r"))
     wanted = sorted({r.r for r in ranks.collect()})
-    reached = F.exists(
-        F.array(*map(F.lit, wanted)), lambda r: r.between(F.col("least_rank"), F.col("greatest_rank"))
-    )
-    timely = (F.col("last") >= ts(iv[0])) & (F.col("first") < ts(iv[1]))
-    return [r.file for r in index.filter(timely & reached).select("file").orderBy("file").collect()]
+
+    def reached(box: Column) -> Column:
+        timely = (box["last"] >= ts(iv[0])) & (box["first"] < ts(iv[1]))
+        return timely & F.exists(
+            F.array(*map(F.lit, wanted)), lambda r: r.between(box["least_rank"], box["greatest_rank"])
+        )
+
+    # Tables written before there were boxes have the ranges of whole files only.
+    boxes = F.col("boxes") if "boxes" in index.columns else F.array(F.struct(*RANGES))
+    found = index.filter(F.exists(boxes, reached)).select("file").orderBy("file")
+    return [r.file for r in found.collect()]
 
 
 def read_users(
